@@ -26,6 +26,22 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(digests, 2048).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessarea.llm.quality_rules import measure
+
+    judged = measure(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id",
+        F.col("__rule_words").alias("n_words"),
+        F.col("__rule_word_chars").alias("word_chars"),
+        F.col("__rule_symbols").alias("n_symbols"),
+        F.col("__rule_dup_lines").alias("n_dup_lines"),
+        F.col("__rule_repeats").alias("n_repeat_words"),
+        F.col("__rule_base_failed").alias("base_failed"),
+        F.col("__rule_kept").alias("kept"),
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessarea.llm.token_files import token_file_round_trip
 
@@ -45,5 +61,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, list_filter(regexp_split_to_array(t, '[ \t-\r]+'), lambda x: x <> '') AS ws FROM d),
+win AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS k FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM win) WHERE c > 1),
+rep AS (SELECT r, sum(least(3, coalesce(nxt - i, 3))) AS n FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM dup) GROUP BY r),
+ln AS (SELECT r, x, regexp_replace(x, '[ \t-\r]', '', 'g') AS bare FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d)),
+lines AS (SELECT r, x, bare, length(bare) AS n,
+    length(regexp_replace(x, '[^!?]', '', 'g')) * 20 > length(bare)
+    OR length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) * 20 > length(bare)
+    OR (length(regexp_replace(bare, '[^\pL]', '', 'g')) >= 20 AND length(regexp_replace(bare, '[^\p{Lu}]', '', 'g')) * 2 > length(regexp_replace(bare, '[^\pL]', '', 'g')))
+    OR length(regexp_replace(x, '[^|>»›•]', '', 'g')) * 12 > length(bare)
+    OR regexp_matches(lower(x), 'PHRASES') AS failed
+  FROM ln WHERE bare <> ''),
+lost AS (SELECT r, sum(CASE WHEN failed THEN n ELSE 0 END) AS lost, count(*) - count(DISTINCT x) AS dup_lines FROM lines GROUP BY r),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[ \t-\r]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lost, 0) AS lost
+  FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN lost USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.5 * word_chars AS kept
+FROM m
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from tessarea.llm.quality_rules import BOILERPLATE
+
+    return {"op6_quality_rules": OP6_SQL.replace("PHRASES", "|".join(BOILERPLATE))}
