@@ -54,6 +54,7 @@ LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 EASY = re.compile(rf"[ \n]?[!-~{LATIN}]+")
 # The patterns of the two kinds of tokenizer files, for EASY chunks.
 WORD_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[^\s{LATIN}0-9]+")
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BYTE_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+")
 
 
@@ -64,44 +65,21 @@ def byte_letters() -> str:
     return "".join(chr(b if b in shown else next(spare)) for b in range(256))
 
 
-class LibraryEncoder:
-    """Ids by the tokenizers library as packed little-endian unsigned 32-bit integers.
+class ChunkedEncoder:
+    """Ids of texts as packed little-endian unsigned 32-bit integers, through two bounded caches.
 
-    The library's model sees each distinct word once, through two bounded caches (of chunks between spaces
-    and of pre-tokens); where a pre-tokenizer could look across a chunk's edge, the library sees the whole
-    text. Which cut is safe follows from the tokenizer file: a word-level split that drops white space
-    ("word"), the byte-level pattern that keeps one blank before a word ("byte"), or anything else ("whole").
-    Strings of special tokens in a text are ordinary text.
+    One cache holds chunks between spaces, the other pre-tokens, so ``word`` sees each distinct pre-token about
+    once. Where a pre-tokenizer could look across a chunk's edge, ``whole`` sees the whole text. Kinds: a split
+    into words that drops white space ("word"), one that keeps one blank before a word ("byte"), any other
+    ("whole").
     """
 
-    def __init__(self, path: str, chunks: int = 300_000, words: int = 500_000):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.model = self.library.model
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
-        steps = pre.get("pretokenizers", [pre])
-        self.kind, self.lower, self.parts = "whole", False, None
-        if spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
-            self.kind, self.parts = "byte", BYTE_PARTS
-        elif steps[0].get("pattern", {}).get("Regex") == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" and steps[0].get("invert"):
-            self.kind, self.parts = "word", WORD_PARTS
-            self.lower = any(x.get("type") == "Lowercase" for x in (spec.get("normalizer") or {}).get("normalizers", []))
-        self.letters = {b: c for b, c in enumerate(byte_letters())}
-        self.known = _Words(self._word, words)
+    def __init__(self, kind: str, word: Callable[[str], bytes], whole: Callable[[str], bytes], lower: bool = False, chunks: int = 300_000, words: int = 500_000):
+        self.kind, self.whole, self.lower = kind, whole, lower
+        self.parts = WORD_PARTS if kind == "word" else BYTE_PARTS
+        self.known = _Words(word, words)
         self.plain, self.spaced = _Words(self._chunk, chunks), _Words(lambda w: self._chunk(w if w[0] == "\n" else f" {w}"), chunks)
 
-    def whole(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids if text else ()
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _word(self, word: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
     def _chunk(self, chunk: str) -> bytes:
         if not EASY.fullmatch(chunk):
             return self.whole(chunk)
@@ -115,6 +93,36 @@ class LibraryEncoder:
         return self.whole(text)
 
 
+def library_encoder(path: str) -> ChunkedEncoder:
+    """The tokenizers library with the tokenizer file at ``path``; what cuts are safe follows from the file.
+
+    Strings of special tokens in a text are ordinary text."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    model, letters = library.model, dict(enumerate(byte_letters()))
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre, normalizer = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
+    steps = pre.get("pretokenizers", [pre])
+    kind = "whole"
+    if not normalizer and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
+        kind = "byte"
+    elif steps[0].get("pattern", {}).get("Regex") == WORD_PATTERN and steps[0].get("invert"):
+        kind = "word"
+
+    def whole(text: str) -> bytes:
+        ids = library.encode(text, add_special_tokens=False).ids if text else ()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def word(part: str) -> bytes:
+        ids = [t.id for t in model.tokenize(part.encode().decode("latin-1").translate(letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    return ChunkedEncoder(kind, word, whole, any(x.get("type") == "Lowercase" for x in normalizer.get("normalizers", [])))
+
+
 ENCODERS: dict[tuple, object] = {}
 
 

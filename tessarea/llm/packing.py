@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessarea.llm.common import LibraryEncoder, once, slices
+from tessarea.llm.common import library_encoder, once, slices
 from tessarea.session import Scratch
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -37,7 +37,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = once(("library", tokenizer), lambda: LibraryEncoder(tokenizer))
+        encode = once(("library", tokenizer), lambda: library_encoder(tokenizer))
         for rows in slices(batches):
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(rows["doc_id"], rows["text"], strict=True):

@@ -26,6 +26,21 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(digests, 2048).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tessarea.llm.bpe_transducer import decode_ids, encode_texts
+
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    both = decode_ids(encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return both.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessarea.llm.quality_rules import measure
 
@@ -49,6 +64,21 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessarea.llm.secret_scan import BASE_KINDS, fit_on_documents, scan
+
+    docs = table(spark, sf_dir, "documents")
+    found = scan(docs, fit_on_documents(docs))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda x: x["kind"].isin(*BASE_KINDS))
+    kinds = F.transform("spans", lambda x: x["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessarea.llm.sharding import assign_shards
 

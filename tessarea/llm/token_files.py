@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessarea.llm.common import LibraryEncoder, once, slices
+from tessarea.llm.common import library_encoder, once, slices
 from tessarea.session import Scratch
 
 MAGIC, BLOCK = b"DAC1", 512
@@ -129,7 +129,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = once(("library", tokenizer), lambda: LibraryEncoder(tokenizer))
+        encode = once(("library", tokenizer), lambda: library_encoder(tokenizer))
         part, seq = TaskContext.get().partitionId(), 0
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
