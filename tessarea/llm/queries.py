@@ -41,6 +41,13 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessarea.llm.weak_quality import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessarea.llm.quality_rules import measure
 
