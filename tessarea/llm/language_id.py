@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessarea.llm.common import slices
+from tessarea.llm.common import hash_edge, slices
 
 SAMPLE, SEGMENT, HIDDEN, ROWS = 3_000, 256, 8, 1024
 LETTER = re.compile(r"[^\W\d_]")
@@ -210,7 +210,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     labelled = labelled.filter(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
     n = labelled.select("doc_id").count()
     h = F.xxhash64("doc_id", "text")
-    chosen = labelled.withColumn("h", h).filter(F.col("h") <= int(-(2**63) + min(1.0, sample / max(1, n)) * (2**64 - 1))).limit(2 * sample).withColumn("one", F.lit(1))
+    chosen = labelled.withColumn("h", h).filter(F.col("h") <= hash_edge(min(1.0, sample / max(1, n)))).limit(2 * sample).withColumn("one", F.lit(1))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["h", "text"])

@@ -48,6 +48,13 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessarea.llm.anisotropic_search import build, search
+
+    index, words = build(table(spark, sf_dir, "embeddings"))
+    return search(index, words, F.col("vec_id") % 50 == 0)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessarea.llm.quality_rules import measure
 
