@@ -18,6 +18,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessarea.llm.jaccard_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4, num=85, den=100)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessarea.llm.packing import encode_pieces, pack_pieces
 
