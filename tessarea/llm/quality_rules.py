@@ -1,7 +1,7 @@
 """Line-first cleaning, with DataFrame functions alone.
 
 Each line of a text is tried by the rules of LINE_RULES; lines that fail are removed. A document is rejected if a
-base rule on its words fails or if the removed lines hold more than ``most_lost`` of its words' characters.
+base rule on its words fails or if the removed lines hold more than ``most_lost`` of the characters of its lines.
 
 Base rules: fewer than 50 words, or more than half of the words in three-word windows that occur twice or more
 in the text. A word is a run of characters other than the ASCII spaces. Windows are compared by a hash of which
@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SPACE = r"[\x20\x09-\x0D]"
+SYMBOLS, BARS = "#*$%&|<>", "|>»›•"
 MOST_LOST = 0.5
 
 # Fixed phrases that mark a boilerplate line, lower case.
@@ -29,22 +29,20 @@ BOILERPLATE = (
 
 
 def _count(x: Column, letters: str) -> Column:
-    return F.length(x) - F.length(F.translate(x, letters, ""))
-
-
-def _bare(x: Column) -> Column:
-    return F.translate(x, SPACES, "")
+    return F.length(x) - F.length(F.regexp_replace(x, f"[{letters}]", ""))
 
 
 def line_rules(line: Column) -> dict[str, Column]:
-    """Of a line with a word: which rules it fails."""
-    bare = _bare(line)
-    letters = F.length(F.regexp_replace(bare, r"[^\p{L}]", ""))
-    capitals = F.length(F.regexp_replace(bare, r"[^\p{Lu}]", ""))
+    """Which rules a line fails: too many marks or symbols, or capitals alone; bars and arrows of menus; fixed phrases."""
+    lower = F.lower(line)
+    phrase = F.lit(False)
+    for x in BOILERPLATE:
+        phrase = phrase | F.contains(lower, F.lit(x))
+    odd = line.rlike(f"[!?{SYMBOLS}{BARS}]")  # few lines have any, so the counts are seldom made
     return {
-        "punctuation": (_count(line, "!?") * 20 > F.length(bare)) | (_count(line, SYMBOLS) * 20 > F.length(bare)) | ((letters >= 20) & (capitals * 2 > letters)),
-        "navigation": _count(line, "|>»›•") * 12 > F.length(bare),
-        "boilerplate": F.lower(line).rlike("|".join(BOILERPLATE)),
+        "punctuation": (odd & ((_count(line, "!?") * 25 > F.length(line)) | (_count(line, SYMBOLS) * 25 > F.length(line)))) | ((F.length(line) >= 20) & ~line.rlike("[a-z]") & line.rlike("[A-Z]")),
+        "navigation": odd & (_count(line, BARS) * 12 > F.length(line)),
+        "boilerplate": phrase,
     }
 
 
@@ -53,9 +51,8 @@ def measure(docs: DataFrame, most_lost: float = MOST_LOST) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     one = docs.withColumns({"__rule_raw": text}).withColumns(
         {
-            "__rule_list": F.array_remove(F.split(F.translate("__rule_raw", SPACES, " " * len(SPACES)), " "), ""),
-            "__rule_lines": F.filter(F.split("__rule_raw", "\n"), lambda x: _bare(x) != ""),
-            "__rule_word_chars": F.length(_bare(F.col("__rule_raw"))).cast("long"),
+            "__rule_list": F.array_remove(F.split("__rule_raw", f"{SPACE}+"), ""),
+            "__rule_lines": F.filter(F.split("__rule_raw", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")),
             "__rule_symbols": _count(F.col("__rule_raw"), SYMBOLS).cast("long"),
         }
     )
@@ -63,6 +60,7 @@ def measure(docs: DataFrame, most_lost: float = MOST_LOST) -> DataFrame:
     two = one.withColumns(
         {
             "__rule_words": F.size(words).cast("long"),
+            "__rule_word_chars": F.length(F.array_join(words, "")).cast("long"),
             "__rule_bits": F.length(F.bin(F.size(words))),
             # Each window's hash above its place; n - 2 windows.
             "__rule_windows": F.when(
@@ -100,8 +98,11 @@ def _judged(two: DataFrame, most_lost: float) -> DataFrame:
     def key(x: Column) -> Column:
         return F.call_function("shiftrightunsigned", x, bits)
 
+    def same(x: Column, y: Column) -> Column:
+        return key(x.bitwiseXOR(y)) == 0
+
     places = F.transform(
-        F.filter(windows, lambda x, k: (key(x) == key(F.get(windows, k - 1))) | (key(x) == key(F.get(windows, k + 1)))),
+        F.filter(windows, lambda x, k: same(x, F.get(windows, k - 1)) | same(x, F.get(windows, k + 1))),
         lambda x: x - F.call_function("shiftleft", key(x), bits),
     )
     three = two.withColumn("__rule_places", F.coalesce(F.sort_array(places), F.array().cast("array<bigint>")))
@@ -113,8 +114,8 @@ def _judged(two: DataFrame, most_lost: float) -> DataFrame:
     )
     four = three.withColumns({"__rule_repeats": repeats, "__rule_text": F.array_join("__rule_left", "\n")})
     base = (F.col("__rule_words") < 50) | (100 * F.col("__rule_repeats") > 50 * F.col("__rule_words"))
-    lost = F.col("__rule_word_chars") - F.length(_bare(F.col("__rule_text")))
-    return four.withColumns({"__rule_base_failed": base, "__rule_kept": ~base & (lost <= most_lost * F.col("__rule_word_chars"))})
+    whole = F.length(F.array_join("__rule_lines", "\n"))
+    return four.withColumns({"__rule_base_failed": base, "__rule_kept": ~base & (whole - F.length("__rule_text") <= most_lost * whole)})
 
 
 def clean(docs: DataFrame, most_lost: float = MOST_LOST) -> DataFrame:

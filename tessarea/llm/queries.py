@@ -99,6 +99,13 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessarea.llm.language_id import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessarea.llm.sharding import assign_shards
 
@@ -117,23 +124,23 @@ w AS (SELECT r, list_filter(regexp_split_to_array(t, '[ \t-\r]+'), lambda x: x <
 win AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS k FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
 dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM win) WHERE c > 1),
 rep AS (SELECT r, sum(least(3, coalesce(nxt - i, 3))) AS n FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM dup) GROUP BY r),
-ln AS (SELECT r, x, regexp_replace(x, '[ \t-\r]', '', 'g') AS bare FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d)),
-lines AS (SELECT r, x, bare, length(bare) AS n,
-    length(regexp_replace(x, '[^!?]', '', 'g')) * 20 > length(bare)
-    OR length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) * 20 > length(bare)
-    OR (length(regexp_replace(bare, '[^\pL]', '', 'g')) >= 20 AND length(regexp_replace(bare, '[^\p{Lu}]', '', 'g')) * 2 > length(regexp_replace(bare, '[^\pL]', '', 'g')))
-    OR length(regexp_replace(x, '[^|>»›•]', '', 'g')) * 12 > length(bare)
+ln AS (SELECT r, i, x, length(x) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d) WHERE regexp_matches(x, '[^ \t-\r]')),
+lines AS (SELECT r, i, x, n,
+    (n - length(regexp_replace(x, '[!?]', '', 'g'))) * 25 > n
+    OR (n - length(regexp_replace(x, '[#*$%&|<>]', '', 'g'))) * 25 > n
+    OR (n >= 20 AND NOT regexp_matches(x, '[a-z]') AND regexp_matches(x, '[A-Z]'))
+    OR (n - length(regexp_replace(x, '[|>»›•]', '', 'g'))) * 12 > n
     OR regexp_matches(lower(x), 'PHRASES') AS failed
-  FROM ln WHERE bare <> ''),
-lost AS (SELECT r, sum(CASE WHEN failed THEN n ELSE 0 END) AS lost, count(*) - count(DISTINCT x) AS dup_lines FROM lines GROUP BY r),
+  FROM ln),
+lost AS (SELECT r, sum(n) + count(*) - 1 AS whole, greatest(coalesce(sum(n + 1) FILTER (WHERE NOT failed), 0) - 1, 0) AS stays, count(*) - count(DISTINCT x) AS dup_lines FROM lines GROUP BY r),
 m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(t, '[ \t-\r]', '', 'g')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    CAST(coalesce(dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lost, 0) AS lost
+    CAST(coalesce(dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(whole, 0) - coalesce(stays, 0) AS lost, coalesce(whole, 0) AS whole
   FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN lost USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.5 * word_chars AS kept
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.5 * whole AS kept
 FROM m
 """
 
