@@ -1 +1 @@
-
+"""Relational operators, all DataFrame to DataFrame."""
