@@ -1,6 +1,6 @@
 """Queries that apply the operators to the test tables."""
 
-from tessarea.plans import fills, selection
+from tessarea.plans import fills, general, publish, selection
 from tessarea.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "fills", "selection"]
+__all__ = ["QUERIES", "SQL", "fills", "general", "publish", "selection"]
