@@ -58,21 +58,22 @@ class Transducer:
 
     START = -1
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 150_000):
         self.ranks, self.most_states = ranks, most_states
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self.children: list[dict[int, int]] = [{}]
+        self.child: dict[int, int] = {}  # place << 8 | byte to place
         self.token_at: list[int] = [-1]
         for token, i in ranks.items():
             at = 0
             for b in token:
-                to = self.children[at].get(b)
-                if to is None:
-                    to = self.children[at][b] = len(self.children)
-                    self.children.append({})
+                to = self.child.setdefault(at << 8 | b, len(self.token_at))
+                if to == len(self.token_at):
                     self.token_at.append(-1)
                 at = to
             self.token_at[at] = i
+        self.inner = bytearray(len(self.token_at))
+        for key in self.child:
+            self.inner[key >> 8] = 1
         self.fits: dict[tuple[int, int], bool] = {}
         self._reset()
 
@@ -101,7 +102,7 @@ class Transducer:
     def _fits(self, before: int, token: int) -> bool:
         found = self.fits.get((before, token))
         if found is None:
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > 2 * self.most_states:
                 self.fits.clear()
             if before == self.START:
                 found = merge_by_rank(self.bytes_of[token], self.ranks) == [token]
@@ -113,13 +114,13 @@ class Transducer:
     def _arc(self, state: int, byte: int) -> tuple[int, bytes]:
         running, done = [], None
         for before, node, held in self._hypotheses(state):
-            to = self.children[node].get(byte)
+            to = self.child.get(node << 8 | byte)
             if to is None:
                 continue
             token = self.token_at[to]
             if done is None and token >= 0 and self._fits(before, token):
                 done = (token, held + (token,))
-            if self.children[to]:
+            if self.inner[to]:
                 running.append((before, to, held))
         if done is None:
             raise ValueError("the vocabulary lacks a byte")
@@ -152,7 +153,7 @@ def rank_encoder(path: str, pattern: str) -> ChunkedEncoder:
     def word(part: str) -> bytes:
         return machine(part.encode("utf-8", "surrogatepass"))
 
-    encoder = ChunkedEncoder("byte" if pattern == BYTE_PATTERN else "whole", word, lambda text: b"".join(map(encoder.known.__getitem__, cut.findall(text))), chunks=200_000, words=300_000)
+    encoder = ChunkedEncoder("byte" if pattern == BYTE_PATTERN else "whole", word, lambda text: b"".join(map(encoder.known.__getitem__, cut.findall(text))), chunks=120_000, words=120_000)
     return encoder
 
 
@@ -200,33 +201,37 @@ class StreamDecoder:
         return rest
 
 
-def encode_texts(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """doc_id, ids (packed) of every whole text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+def encode_texts(docs: DataFrame, ranks: str, pattern: str, decode: bool = False, block: int = 8192) -> DataFrame:
+    """doc_id and ids (packed) of every whole text; with ``decode`` also decoded, the bytes that a stream of the ids gives."""
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())] + [("decoded", pa.binary())] * decode)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = once(("ranks", ranks, pattern), lambda: rank_encoder(ranks, pattern))
-        for rows in slices(batches):
-            yield pa.record_batch([pa.array(rows["doc_id"], pa.int64()), pa.array([encode(t or "") for t in rows["text"]], pa.binary())], schema=schema)
+        for rows in slices(batches, 128):
+            ids = [encode(t or "") for t in rows["text"]]
+            made = [pa.array(rows["doc_id"], pa.int64()), pa.array(ids, pa.binary())]
+            if decode:
+                made.append(pa.array(streamed(ids, ranks, block), pa.binary()))
+            yield pa.record_batch(made, schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary" + ", decoded binary" * decode)
+
+
+def streamed(packed: list[bytes | None], ranks: str, block: int) -> list[bytes]:
+    """Each row's ids decoded in blocks, as from a stream."""
+    bytes_of, out = once(("bytes", ranks), lambda: {i: t for t, i in read_ranks(ranks).items()}), []
+    for ids in packed:
+        decoder, values = StreamDecoder(bytes_of), memoryview(ids or b"").cast("I")
+        out.append(b"".join([*(decoder.push(values[at : at + block].tolist()) for at in range(0, len(values), block)), decoder.end()]))
+    return out
 
 
 def decode_ids(encoded: DataFrame, ranks: str, block: int = 8192) -> DataFrame:
-    """doc_id, ids and decoded (bytes), decoded in blocks of ids as from a stream. Null ids count as none."""
+    """doc_id, ids and decoded (bytes) of rows with packed ids. Null ids count as none."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = once(("bytes", ranks), lambda: {i: t for t, i in read_ranks(ranks).items()})
-        for rows in slices(batches):
-            out = []
-            for ids in rows["ids"]:
-                decoder, runs = StreamDecoder(bytes_of), []
-                values = memoryview(ids or b"").cast("I")
-                for at in range(0, len(values), block):
-                    runs.append(decoder.push(values[at : at + block].tolist()))
-                runs.append(decoder.end())
-                out.append(b"".join(runs))
-            yield pa.record_batch([pa.array(rows["doc_id"], pa.int64()), pa.array(rows["ids"], pa.binary()), pa.array(out, pa.binary())], schema=schema)
+        for rows in slices(batches, 128):
+            yield pa.record_batch([pa.array(rows["doc_id"], pa.int64()), pa.array(rows["ids"], pa.binary()), pa.array(streamed(rows["ids"], ranks, block), pa.binary())], schema=schema)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")

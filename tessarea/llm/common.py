@@ -20,16 +20,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[dict
 
 
 class _Words(dict):
-    """Word to packed ids; an unseen word is encoded once. Cleared when it holds ``most`` words."""
+    """Word to packed ids; an unseen word is encoded once. When ``most`` words are held they become the older
+    generation and those of the generation before are forgotten, so frequent words stay."""
 
     def __init__(self, encode: Callable[[str], bytes], most: int):
         super().__init__()
-        self.encode, self.most = encode, most
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.encode(word)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        found = self[word] = self.encode(word)
+        self[word] = found
         return found
 
 
@@ -74,13 +79,18 @@ class ChunkedEncoder:
     ("whole").
     """
 
-    def __init__(self, kind: str, word: Callable[[str], bytes], whole: Callable[[str], bytes], lower: bool = False, chunks: int = 300_000, words: int = 500_000):
+    def __init__(self, kind: str, word: Callable[[str], bytes], whole: Callable[[str], bytes], lower: bool = False, chunks: int = 350_000, words: int = 300_000):
         self.kind, self.whole, self.lower = kind, whole, lower
         self.parts = WORD_PARTS if kind == "word" else BYTE_PARTS
         self.known = _Words(word, words)
         self.plain, self.spaced = _Words(self._chunk, chunks), _Words(lambda w: self._chunk(w if w[0] == "\n" else f" {w}"), chunks)
 
     def _chunk(self, chunk: str) -> bytes:
+        if self.kind == "byte" and len(chunk) > 1:  # most chunks are a word, or a word and a stop
+            if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+                return self.known[chunk]
+            if chunk[-1] in ".,!?" and chunk[1:-1].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+                return self.known[chunk[:-1]] + self.known[chunk[-1]]
         if not EASY.fullmatch(chunk):
             return self.whole(chunk)
         return b"".join(map(self.known.__getitem__, self.parts.findall(chunk.lower() if self.lower else chunk)))
@@ -123,6 +133,11 @@ def library_encoder(path: str) -> ChunkedEncoder:
     return ChunkedEncoder(kind, word, whole, any(x.get("type") == "Lowercase" for x in normalizer.get("normalizers", [])))
 
 
+def hash_edge(share: float) -> int:
+    """The signed 64-bit value below which the given share of all hashes lies."""
+    return min(2**63 - 1, int(share * 2**64) - 2**63)
+
+
 ENCODERS: dict[tuple, object] = {}
 
 

@@ -300,6 +300,49 @@ def _bounded(pairs: DataFrame, uniq: DataFrame, num: int, den: int) -> DataFrame
     return wide.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long, n_b long")
 
 
+def _across(placed: DataFrame, uniq: DataFrame, num: int, den: int, block: int = 512) -> DataFrame:
+    """Of the heavy lists (token, sid, root) that have several roots: the pairs of different roots that sizes and bitmaps can't rule out.
+
+    Sets outside their list's main component meet all sets of the list in blocks; a task compares two blocks' bitmaps and lists what is left alone."""
+    sizes = placed.groupBy("token", "root").agg(F.count("*").alias("c"))
+    lists = sizes.groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.max("c").alias("most"), F.sum("c").alias("all"), F.count("*").alias("roots"))
+    lists = lists.filter("roots > 1").select("token", "main", F.ceil((F.col("all") - F.col("most")) / block).alias("ki"), F.ceil(F.col("all") / block).alias("kj"))
+    rows = placed.join(lists, "token").join(uniq.select("sid", "n", "bits"), "sid")
+    deal = lambda k: F.pmod(F.xxhash64("sid"), F.col(k))
+    every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
+    outside = rows.filter("root <> main").select("token", deal("ki").alias("i"), every("kj").alias("j"), "sid", "root", "n", "bits")
+    whole = rows.select(F.col("token").alias("t"), every("ki").alias("p"), deal("kj").alias("q"), "sid", "root", "n", "bits")
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for x in _by_width(left):
+            for y in _by_width(right):
+                p, q = (_folded(z[0], min(x[0].shape[1], y[0].shape[1])) for z in (x, y))
+                for bits, sid, root, n in zip(p, *x[1:], strict=True):
+                    apart = np.bitwise_count(q ^ bits).sum(1, dtype=np.int64)
+                    stays = (y[2] != root) & (apart <= n + y[3] - 2 * needed(n, y[3], num, den)) & (den * n >= num * y[3]) & (den * y[3] >= num * n)
+                    found += [(min(int(sid), o), max(int(sid), o), max(int(n), k)) for o, k in zip(y[1][stays].tolist(), y[3][stays].tolist(), strict=True)]
+        return pd.DataFrame(found, columns=["a", "b", "n_b"]).drop_duplicates().astype("int64")
+
+    met = outside.groupBy("token", "i", "j").cogroup(whole.groupBy("t", "p", "q")).applyInPandas(meet, "a long, b long, n_b long")
+    return met.groupBy("a", "b").agg(F.max("n_b").alias("n_b"))
+
+
+def _by_width(rows: pd.DataFrame) -> list[tuple[np.ndarray, ...]]:
+    """Bitmaps (rows of 64-bit words), sids, roots and sizes, by the bitmaps' width."""
+    out = []
+    for _, part in rows.groupby(rows["bits"].map(len)):
+        out.append((np.frombuffer(b"".join(part["bits"]), np.uint64).reshape(len(part), -1), part["sid"].to_numpy(), part["root"].to_numpy(), part["n"].to_numpy()))
+    return out
+
+
+def _folded(bits: np.ndarray, narrow: int) -> np.ndarray:
+    while bits.shape[1] > narrow:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
 def _marks(ids: DataFrame, bits: int = 23) -> np.ndarray:
     """A bitmap of 2^bits hashed doc_ids (1 MB by default): who isn't in it isn't needed."""
     h = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits)
@@ -379,11 +422,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 4, den: int = 5,
     # Heavy lists whose members are in several components still.
     placed = hot.select("token", "sid").join(roots, F.col("sid") == F.col("node"), "left").select("token", "sid", F.coalesce("root", "sid").alias("root"))
     placed = scratch.keep(placed, "placed")
-    sizes = placed.groupBy("token", "root").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1").select("token", "main")
-    outside = placed.join(main, "token").filter("root <> main").select("token", F.col("sid").alias("a"), F.col("root").alias("root_a"))
-    across = outside.join(placed.select("token", F.col("sid").alias("b"), F.col("root").alias("root_b")), "token").filter("root_a <> root_b")
-    second = scratch.keep(_bounded(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), uniq, num, den), "second")
+    second = scratch.keep(_across(placed, uniq, num, den), "second")
     if not second.isEmpty():
         links = links.unionByName(_verified(second, docs, members, size, num, den, order, scratch))
         roots = scratch.keep(components(links, scratch), "roots")

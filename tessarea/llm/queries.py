@@ -35,10 +35,9 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from tessarea.llm.bpe_transducer import decode_ids, encode_texts
+    from tessarea.llm.bpe_transducer import encode_texts
 
-    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
-    both = decode_ids(encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    both = encode_texts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, decode=True)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessarea.llm.common import slices
+from tessarea.llm.common import hash_edge, slices
 
 SAMPLE, BUCKETS, BINS = 8_000, 1 << 16, 4096
 SYMBOLS = np.zeros(256, bool)
@@ -179,7 +179,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     ratios, accuracy = expectation_maximisation(counted["pattern"].to_numpy(np.int64), counted["count"].to_numpy(np.float64))
     share = min(1.0, sample / max(1, int(counted["count"].sum())))
     chosen = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
-    chosen = chosen.filter(F.col("h") <= int(-(2**63) + share * (2**64 - 1))).limit(2 * sample).withColumn("one", F.lit(1))
+    chosen = chosen.filter(F.col("h") <= hash_edge(share)).limit(2 * sample).withColumn("one", F.lit(1))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         texts = rows.sort_values(["h", "text"])["text"].tolist()
