@@ -311,10 +311,13 @@ def _across(placed: DataFrame, uniq: DataFrame, num: int, den: int, block: int =
     deal = lambda k: F.pmod(F.xxhash64("sid"), F.col(k))
     every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
     outside = rows.filter("root <> main").select("token", deal("ki").alias("i"), every("kj").alias("j"), "sid", "root", "n", "bits")
-    whole = rows.select(F.col("token").alias("t"), every("ki").alias("p"), deal("kj").alias("q"), "sid", "root", "n", "bits")
+    # Both sides come from one frame, so the columns of one get names (and ids) of their own.
+    own = [F.col(c).alias(f"{c}_2") for c in ("sid", "root", "n", "bits")]
+    whole = rows.select(F.col("token").alias("t"), every("ki").alias("p"), deal("kj").alias("q"), *own)
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
+        right = right.rename(columns=lambda c: c.removesuffix("_2"))
         for x in _by_width(left):
             for y in _by_width(right):
                 p, q = (_folded(z[0], min(x[0].shape[1], y[0].shape[1])) for z in (x, y))
