@@ -6,9 +6,11 @@ part along the vector ``eta`` times, since that part changes inner products with
 squares; they are fitted on a bounded sample (``SAMPLE`` vectors by a hash), and every vector is coded.
 
 The index is dealt into cells of about ``CELL`` vectors by a hash, the stated queries into blocks; each pair of block and
-cell is a bounded task that looks up two four-bit codes at a time in a query's tables, takes the best ``RERANK`` distinct
-vectors and ranks them by exact cosine in double precision. Copies of a vector are scanned once a cell, so they can't
-crowd out others; the copies with the smallest ids stand for them. The best of all cells are ranked at the end.
+cell is a bounded task that looks up two four-bit codes at a time in a query's tables and ranks the best ``RERANK`` distinct
+vectors by exact cosine in double precision. A rough score is off by no more than the length of the vector's residual, so
+every other vector whose rough score and residual together reach the nearest found so far is ranked exactly as well: what is
+left out can't be among the ``k`` nearest. Copies of a vector are scanned once a cell; the copies with the smallest ids stand
+for them. The best of all cells are ranked at the end.
 
 Defined cases: a vector that is null, zero, or holds a null or a non-finite component, or has no id, takes no part; ties go to
 the smaller id; a query has fewer rows where there are fewer candidates; an empty table gives no rows; other columns are ignored.
@@ -98,6 +100,12 @@ def train(x: np.ndarray, weight: float, rounds: int = 8, seed: int = 0) -> np.nd
     return words
 
 
+def residuals(x: np.ndarray, codes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Lengths of what the codes (M, N) leave of unit vectors."""
+    left = parts_of(x).astype(np.float64) - words[np.arange(len(codes))[:, None], codes]
+    return np.sqrt((left**2).sum((0, 2)))
+
+
 def pack(codes: np.ndarray) -> np.ndarray:
     """Codes (M, N) to bytes (ceil(M / 2), N), two four-bit codes each."""
     if len(codes) % 2:
@@ -122,10 +130,10 @@ def best_of(scores: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([above, np.flatnonzero(scores == edge)[: n - len(above)]])
 
 
-def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, words: np.ndarray, k: int, rerank: int) -> list[tuple[int, int, float]]:
-    """(query, id, cosine) of each query's ``k`` nearest found in a cell."""
+def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, residual: np.ndarray, words: np.ndarray, k: int, rerank: int) -> list[tuple[int, int, float]]:
+    """(query, id, cosine) of each query's ``k`` nearest in a cell."""
     order = np.argsort(ids, kind="stable")
-    ids, vectors, codes = ids[order], vectors[order], codes[:, order]
+    ids, vectors, codes, residual = ids[order], vectors[order], codes[:, order], residual[order]
     rows = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.shape[1] * vectors.itemsize))).ravel()
     _, first, group = np.unique(rows, return_index=True, return_inverse=True)
     group = group.ravel()
@@ -133,17 +141,30 @@ def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vec
     start = np.searchsorted(group[by_group], np.arange(len(first) + 1))
     exact = vectors[first].astype(np.float64)
     norms = np.linalg.norm(exact, axis=1)
-    scan = codes[:, first]
+    scan, residual = codes[:, first], residual[first]
     look = tables(unit(queries), words)
+    # What single precision can lose in a rough score.
+    slack = 1e-6 + 4 * np.finfo(np.float32).eps * len(scan) * np.abs(look).max(2).sum(1)
     out = []
-    for qid, q, table in zip(query_ids.tolist(), queries.astype(np.float64), look, strict=True):
+    for qid, q, table, lost in zip(query_ids.tolist(), queries.astype(np.float64), look, slack.tolist(), strict=True):
         rough = table[0][scan[0]]
         for j in range(1, len(scan)):
             rough += table[j][scan[j]]
-        near = best_of(rough, rerank)
-        cosine = (exact[near] * q).sum(1) / (norms[near] * math.sqrt(float((q * q).sum())))
+        near = best_of(rough, max(rerank, k + 1))
+        length = math.sqrt(float((q * q).sum()))
+        cosine = (exact[near] * q).sum(1) / (norms[near] * length)
+        if len(near) < len(rough):
+            # One of the first k + 1 distinct vectors may stand for the query alone.
+            reach = rough + residual + lost >= np.partition(cosine, len(cosine) - k - 1)[len(cosine) - k - 1]
+            reach[near] = False
+            more = np.flatnonzero(reach)
+            near = np.concatenate([near, more])
+            cosine = np.concatenate([cosine, (exact[more] * q).sum(1) / (norms[more] * length)])
+        if len(cosine) > k + 1:
+            stays = cosine >= np.partition(cosine, len(cosine) - k - 1)[len(cosine) - k - 1]
+            near, cosine = near[stays], cosine[stays]
         found: list[tuple[float, int]] = []
-        for g, c in sorted(zip(near.tolist(), cosine.tolist(), strict=True), key=lambda x: -x[1])[: 2 * k + 2]:
+        for g, c in zip(near.tolist(), cosine.tolist(), strict=True):
             members = ids[by_group[start[g] : min(int(start[g + 1]), int(start[g]) + k + 1)]]
             found += [(-c, int(i)) for i in members if i != qid]
         out += [(qid, i, -c) for c, i in sorted(found)[:k]]
@@ -157,7 +178,7 @@ def usable(vector: str = "embedding") -> Column:
 
 
 def build(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE) -> tuple[DataFrame, np.ndarray]:
-    """The index, a row (vec_id, raw, codes) for every vector that takes part, and the words."""
+    """The index, a row (vec_id, raw, codes, residual) for every vector that takes part, and the words."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & usable("v"))
     n = rows.count()
     chosen = rows.withColumn("h", F.xxhash64("vec_id")).filter(F.col("h") <= hash_edge(min(1.0, sample / max(1, n)))).limit(2 * sample).withColumn("one", F.lit(1))
@@ -168,15 +189,16 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
 
     made = chosen.groupBy("one").applyInPandas(fit, "words binary").collect()
     words = pickle.loads(bytes(made[0]["words"])) if made else np.zeros((1, WORDS, 2), np.float32)
-    schema = pa.schema([("vec_id", pa.int64()), ("raw", pa.binary()), ("codes", pa.binary())])
+    schema = pa.schema([("vec_id", pa.int64()), ("raw", pa.binary()), ("codes", pa.binary()), ("residual", pa.float64())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 4096):
             x = np.array(part["v"], np.float64)
-            codes = pack(encode(unit(x), words, eta(x.shape[1])))
-            yield pa.record_batch([pa.array(part["vec_id"], pa.int64()), pa.array([v.tobytes() for v in x], pa.binary()), pa.array([c.tobytes() for c in codes.T], pa.binary())], schema=schema)
+            codes = encode(unit(x), words, eta(x.shape[1]))
+            left = residuals(unit(x), codes, words)
+            yield pa.record_batch([pa.array(part["vec_id"], pa.int64()), pa.array([v.tobytes() for v in x], pa.binary()), pa.array([c.tobytes() for c in pack(codes).T], pa.binary()), pa.array(left, pa.float64())], schema=schema)
 
-    return Scratch(vectors.sparkSession, "vectors").keep(rows.mapInArrow(code, "vec_id long, raw binary, codes binary"), "index"), words
+    return Scratch(vectors.sparkSession, "vectors").keep(rows.mapInArrow(code, "vec_id long, raw binary, codes binary, residual double"), "index"), words
 
 
 def search(index: DataFrame, words: np.ndarray, is_query: Column, k: int = 5, rerank: int = RERANK) -> DataFrame:
@@ -191,7 +213,7 @@ def search(index: DataFrame, words: np.ndarray, is_query: Column, k: int = 5, re
         if len(q) and len(c):
             wide = lambda s: np.frombuffer(b"".join(s), np.float64).reshape(len(s), -1)
             codes = np.frombuffer(b"".join(c["codes"]), np.uint8).reshape(len(c), -1).T
-            found = search_cell(q["vec_id"].to_numpy(), wide(q["raw"]), c["vec_id"].to_numpy(), wide(c["raw"]), np.ascontiguousarray(codes), words, k, rerank)
+            found = search_cell(q["vec_id"].to_numpy(), wide(q["raw"]), c["vec_id"].to_numpy(), wide(c["raw"]), np.ascontiguousarray(codes), c["residual"].to_numpy(), words, k, rerank)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     met = left.groupBy("block", "cell").cogroup(right.groupBy("block", "cell")).applyInPandas(meet, "query_id long, vec_id long, score double")

@@ -138,3 +138,20 @@ def test_pipeline_on_the_table(spark):
     packed = corpus_pipeline.run(spark, SF)
     gaps = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).filter("n <> end OR end > 2048")
     assert gaps.count() == 0 and packed.count() > 0
+
+
+def test_nearest_neighbours_among_near_copies(spark):
+    """Full cells in which a third of the vectors differ by little: most share a few codes, yet all true neighbours are found."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((2 * ann.CELL, 32))
+    hot = np.arange(0, len(x), 3)
+    x[hot] = x[0] + rng.normal(0, 1e-3, (len(hot), 32))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found: dict = {}
+    for r in ann.search(*ann.build(table), F.col("vec_id") % 500 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    length = np.linalg.norm(x, axis=1)
+    for q in range(0, len(x), 500):
+        cosine = x @ x[q] / (length * length[q])
+        cosine[q] = -2
+        assert found[q] == set(np.argsort(-cosine)[:5].tolist())
