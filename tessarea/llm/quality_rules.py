@@ -1,7 +1,7 @@
 """Line-first cleaning, with DataFrame functions alone.
 
 Each line of a text is tried by the rules of LINE_RULES; lines that fail are removed. A document is rejected if a
-base rule on its words fails or if the removed lines hold more than ``most_lost`` of the characters of its lines.
+base rule on its words fails or if the removed lines hold more than ``most_lost`` of its words' characters.
 
 Base rules: fewer than 50 words, or more than half of the words in three-word windows that occur twice or more
 in the text. A word is a run of characters other than the ASCII spaces. Windows are compared by a hash of which
@@ -32,16 +32,23 @@ def _count(x: Column, letters: str) -> Column:
     return F.length(x) - F.length(F.regexp_replace(x, f"[{letters}]", ""))
 
 
+def _bare(x: Column) -> Column:
+    return F.regexp_replace(x, f"{SPACE}+", "")
+
+
 def line_rules(line: Column) -> dict[str, Column]:
-    """Which rules a line fails: too many marks or symbols, or capitals alone; bars and arrows of menus; fixed phrases."""
-    lower = F.lower(line)
+    """Of a line with a word, which rules it fails: too many marks or symbols, or mostly capitals; bars and arrows of menus; fixed phrases."""
+    lower, bare = F.lower(line), F.length(_bare(line))
     phrase = F.lit(False)
     for x in BOILERPLATE:
         phrase = phrase | F.contains(lower, F.lit(x))
-    odd = line.rlike(f"[!?{SYMBOLS}{BARS}]")  # few lines have any, so the counts are seldom made
+    # Few lines have a mark, or the 11 capitals that over half of 20 letters come to, so the counts are seldom made.
+    odd, loud = line.rlike(f"[!?{SYMBOLS}{BARS}]"), line.rlike(r"\A(?:\P{Lu}*+\p{Lu}){11}")
+    letters = F.length(F.regexp_replace(line, r"\P{L}+", ""))
+    capitals = F.length(F.regexp_replace(line, r"\P{Lu}+", ""))
     return {
-        "punctuation": (odd & ((_count(line, "!?") * 25 > F.length(line)) | (_count(line, SYMBOLS) * 25 > F.length(line)))) | ((F.length(line) >= 20) & ~line.rlike("[a-z]") & line.rlike("[A-Z]")),
-        "navigation": odd & (_count(line, BARS) * 12 > F.length(line)),
+        "punctuation": (odd & ((_count(line, "!?") * 20 > bare) | (_count(line, SYMBOLS) * 20 > bare))) | (loud & (letters >= 20) & (capitals * 2 > letters)),
+        "navigation": odd & (_count(line, BARS) * 12 > bare),
         "boilerplate": phrase,
     }
 
@@ -114,8 +121,9 @@ def _judged(two: DataFrame, most_lost: float) -> DataFrame:
     )
     four = three.withColumns({"__rule_repeats": repeats, "__rule_text": F.array_join("__rule_left", "\n")})
     base = (F.col("__rule_words") < 50) | (100 * F.col("__rule_repeats") > 50 * F.col("__rule_words"))
-    whole = F.length(F.array_join("__rule_lines", "\n"))
-    return four.withColumns({"__rule_base_failed": base, "__rule_kept": ~base & (whole - F.length("__rule_text") <= most_lost * whole)})
+    whole = F.col("__rule_word_chars")
+    lost = F.when(F.size("__rule_left") == F.size("__rule_lines"), F.lit(0)).otherwise(whole - F.length(_bare(F.col("__rule_text"))))
+    return four.withColumns({"__rule_base_failed": base, "__rule_kept": ~base & (lost <= most_lost * whole)})
 
 
 def clean(docs: DataFrame, most_lost: float = MOST_LOST) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -186,6 +187,42 @@ def test_quality_rules_remove_lines(spark):
     assert set(got) == {1, 2} and got[1].text == got[2].text == good and got[2].n_chars == len(good)
 
 
+def plain_line_fails(line):
+    bare = re.sub(SPACE, "", line)
+    letters = [c for c in bare if unicodedata.category(c)[0] == "L"]
+    count = lambda marks: sum(c in marks for c in bare)
+    capitals = sum(unicodedata.category(c) == "Lu" for c in letters)
+    return count("!?") * 20 > len(bare) or count("#*$%&|<>") * 20 > len(bare) or (len(letters) >= 20 and capitals * 2 > len(letters)) or count("|>»›•") * 12 > len(bare)
+
+
+def test_quality_rules_by_line(spark):
+    """Capitals count in any alphabet and beside small letters; marks and symbols count against the characters without spaces."""
+    lines = [
+        "THIS LINE SHOUTS BUT FOR OnE LETTER OF IT", "ЭТА СТРОКА НАПИСАНА ЗАГЛАВНЫМИ БУКВАМИ", "ΑΥΤΗ Η ΓΡΑΜΜΗ ΕΧΕΙ ΜΟΝΟ ΚΕΦΑΛΑΙΑ", "ÀÉÎÕÜ ÄÖÜÇÑ ÂÊÎÔÛ ÁÉÍÓÚ", "𝐀𝐁𝐂𝐃𝐄𝐅𝐆𝐇𝐈𝐉𝐊𝐋𝐌𝐍𝐎𝐏𝐐𝐑𝐒𝐓",
+        "ABCDEFGHIJ klmnopqrst", "ABCDEFGHIJK lmnopqrst", "ABCDEFGHIJKLMNOPQRS", "2024-01-01 ABC 10:00:00 11:00:00 12:00:00", "日本語の行はここで終わりますそして続きますよね",
+        "a" * 19 + "!", "a" * 18 + "!", "a b c d e f g h i j k l m n o p q r s!", "a" * 22 + " #", "a" * 18 + "#", "a" * 23 + "!?", "word " * 30 + "!!", "»" + "a" * 11, "»" + "a" * 10,
+    ]
+    good = prose(random.Random(3), 400).split("\n")
+    texts = ["\n".join(x for pair in zip(good, lines, strict=False) for x in pair), *("\n".join([*good[:6], *[f"{x} {i}" for i in range(40)]]) for x in lines)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in measure(df).collect():
+        left = [x for x in r.text.split("\n") if not plain_line_fails(x)]
+        assert r["__rule_text"] == "\n".join(left)
+        whole, stays = len(re.sub(SPACE, "", r.text)), len(re.sub(SPACE, "", "\n".join(left)))
+        assert r["__rule_kept"] == (not r["__rule_base_failed"] and whole - stays <= 0.5 * whole)
+    assert [plain_line_fails(x) for x in lines] == [True] * 5 + [False, True, False, False, False, False, True, False, False, True, True, False, False, True]
+
+
+def test_quality_rules_equal_their_sql(spark):
+    import duckdb
+
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    want = Counter(con.sql(Q.oracle_sql()["op6_quality_rules"]).fetchall())
+    assert Counter(map(tuple, Q.op6_quality_rules(spark, folder).collect())) == want
+
+
 def test_token_files(docs, rows):
     got = token_file_round_trip(docs, Q.vocabulary("byte_bpe_50k.json"), file_tokens=500).orderBy("start").collect()
     assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x))
