@@ -85,3 +85,17 @@ def frame_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], value: st
     off = F.abs(F.col("left_value") - F.col("right_value")) > atol + rtol * F.abs(F.col("right_value"))
     kind = F.when(F.col("_l").isNull(), "right_only").when(F.col("_r").isNull(), "left_only").when(F.coalesce(off, ~F.col("left_value").eqNullSafe(F.col("right_value"))), "differs")
     return both.withColumn("kind", kind).filter("kind IS NOT NULL").select(*keys, "left_value", "right_value", "kind")
+
+
+def token_pairs(df: DataFrame, key: str, tokens: str, most: int = 1_000) -> DataFrame:
+    """a, b, common: the pairs of rows with key a < b that share any of their distinct tokens, and how many.
+
+    A token of more than ``most`` rows is met in parts, each pair of parts a group of its own."""
+    rows = df.withColumn("row", F.monotonically_increasing_id()).select(F.col(key).alias("key"), "row", F.explode(tokens).alias("token"))
+    hot = rows.groupBy("token").count().filter(F.col("count") > most).select("token", F.ceil(F.col("count") / most).cast("int").alias("parts"))
+    cut = rows.join(hot, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own, every = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    a = cut.select("token", F.col("key").alias("a"), F.col("row").alias("a_row"), own.alias("i"), every.alias("j"))
+    b = cut.select("token", F.col("key").alias("b"), F.col("row").alias("b_row"), every.alias("i"), own.alias("j"))
+    met = a.join(b, ["token", "i", "j"]).filter("a < b")
+    return met.groupBy("a", "a_row", "b", "b_row").agg(F.count("*").alias("common")).select("a", "b", "common")

@@ -96,13 +96,10 @@ def scored_unique_best_match(t: Tables) -> DataFrame:
     return k.groupBy("s_suppkey").agg(F.min("c_custkey").alias("c_custkey"), F.count("*").alias("n")).filter("n = 1").select("s_suppkey", "c_custkey")
 
 
-@query("""WITH b AS (SELECT item_id, list_distinct(string_split(lower(text), ' ')) AS ws FROM benchmark) SELECT a.item_id AS a, b.item_id AS b, len(list_intersect(a.ws, b.ws)) AS common FROM b a JOIN b ON a.item_id < b.item_id AND a.item_id % 10 = b.item_id % 10 WHERE len(list_intersect(a.ws, b.ws)) > 0""")
+@query("""WITH b AS (SELECT item_id, list_distinct(string_split(lower(text), ' ')) AS ws FROM benchmark) SELECT a.item_id AS a, b.item_id AS b, len(list_intersect(a.ws, b.ws)) AS common FROM b a JOIN b ON a.item_id < b.item_id WHERE len(list_intersect(a.ws, b.ws)) > 0""")
 def token_overlap(t: Tables) -> DataFrame:
-    """Common tokens of the name pairs of a block."""
-    b = t.benchmark.select("item_id", (F.col("item_id") % 10).alias("block"), F.array_distinct(F.split(F.lower("text"), " ")).alias("ws"))
-    side = lambda n: b.select("block", F.col("item_id").alias(n), F.col("ws").alias(f"ws_{n}"))
-    common = F.size(F.array_intersect("ws_a", "ws_b")).cast("long")
-    return side("a").join(side("b"), "block").filter("a < b").select("a", "b", common.alias("common")).filter("common > 0")
+    """Common tokens of all pairs of names that have any."""
+    return rel.token_pairs(t.benchmark.select("item_id", F.array_distinct(F.split(F.lower("text"), " ")).alias("ws")), "item_id", "ws")
 
 
 RULES = [

@@ -134,3 +134,20 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
     twice = first_seen(read_events(spark, str(tmp_path / "in"), events.schema), "60 days", ["event_id"])
     run_once(twice, str(tmp_path / "seen"), str(tmp_path / "state2")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "seen")).count() == events.count()
+
+
+def test_token_pairs_are_all_found(spark):
+    """Whatever the ids and however common a token; rows with equal ids are pairs of their own, a null id or list has none."""
+    names = [(i, ["the"] + [w for k, w in enumerate(["oak", "elm", "ash", "yew"]) if i % (k + 2) == 0]) for i in range(60)]
+    names += [(7, ["oak"]), (None, ["the"]), (90, None), (91, []), (92, ["lone"])]
+    df = spark.createDataFrame(names, "id int, ws array<string>")
+    want = sorted((a, b, len({*x} & {*y})) for a, x in names for b, y in names if a is not None and b is not None and x and y and a < b and {*x} & {*y})
+    for most in (7, 1_000):
+        assert sorted(map(tuple, rel.token_pairs(df, "id", "ws", most).collect())) == want
+
+
+def test_token_overlap_has_all_pairs(spark, tmp_path):
+    from tessarea import plans
+
+    spark.createDataFrame([(1, "North Elm"), (2, "elm south"), (11, "oak"), (13, "Elm oak oak")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert sorted(map(tuple, plans.QUERIES["token_overlap"](spark, str(tmp_path)).collect())) == [(1, 2, 1), (1, 13, 1), (2, 13, 1), (11, 13, 1)]
