@@ -35,7 +35,7 @@ def nnls_calibration(t: Tables) -> DataFrame:
 def boosted_held_out(t: Tables) -> DataFrame:
     """Held-out fit of boosted trees."""
     p = parts(t).select("part", F.col("size").cast("double").alias("size"), "price", F.col("k").cast("double").alias("k"), "q")
-    return ml.fit_report(ml.held_out(p, ml.boosted(["size", "price", "k"], "q", depth=3, rounds=5), "part", 2), "q")
+    return ml.fit_report(ml.held_out(p, ml.boosted(["size", "price", "k"], "q"), "part"), "q")
 
 
 @query()

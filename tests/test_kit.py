@@ -151,3 +151,13 @@ def test_token_overlap_has_all_pairs(spark, tmp_path):
 
     spark.createDataFrame([(1, "North Elm"), (2, "elm south"), (11, "oak"), (13, "Elm oak oak")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert sorted(map(tuple, plans.QUERIES["token_overlap"](spark, str(tmp_path)).collect())) == [(1, 2, 1), (1, 13, 1), (2, 13, 1), (11, 13, 1)]
+
+
+def test_boosted_query_fits_the_whole_model(spark, monkeypatch):
+    from tessarea import plans
+
+    fits = []
+    monkeypatch.setattr(ml, "held_out", lambda df, pipeline, key, k=3: fits.append((pipeline.getStages()[-1], k)) or df.withColumn("prediction", F.lit(0.0)))
+    plans.QUERIES["boosted_held_out"](spark, "/root/testdata/sf0.001")
+    (model, k), whole = fits[0], ml.boosted(["x"], "q").getStages()[-1]
+    assert (model.getMaxDepth(), model.getMaxIter(), k) == (whole.getMaxDepth(), whole.getMaxIter(), 3) == (5, 20, 3)
