@@ -39,15 +39,22 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Tables written once to the shared folder, which cut lineage and outlive lost executors.
 
-    ``keep`` writes a frame and returns it as read back; ``drop`` removes a table that is no longer needed.
-    What remains is removed when the driver's Python ends.
+    ``keep`` writes a frame and returns it as read back; ``bucketed`` also lays it out by a key, so that joins on the key
+    leave it where it is; ``drop`` removes a table that is no longer needed. What remains is removed by ``close``, at the
+    latest when the driver's Python ends; as a context manager it is closed at the block's end.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.base, self.n = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}", 0
-        self.paths: dict[int, str] = {}
+        self.tables: list[str] = []
         atexit.register(self.close)
 
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     def folder(self, label: str) -> str:
         self.n += 1
         return f"{self.base}/{self.n:02d}-{label}"
@@ -55,10 +62,18 @@ class Scratch:
     def keep(self, df: DataFrame, label: str = "table") -> DataFrame:
         path = self.folder(label)
         df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        out._scratch = path
-        return out
+        return self._back(self.spark.read.schema(df.schema).parquet(path), path)
+
+    def bucketed(self, df: DataFrame, key: str, buckets: int, label: str = "table", **options) -> DataFrame:
+        path, name = self.folder(label), f"scratch_{uuid.uuid4().hex}"
+        self.tables.append(name)
+        df.write.bucketBy(buckets, key).options(path=path, **options).format("parquet").saveAsTable(name)
+        return self._back(self.spark.table(name), path)
+
+    @staticmethod
+    def _back(df: DataFrame, path: str) -> DataFrame:
+        df._scratch = path
+        return df
 
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
@@ -70,7 +85,10 @@ class Scratch:
         where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
     def close(self) -> None:
+        atexit.unregister(self.close)
         try:
+            for name in self.tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             self._remove(self.base)
         except Exception:  # the session has ended: nothing can be removed through it
             pass
