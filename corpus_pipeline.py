@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessarea.llm.jaccard_join import near_duplicates
+from tessarea.llm.jaccard_join import first_of_each
 from tessarea.llm.packing import encode_pieces, pack_pieces
 from tessarea.llm.quality_rules import clean
 from tessarea.llm.queries import vocabulary
@@ -31,15 +31,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by a similarity of 0.8 or more of their five-word shingles, the one with the smallest doc_id stays.
 
-    Documents without a doc_id stay, as no other could stand for them; of rows with equal doc_id one stays."""
-    scratch = Scratch(spark, "deduplicated")
-    groups = scratch.keep(near_duplicates(docs.select("doc_id", "text"), size=5, num=4, den=5).select("doc_id", "component_id"), "groups")
-    goes = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(goes, "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    if repeated.isEmpty():
-        return left
-    return left.filter("doc_id IS NULL").unionByName(left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    A document without a doc_id stays only if no other of its group has one; rows equal in doc_id and text are one document."""
+    return first_of_each(docs, size=5, num=4, den=5)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -142,7 +142,14 @@ ENCODERS: dict[tuple, object] = {}
 
 
 def once(key: tuple, make: Callable[[], object]) -> object:
-    """One object a Python worker: workers serve many tasks, and tables load once."""
+    """One object a Python worker: workers serve many tasks, and tables load once. Those of other files (``key[1]``) are let go."""
+    for other in [k for k in ENCODERS if k[1] != key[1]]:
+        del ENCODERS[other]
     if key not in ENCODERS:
         ENCODERS[key] = make()
     return ENCODERS[key]
+
+
+def release() -> None:
+    """Lets go of what earlier tasks of other operators left in this worker."""
+    ENCODERS.clear()

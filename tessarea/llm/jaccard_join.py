@@ -1,16 +1,17 @@
 """N-gram Jaccard self-join by prefixes and a trie.
 
-1. Every text becomes its set of distinct word shingles, each a 64-bit hash. Copies (equal sets) form classes, and
-   only one set of a class goes on.
-2. Global order of shingles: those in fewer than ``heavy`` documents by hash, then the others by rising document
-   count. Counts come from all documents: tasks sort their shingles' first 40 bits and deal them by range. The list of
-   heavy shingles is what is broadcast; the bound rises until it has ``most_heavy`` entries at most.
-3. Two sets with similarity t or more share a shingle of their first n - ceil(t n) + 1 in that order. Lists of sets
-   by light shingle have fewer than ``heavy`` members, and give pairs directly. Lists by heavy shingle arise for
-   sets that consist of shared shingles almost wholly, that is for large families of near copies. There each set is
-   paired with three hubs of its list; once what the links join is known, only sets outside their list's main
-   component are paired with the members of other components. So no link between components is missed, and no pairs
-   within a component are listed.
+1. Every text becomes its set of distinct word shingles, each a 64-bit hash of which 48 bits are kept. Copies (equal
+   sets) form classes, and only one set of a class goes on. Sets lie in chunks, a table bucketed by chunk; what later
+   steps learn of a chunk comes to it, and the sets are never shuffled as a whole.
+2. Global order of shingles: by the number of sets that have them, rarest first, then by hash. Counts are made in ranges
+   of hashes, each chunk sending each shingle once, and go back to the chunks as a byte a shingle; nothing of it is
+   collected or broadcast.
+3. Two sets with similarity t or more share a shingle of their first n - ceil(t n) + 1 in that order. Shingles in one set
+   alone lead to nothing. Lists of sets by a light shingle (fewer than ``heavy`` sets have it) give pairs directly, less
+   those that sizes and places rule out. Lists by a heavy shingle arise for sets that consist of shared shingles almost
+   wholly, that is for large families of near copies. There each set is paired with three hubs of its list; once what
+   the links join is known, only sets outside their list's main component are paired with the members of other
+   components. So no link between components is missed, and no pairs within a component are listed.
 4. Pairs pass a bound first: each set has a parity bitmap (bit i is the number of its hashes that are i modulo the width,
    modulo 2); two bitmaps differ in at most as many bits as their sets have shingles in but one of them.
 5. What is left is joined exactly. The candidates of a set form a trie in the global order, most frequent first, each
@@ -19,16 +20,18 @@
    smallest set below needs.
 6. Links give components (alternating stars).
 
-Chance: two different shingles have equal hashes with 2^-64, and classes are told apart by 64 bits of a digest.
+Chance: two shingles of a pair of sets with x and y of them are taken for one with x y 2^-48, and classes are told apart by
+64 bits of a digest of the full hashes.
 
 Defined cases: a text without words, or null, has an empty set and links with nothing; one with fewer words than a shingle is
-one shingle; a null doc_id is carried, and can't be a component's id unless all of it are null; repeated rows are copies; an empty
-table gives no rows; other columns of the input are ignored.
+one shingle; a document without doc_id links others like any document, but can't be a component's id unless all of it lack one;
+repeated rows are copies; an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,11 +40,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessarea.llm.common import slices
+from tessarea.llm.common import release, slices
 from tessarea.llm.graph import components
 from tessarea.session import Scratch
 
-HEAVY, MOST_HEAVY, SHORT = 64, 500_000, 40  # documents, shingles, bits
+HEAVY, BITS, CHUNK, GROUP = 64, 48, 400_000, 500_000  # sets; bits; shingles a chunk; shingles a group of a shuffle
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,26 +67,175 @@ def ceil_div(a, b):
     return -(-a // b)
 
 
-class Order:
-    """The global order: heavy shingles (their first SHORT bits) with document counts."""
+def planes(x: np.ndarray, width: int = BITS // 8) -> bytes:
+    """Numbers byte by byte in planes: high planes are nearly all zero, which compresses."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
-    def __init__(self, short: np.ndarray, counts: np.ndarray):
-        at = np.argsort(short, kind="stable")
-        self.short, self.counts = short[at].astype(np.uint64), counts[at].astype(np.int64)
 
-    def count(self, hashes: np.ndarray) -> np.ndarray:
-        """Document counts, 0 for light shingles."""
-        if not len(self.short):
-            return np.zeros(len(hashes), np.int64)
-        short = hashes >> np.uint64(64 - SHORT)
-        at = np.minimum(np.searchsorted(self.short, short), len(self.short) - 1)
-        return np.where(self.short[at] == short, self.counts[at], 0)
+def unplane(data: bytes, width: int = BITS // 8) -> np.ndarray:
+    n = len(data) // width
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
+def steps(x: np.ndarray) -> bytes:
+    """Ascending numbers, as planes of their differences."""
+    return planes(np.diff(x, prepend=np.uint64(0)))
+
+
+def unstep(data: bytes) -> np.ndarray:
+    return np.cumsum(unplane(data), dtype=np.uint64)
+
+
+def batch(schema: pa.Schema, *columns: list) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+
+def code_of(counts: np.ndarray) -> np.ndarray:
+    """Counts as a byte: themselves up to 200, then by power of two."""
+    return np.where(counts <= 200, counts, np.minimum(201 + np.log2(np.maximum(counts, 200) / 200), 255)).astype(np.uint8)
+
+
+def range_edges(parts: int) -> np.ndarray:
+    return (np.arange(1, parts, dtype=object) * (1 << BITS) // parts).astype(np.uint64)
+
+
+class Chunk:
+    """Distinct sets in one row: hashes in ascending order, and of each the number of its set."""
+
+    SCHEMA = "chunk long, sid long, n long, doc_id long, key long, sids binary, sizes binary, hashes binary, owners binary"
+    ARROW = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.int64()) for c in SCHEMA.split(", ")])
+
+    def __init__(self, sids: bytes, sizes: bytes, hashes: bytes, owners: bytes):
+        self.sids, self.sizes = np.frombuffer(sids, np.int64), np.frombuffer(sizes, np.int32)
+        self.hashes, self.owner = unstep(hashes), unplane(owners, 2).astype(np.int64)
+
+    @staticmethod
+    def row(chunk: int, sids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        h = np.concatenate(sets)
+        at = np.argsort(h, kind="stable")
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[at]
+        packed = (np.array(sids, np.int64).tobytes(), np.array([len(s) for s in sets], np.int32).tobytes(), steps(h[at]), planes(owner, 2))
+        return batch(Chunk.ARROW, [chunk], [None], [None], [None], [None], *[[x] for x in packed])
+
+    def only(self, sids: np.ndarray) -> None:
+        """Forgets the other sets."""
+        stays = np.isin(self.sids, sids)
+        place = np.cumsum(stays) - 1
+        kept = stays[self.owner]
+        self.hashes, self.owner = self.hashes[kept], place[self.owner[kept]]
+        self.sids, self.sizes = self.sids[stays], self.sizes[stays]
+
+    def distinct(self) -> np.ndarray:
+        """Where each distinct hash is first."""
+        return np.flatnonzero(np.diff(self.hashes, prepend=~self.hashes[:1]))
 
-    def sort(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rarest first, with the counts."""
-        count = self.count(hashes)
-        at = np.lexsort((hashes, count))
-        return hashes[at], count[at]
+    def ordered(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(sid, hashes, codes) of each set in the global order, from the codes of the distinct hashes."""
+        code = np.repeat(codes, np.diff(np.append(self.distinct(), len(self.hashes))))
+        at = np.argsort(self.owner << 8 | code, kind="stable")
+        ends = np.cumsum(np.bincount(self.owner, minlength=len(self.sids))).tolist()
+        hashes, code, start = self.hashes[at], code[at], 0
+        for sid, end in zip(self.sids.tolist(), ends, strict=True):
+            yield sid, hashes[start:end], code[start:end]
+            start = end
+
+
+def _chunks(docs: DataFrame, size: int) -> DataFrame:
+    """A row (chunk, sid, n, doc_id, key) for every document, sid null if its set is empty, and a row with the sets for every chunk.
+
+    A chunk holds each set once; documents name the chunk that has theirs. ``key`` stands for doc_id and text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        release()
+        chunk = TaskContext.get().partitionId() << 32
+        sids: dict[int, None] = {}
+        sets: list[np.ndarray] = []
+        total = 0
+        for rows in slices(batches):
+            out: list[list] = [[] for _ in range(5)]
+            for doc_id, key, text in zip(rows["doc_id"], rows["key"], rows["text"], strict=True):
+                h, sid = shingles(text or "", size), None
+                if len(h):
+                    if total >= CHUNK or len(sets) == 1 << 16:
+                        yield Chunk.row(chunk, list(sids), sets)
+                        chunk, sids, sets, total = chunk + 1, {}, [], 0
+                    sid = int(np.frombuffer(xxhash.xxh3_64_digest(h.tobytes()), "<i8")[0])
+                    if sid not in sids:
+                        sids[sid] = None
+                        sets.append(h >> np.uint64(64 - BITS))
+                        total += len(h)
+                for column, value in zip(out, (chunk, sid, len(h), doc_id, key), strict=True):
+                    column.append(value)
+            yield batch(Chunk.ARROW, *out, *[[None] * len(out[0])] * 4)
+        if sets:
+            yield Chunk.row(chunk, list(sids), sets)
+
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"), text.alias("text")).mapInArrow(run, Chunk.SCHEMA)
+
+
+def _at_chunks(chunks: DataFrame, told: DataFrame, run: Callable[[Chunk, dict], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``run`` on every chunk for which ``told`` has a row. Only ``told`` is shuffled: the chunks are bucketed."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for part in batches:
+            for i in range(part.num_rows):
+                row = part.slice(i, 1).to_pylist()[0]
+                chunk = Chunk(*[row.pop(c) for c in ("sids", "sizes", "hashes", "owners")])
+                chunk.only(np.array(row["owned"], np.int64))
+                yield from run(chunk, row)
+
+    return chunks.join(told.hint("shuffle_hash"), "chunk").mapInArrow(each, schema)
+
+
+def _codes(chunks: DataFrame, owned: DataFrame, parts: int) -> DataFrame:
+    """(chunk, owned, codes): of every chunk the sets it answers for, and the codes of their distinct shingles, in order."""
+    edges = range_edges(parts)
+    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("data", pa.binary()), ("times", pa.binary())])
+
+    def send(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
+        at = chunk.distinct()
+        h, times = chunk.hashes[at], np.diff(np.append(at, len(chunk.hashes)))
+        cuts = np.searchsorted(h, edges)
+        runs = [(p, steps(x), planes(k, 3)) for p, (x, k) in enumerate(zip(np.split(h, cuts), np.split(times, cuts), strict=True)) if len(x)]
+        yield batch(schema, [row["chunk"]] * len(runs), *[list(c) for c in zip(*runs, strict=True)])
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        runs = [unstep(x) for x in rows["data"]]
+        h, inverse = np.unique(np.concatenate(runs), return_inverse=True)
+        counts = np.bincount(inverse, np.concatenate([unplane(x, 3) for x in rows["times"]]), len(h))
+        codes = np.split(code_of(counts)[inverse], np.cumsum([len(x) for x in runs])[:-1])
+        return pd.DataFrame({"chunk": rows["chunk"], "part": rows["part"], "codes": [x.tobytes() for x in codes]})
+
+    sent = _at_chunks(chunks, owned, send, "chunk long, part int, data binary, times binary")
+    counted = sent.groupBy("part").applyInPandas(count, "chunk long, part int, codes binary")
+    # A chunk has few runs, and their codes are together no more than a byte for each of its shingles.
+    runs = counted.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("part", "codes"))).alias("runs"))
+    return runs.join(owned, "chunk").select("chunk", "owned", F.transform("runs", lambda x: x["codes"]).alias("codes"))
+
+
+def _prefixes(chunks: DataFrame, told: DataFrame, num: int, den: int, heavy: int) -> DataFrame:
+    """sid, n, bits, light with place, and hot (packed): the shingles of a set's prefix that other sets have too. Sets without any are left out."""
+    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), *[(c, pa.binary()) for c in ("bits", "light", "place", "hot")]])
+
+    def run(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
+        out: list[list] = [[] for _ in schema]
+        for sid, h, code in chunk.ordered(np.frombuffer(b"".join(row["codes"]), np.uint8)):
+            n = len(h)
+            first = code[: n - ceil_div(num * n, den) + 1]
+            if first[-1] < 2:
+                continue
+            light, hot = np.flatnonzero((first > 1) & (first < heavy)), np.flatnonzero(first >= heavy)
+            for column, value in zip(out, (sid, n, bitmap(h), h[light].tobytes(), light.astype(np.int32).tobytes(), h[hot].tobytes()), strict=True):
+                column.append(value)
+        yield batch(schema, *out)
+
+    return _at_chunks(chunks, told, run, "sid long, n long, bits binary, light binary, place binary, hot binary")
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
@@ -93,7 +245,7 @@ def bitmap(hashes: np.ndarray) -> bytes:
     return np.packbits(np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1).tobytes()
 
 
-BITS = np.array([bin(i).count("1") for i in range(256)], np.uint16)
+ONES = np.array([bin(i).count("1") for i in range(256)], np.uint16)
 
 
 def differ(a: bytes, b: bytes) -> int:
@@ -101,7 +253,7 @@ def differ(a: bytes, b: bytes) -> int:
     x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
     while len(y) > len(x):
         y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(BITS[x ^ y].sum())
+    return int(ONES[x ^ y].sum())
 
 
 def needed(x, y, num: int, den: int):
@@ -149,131 +301,65 @@ class Trie:
         return found
 
 
-def heavy_order(docs: DataFrame, size: int, heavy: int = HEAVY, most: int = MOST_HEAVY) -> Order:
-    """Document counts of all shingles; those of ``heavy`` documents or more are returned."""
-    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            short = np.sort(np.concatenate(held) >> np.uint64(64 - SHORT))
-            held.clear()
-            edges = np.searchsorted(short, (np.arange(1, parts) * (1 << SHORT) // parts).astype(np.uint64))
-            runs = [(p, x) for p, x in enumerate(np.split(short, edges)) if len(x)]
-            columns = ([p for p, _ in runs], [len(x) for _, x in runs], [planes(x) for _, x in runs])
-            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
-
-        for rows in slices(batches):
-            held += [x for t in rows["text"] if len(x := shingles(t or "", size))]
-            if sum(map(len, held)) >= 4_000_000:
-                yield flush()
-        if held:
-            yield flush()
-
-    def reduce(rows: pd.DataFrame) -> pd.DataFrame:
-        found, n = np.unique(np.concatenate([unplane(d, k) for d, k in zip(rows["data"], rows["n"], strict=True)]), return_counts=True)
-        many = n >= heavy
-        return pd.DataFrame({"short": found[many].astype(np.int64), "n": n[many]})
-
-    scratch = Scratch(docs.sparkSession, "heavy")
-    counted = scratch.keep(docs.select(F.col("text").cast("string")).mapInArrow(run, "part int, n long, data binary").groupBy("part").applyInPandas(reduce, "short long, n long"), "counts")
-    levels = counted.groupBy(F.floor(F.log2("n")).alias("level")).count().toPandas().sort_values("level", ascending=False)
-    kept = levels[levels["count"].cumsum() <= most]["level"]
-    rows = counted.filter(F.floor(F.log2("n")) >= (int(kept.min()) if len(kept) else 63)).toPandas()
-    scratch.close()
-    return Order(rows["short"].to_numpy(np.uint64), rows["n"].to_numpy(np.int64))
-
-
-def planes(x: np.ndarray) -> bytes:
-    """Sorted numbers as differences, byte by byte in planes: the high planes are nearly all zero, which compresses."""
-    step = np.diff(x, prepend=np.uint64(0)).astype("<u8")
-    return np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8)[:, : SHORT // 8].T).tobytes()
-
+def _light_pairs(prefixes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of sets with a common light shingle in their prefixes, less those that sizes and places rule out. Lists are bounded by the definition of light.
 
-def unplane(data: bytes, n: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, : SHORT // 8] = np.frombuffer(data, np.uint8).reshape(-1, n).T
-    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
-
-
-def _sets(docs: DataFrame, size: int, num: int, den: int, order) -> DataFrame:
-    """doc_id, n, sid (of the class of equal sets; null if empty), bits, light and hot: the prefix's light and heavy shingles, packed."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("bits", pa.binary()), ("light", pa.binary()), ("hot", pa.binary())])
+    If a pair's first common shingle stands at places i and j, all it has in common lies from there on."""
+    total = prefixes.agg(F.sum(F.octet_length("light") / 8)).first()[0] or 0
+    parts = max(2 * int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / (GROUP / 2)))
+    edges = range_edges(parts)
+    schema = pa.schema([("part", pa.int32()), *[(c, pa.binary()) for c in ("data", "sids", "sizes", "places")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches):
-            out: list[list] = [[] for _ in schema]
-            for doc_id, text in zip(rows["doc_id"], rows["text"], strict=True):
-                h = shingles(text or "", size)
-                n = len(h)
-                if not n:
-                    row = (doc_id, 0, None, None, None, None)
-                else:
-                    sid = int(np.frombuffer(xxhash.xxh3_64_digest(h.tobytes()), "<i8")[0])
-                    first, count = (x[: n - ceil_div(num * n, den) + 1] for x in order.value.sort(h))
-                    row = (doc_id, n, sid, bitmap(h), first[count == 0].tobytes(), first[count > 0].tobytes())
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, schema.types, strict=True)], schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, sid long, bits binary, light binary, hot binary")
-
-
-def _light_pairs(uniq: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets with a common light shingle in their prefixes. Lists are bounded by the definition of light."""
-    parts = 2 * int(uniq.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("data", pa.binary()), ("sids", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, np.ndarray]] = []
-        total = 0
+        release()
+        held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> pa.RecordBatch:
-            short = np.concatenate([x for _, x in held]) >> np.uint64(64 - SHORT)
-            sids = np.repeat(np.array([s for s, _ in held], np.int64), [len(x) for _, x in held])
+            h = np.concatenate([x for x, *_ in held])
+            at = np.argsort(h, kind="stable")
+            columns = [h[at], *[np.concatenate([x[k] for x in held])[at] for k in (1, 2, 3)]]
             held.clear()
-            at = np.argsort(short, kind="stable")
-            short, sids = short[at], sids[at]
-            edges = np.searchsorted(short, (np.arange(1, parts) * (1 << SHORT) // parts).astype(np.uint64))
-            runs = [(p, x, s) for p, (x, s) in enumerate(zip(np.split(short, edges), np.split(sids, edges), strict=True)) if len(x)]
-            columns = ([p for p, *_ in runs], [len(x) for _, x, _ in runs], [planes(x) for _, x, _ in runs], [s.tobytes() for *_, s in runs])
-            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+            cuts = np.searchsorted(columns[0], edges)
+            split = [np.split(c, cuts) for c in columns]
+            runs = [(p, steps(x), s.tobytes(), planes(n, 4), planes(i, 4)) for p, (x, s, n, i) in enumerate(zip(*split, strict=True)) if len(x)]
+            return batch(schema, *[list(c) for c in zip(*runs, strict=True)])
 
+        total = 0
         for rows in slices(batches, 2048):
-            for sid, light in zip(rows["sid"], rows["light"], strict=True):
-                if light:
-                    held.append((sid, np.frombuffer(light, np.uint64)))
-                    total += len(light) // 8
-            if total >= 2_000_000:
-                yield flush()
-                total = 0
-        if held:
+            for sid, n, light, place in zip(rows["sid"], rows["n"], rows["light"], rows["place"], strict=True):
+                h = np.frombuffer(light, np.uint64)
+                held.append((h, np.full(len(h), sid), np.full(len(h), n), np.frombuffer(place, np.int32)))
+                total += len(h)
+                if total >= GROUP:
+                    yield flush()
+                    total = 0
+        if total:
             yield flush()
 
     def reduce(rows: pd.DataFrame) -> pd.DataFrame:
-        short = np.concatenate([unplane(d, k) for d, k in zip(rows["data"], rows["n"], strict=True)])
-        sids = np.frombuffer(b"".join(rows["sids"]), np.int64)
-        at = np.lexsort((sids, short))
-        short, sids = short[at], sids[at]
+        h = np.concatenate([unstep(x) for x in rows["data"]])
+        sid, n, place = np.frombuffer(b"".join(rows["sids"]), np.int64), *(np.concatenate([unplane(x, 4) for x in rows[c]]).astype(np.int64) for c in ("sizes", "places"))
+        at = np.lexsort((sid, h))
+        h, sid, n, left = h[at], sid[at], n[at], (n - place)[at]
         pairs: list[np.ndarray] = []
         gap = 1
-        while gap < len(short):  # neighbours at each distance within a list
-            same = np.flatnonzero(short[gap:] == short[:-gap])
-            if not len(same):
+        while gap < len(h):  # neighbours at each distance within a list
+            x = np.flatnonzero(h[gap:] == h[:-gap])
+            if not len(x):
                 break
-            pairs.append(np.stack([sids[same], sids[same + gap]], 1))
+            y = x + gap
+            least = needed(n[x], n[y], num, den)
+            stays = (sid[x] != sid[y]) & (np.minimum(left[x], left[y]) >= least) & (np.minimum(n[x], n[y]) >= least)
+            pairs.append(np.stack([sid[x[stays]], sid[y[stays]]], 1))
             gap += 1
         found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), np.int64)
-        found = found[found[:, 0] != found[:, 1]]
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
-    dealt = uniq.select("sid", "light").mapInArrow(run, "part int, n long, data binary, sids binary")
-    return dealt.groupBy("part").applyInPandas(reduce, "a long, b long").distinct()
+    dealt = prefixes.filter(F.octet_length("light") > 0).select("sid", "n", "light", "place").mapInArrow(run, "part int, data binary, sids binary, sizes binary, places binary")
+    return dealt.groupBy("part").applyInPandas(reduce, "a long, b long")
 
 
-def _hot_rows(uniq: DataFrame) -> DataFrame:
+def _hot_rows(prefixes: DataFrame) -> DataFrame:
     """(token, sid) of the prefixes' heavy shingles."""
     schema = pa.schema([("token", pa.int64()), ("sid", pa.int64())])
 
@@ -283,7 +369,7 @@ def _hot_rows(uniq: DataFrame) -> DataFrame:
             if sum(map(len, parts)):
                 yield pa.record_batch([pa.array(np.concatenate(parts)), pa.array(np.repeat(np.array(rows["sid"], np.int64), [len(x) for x in parts]))], schema=schema)
 
-    return uniq.filter(F.octet_length("hot") > 0).select("sid", "hot").mapInArrow(run, "token long, sid long")
+    return prefixes.filter(F.octet_length("hot") > 0).select("sid", "hot").mapInArrow(run, "token long, sid long")
 
 
 def _bounded(pairs: DataFrame, uniq: DataFrame, num: int, den: int) -> DataFrame:
@@ -346,99 +432,101 @@ def _folded(bits: np.ndarray, narrow: int) -> np.ndarray:
     return bits
 
 
-def _marks(ids: DataFrame, bits: int = 23) -> np.ndarray:
-    """A bitmap of 2^bits hashed doc_ids (1 MB by default): who isn't in it isn't needed."""
-    h = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits)
-    rows = ids.select(h.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("m")).collect()
-    out = np.zeros((2**bits // 32768 + 2, 4096), np.uint8)
-    for r in rows:
-        out[r["k"]] = np.frombuffer(bytes(r["m"]), np.uint8)
-    return out
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, num: int, den: int, order, scratch: Scratch, unit: int = 400_000) -> DataFrame:
-    """The pairs that are links. Sets are made again from the texts of the documents needed, and sent once a unit: a set and candidates of together about ``unit`` shingles."""
-    reps = members.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+def _verified(pairs: DataFrame, chunks: DataFrame, told: DataFrame, homes: DataFrame, num: int, den: int, scratch: Scratch, unit: int = 400_000, rows: int = 256) -> DataFrame:
+    """The pairs that are links. Sets come from their chunks and are sent once a unit: a set and at most about ``rows`` candidates, of together about ``unit`` shingles."""
     asked = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    asked = scratch.keep(reps.join(asked, "sid"), "asked")
-    marks, spread = _marks(asked), F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long")), 64 - 23)
-    schema = pa.schema([("doc_id", pa.int64()), ("own", pa.int64()), ("hashes", pa.binary())])
+    asked = asked.join(homes, "sid").groupBy("chunk").agg(F.collect_list("sid").alias("asked"))
+    schema = pa.schema([("sid", pa.int64()), ("hashes", pa.binary()), ("codes", pa.binary())])
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = marks
-        for rows in slices(batches):
-            out: list[list] = [[], [], []]
-            for doc_id, text, k, bit in zip(rows["doc_id"], rows["text"], rows["k"], rows["bit"], strict=True):
-                if text and flat[k, bit // 8] >> (bit % 8) & 1:
-                    h = shingles(text, size)
-                    if len(h):
-                        for column, value in zip(out, (doc_id, int(np.frombuffer(xxhash.xxh3_64_digest(h.tobytes()), "<i8")[0]), h.tobytes()), strict=True):
-                            column.append(value)
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, schema.types, strict=True)], schema=schema)
-
-    some = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.bitmap_bucket_number(spread).cast("int").alias("k"), F.bitmap_bit_position(spread).cast("int").alias("bit"))
-    made = some.mapInArrow(make, "doc_id long, own long, hashes binary").join(asked, "doc_id").filter("own = sid").select("sid", "hashes")
-    sets = scratch.keep(made.dropDuplicates(["sid"]), "asked-sets")
-    weight = pairs.groupBy("a").agg(F.ceil(F.sum("n_b") / unit).cast("int").alias("salts"))
+    def give(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
+        wanted = set(row["asked"])
+        found = [(sid, planes(h), code.tobytes()) for sid, h, code in chunk.ordered(np.frombuffer(b"".join(row["codes"]), np.uint8)) if sid in wanted]
+        for at in range(0, len(found), 512):
+            yield batch(schema, *[list(c) for c in zip(*found[at : at + 512], strict=True)])
+
+    sets = scratch.keep(_at_chunks(chunks, told.join(asked, "chunk"), give, "sid long, hashes binary, codes binary"), "asked-sets")
+    weight = pairs.groupBy("a").agg(F.ceil(F.greatest(F.sum("n_b") / unit, F.count("*") / rows)).cast("int").alias("salts"))
     units = scratch.keep(pairs.join(weight, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")).select("a", "salt", "b"), "units")
-    right = units.join(sets.select(F.col("sid").alias("b"), "hashes"), "b").select(F.col("a").alias("of"), F.col("salt").alias("part"), "b", F.col("hashes").alias("other"))
-    left = units.select("a", "salt").distinct().join(sets.select(F.col("sid").alias("a"), "hashes"), "a").select("a", "salt", "hashes")
+    right = units.join(sets.select(F.col("sid").alias("b"), F.col("hashes").alias("other"), F.col("codes").alias("scale")), "b").select(F.col("a").alias("of"), F.col("salt").alias("part"), "b", "other", "scale")
+    left = units.select("a", "salt").distinct().join(sets.select(F.col("sid").alias("a"), "hashes", "codes"), "a").select("a", "salt", "hashes", "codes")
 
     def meet(probe: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
         if len(probe) and len(candidates):
-            sets = [np.frombuffer(x, np.uint64) for x in candidates["other"]]
-            mine = np.frombuffer(probe["hashes"].iloc[0], np.uint64)
-            known = np.unique(np.concatenate([mine, *sets]))
-            ordered, _ = order.value.sort(known)
+            sets = [unplane(x) for x in [*probe["hashes"], *candidates["other"]]]
+            code = np.frombuffer(b"".join([*probe["codes"], *candidates["scale"]]), np.uint8)
+            known, first, inverse = np.unique(np.concatenate(sets), return_index=True, return_inverse=True)
             rank = np.empty(len(known), np.int32)
-            rank[np.searchsorted(known, ordered[::-1])] = np.arange(len(known), dtype=np.int32)  # the most frequent first
-            ranks = [np.sort(rank[np.searchsorted(known, s)]) for s in sets]
-            hits = Trie(ranks).search(np.sort(rank[np.searchsorted(known, mine)]), len(known), num, den)
-            a = int(probe["a"].iloc[0])
-            out = [(a, int(candidates["b"].iloc[i])) for i in hits]
+            rank[np.lexsort((known, code[first]))[::-1]] = np.arange(len(known), dtype=np.int32)  # the most frequent first
+            mine, *others = (np.sort(x) for x in np.split(rank[inverse], np.cumsum([len(x) for x in sets])[:-1]))
+            out = [(int(probe["a"].iloc[0]), int(candidates["b"].iloc[i])) for i in Trie(others).search(mine, len(known), num, den)]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     links = left.groupBy("a", "salt").cogroup(right.groupBy("of", "part")).applyInPandas(meet, "a long, b long")
     out = scratch.keep(links, "links")
-    scratch.drop(sets, units, asked)
+    scratch.drop(sets, units)
     return out
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, num: int = 4, den: int = 5, heavy: int = HEAVY) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_size (documents with an equal set) of every document, for a similarity of num / den or more."""
+def classed(docs: DataFrame, size: int, num: int, den: int, heavy: int, out: Scratch) -> DataFrame:
+    """doc_id, key (of doc_id and text), n, sid, root (of the component) and class_size of every document; sid and root are null for empty sets."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "jaccard")
-    order = spark.sparkContext.broadcast(heavy_order(docs, size, heavy))
-    sets = scratch.keep(_sets(docs, size, num, den, order), "sets")
-    members = scratch.keep(sets.select("doc_id", "n", "sid"), "members")
-    uniq = scratch.keep(sets.filter("sid IS NOT NULL").drop("doc_id").dropDuplicates(["sid"]), "unique")
-    scratch.drop(sets)
-    light = _light_pairs(uniq)
-    hot = _hot_rows(uniq)
-    several = hot.groupBy("token").agg(F.min("sid").alias("h1"), F.max("sid").alias("h2"), F.min_by("sid", F.xxhash64("sid", "token")).alias("h3"), F.count("*").alias("c")).filter("c > 1")
-    hot = scratch.keep(hot.join(several, "token"), "hot")
-    star = hot.select("sid", F.explode(F.array("h1", "h2", "h3")).alias("hub")).filter("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct()
-    first = scratch.keep(_bounded(light.unionByName(star).distinct(), uniq, num, den), "first")
-    links = _verified(first, docs, members, size, num, den, order, scratch)
-    roots = scratch.keep(components(links, scratch), "roots")
-    # Heavy lists whose members are in several components still.
-    placed = hot.select("token", "sid").join(roots, F.col("sid") == F.col("node"), "left").select("token", "sid", F.coalesce("root", "sid").alias("root"))
-    placed = scratch.keep(placed, "placed")
-    second = scratch.keep(_across(placed, uniq, num, den), "second")
-    if not second.isEmpty():
-        links = links.unionByName(_verified(second, docs, members, size, num, den, order, scratch))
+    deal = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with Scratch(spark, "jaccard") as scratch:
+        made = scratch.bucketed(_chunks(docs, size), "chunk", deal, "chunks", compression="zstd", **{"parquet.block.size": str(32 << 20)})
+        chunks = made.filter("sids IS NOT NULL").select("chunk", "sids", "sizes", "hashes", "owners")
+        members = scratch.keep(made.filter("key IS NOT NULL").select("doc_id", "key", "n", "sid", "chunk"), "members")
+        homes = scratch.keep(members.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("chunk").alias("chunk"), F.first("n").alias("n"), F.count("*").alias("class_size")), "homes")
+        total = homes.agg(F.sum("n")).first()[0] or 0
+        owned = homes.groupBy("chunk").agg(F.collect_list("sid").alias("owned"))
+        told = scratch.keep(_codes(chunks, owned, max(2 * deal, math.ceil(total / GROUP))), "codes")
+        prefixes = scratch.keep(_prefixes(chunks, told, num, den, heavy), "prefixes")
+        light = _light_pairs(prefixes, num, den)
+        hot = _hot_rows(prefixes)
+        several = hot.groupBy("token").agg(F.min("sid").alias("h1"), F.max("sid").alias("h2"), F.min_by("sid", F.xxhash64("sid", "token")).alias("h3"), F.count("*").alias("c")).filter("c > 1")
+        hot = scratch.keep(hot.join(several, "token"), "hot")
+        star = hot.select("sid", F.explode(F.array("h1", "h2", "h3")).alias("hub")).filter("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b"))
+        first = scratch.keep(_bounded(light.unionByName(star).distinct(), prefixes, num, den), "first")
+        links = _verified(first, chunks, told, homes.select("sid", "chunk"), num, den, scratch)
         roots = scratch.keep(components(links, scratch), "roots")
-    scratch.drop(uniq, hot, placed, first, second)
-    classes = members.groupBy("sid").agg(F.min("doc_id").alias("least"), F.count("*").alias("class_size")).filter("sid IS NOT NULL")
-    named = classes.join(roots, F.col("sid") == F.col("node"), "left").select("sid", "least", "class_size", F.coalesce("root", "sid").alias("root"))
-    named = scratch.keep(named, "classes")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    table = named.join(ids, "root").select("sid", "component_id", "class_size")
+        # Heavy lists whose members are in several components still.
+        placed = hot.select("token", "sid").join(roots, F.col("sid") == F.col("node"), "left").select("token", "sid", F.coalesce("root", "sid").alias("root"))
+        placed = scratch.keep(placed, "placed")
+        second = scratch.keep(_across(placed, prefixes, num, den), "second")
+        if not second.isEmpty():
+            links = links.unionByName(_verified(second, chunks, told, homes.select("sid", "chunk"), num, den, scratch))
+            roots = scratch.keep(components(links, scratch), "roots")
+        table = homes.join(roots, F.col("sid") == F.col("node"), "left").select("sid", "class_size", F.coalesce("root", "sid").alias("root"))
+        return out.keep(members.join(table, "sid", "left").select("doc_id", "key", "n", "sid", "root", "class_size"), "classed")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, num: int = 4, den: int = 5, heavy: int = HEAVY) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_size (documents with an equal set) of every document, for a similarity of num / den or more.
+
+    ``heavy``, at most 200, parts light from heavy shingles; it changes the work, not the result."""
+    scratch = Scratch(docs.sparkSession, "components")
+    members = classed(docs, size, num, den, min(heavy, 200), scratch)
+    ids = members.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     empty: Column = F.col("sid").isNull()
-    return members.join(table, "sid", "left").select(
+    return members.join(ids, "root", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(empty, F.lit(1).cast("long")).otherwise(F.col("class_size")).alias("class_size"),
     )
+
+
+def first_of_each(docs: DataFrame, size: int = 5, num: int = 4, den: int = 5, heavy: int = HEAVY) -> DataFrame:
+    """The documents less all but one of each component: the one with the smallest doc_id stays, then the smallest hash of its text.
+
+    A document without doc_id stays only where no other of its component has one. Rows equal in doc_id and text are one document, of
+    which one row stays. Documents with an empty set all stay but for such rows."""
+    scratch = Scratch(docs.sparkSession, "deduplicated")
+    members = classed(docs.select("doc_id", "text"), size, num, den, min(heavy, 200), scratch)
+    key = "_" * (1 + max(map(len, docs.columns)))  # no column's name
+    best = members.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "key")).alias("best"))
+    goes = members.join(best, "root").filter(F.col("key") != F.col("best.key")).select(F.col("key").alias(key)).distinct()
+    repeated = members.groupBy("key").count().filter("count > 1").select(F.col("key").alias(key))
+    left = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))).join(goes, key, "left_anti")
+    again = left.join(repeated, key, "left_semi").dropDuplicates([key])
+    return left.join(repeated, key, "left_anti").unionByName(again).select(*docs.columns)
