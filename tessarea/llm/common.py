@@ -20,19 +20,22 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[dict
 
 
 class _Words(dict):
-    """Word to packed ids; an unseen word is encoded once. When ``most`` words are held they become the older
+    """Word to packed ids; an unseen word is encoded once. When about ``most`` bytes are held they become the older
     generation and those of the generation before are forgotten, so frequent words stay."""
 
+    EACH = 200  # bytes of two objects and their place in a table, beside their contents
+
     def __init__(self, encode: Callable[[str], bytes], most: int):
         super().__init__()
-        self.encode, self.most, self.older = encode, most, {}
+        self.encode, self.most, self.older, self.held = encode, most, {}, 0
 
     def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
         if found is None:
             found = self.encode(word)
-        if len(self) >= self.most:
-            self.older = dict(self)
+        self.held += self.EACH + len(word) + len(found)
+        if self.held > self.most:
+            self.older, self.held = dict(self), 0
             self.clear()
         self[word] = found
         return found
@@ -71,29 +74,38 @@ def byte_letters() -> str:
 
 
 class ChunkedEncoder:
-    """Ids of texts as packed little-endian unsigned 32-bit integers, through two bounded caches.
+    """Ids of texts as packed little-endian unsigned 32-bit integers, through a cache of at most about twice ``most`` bytes.
 
-    One cache holds chunks between spaces, the other pre-tokens, so ``word`` sees each distinct pre-token about
-    once. Where a pre-tokenizer could look across a chunk's edge, ``whole`` sees the whole text. Kinds: a split
-    into words that drops white space ("word"), one that keeps one blank before a word ("byte"), any other
-    ("whole").
+    The cache holds chunks between spaces and the words of chunks that end in a stop. Where a pre-tokenizer could look across a
+    chunk's edge, ``whole`` sees the whole text. Kinds: a split into words that drops white space ("word"), one that keeps one
+    blank before a word ("byte"), any other ("whole").
     """
 
-    def __init__(self, kind: str, word: Callable[[str], bytes], whole: Callable[[str], bytes], lower: bool = False, chunks: int = 350_000, words: int = 300_000):
-        self.kind, self.whole, self.lower = kind, whole, lower
+    def __init__(self, kind: str, word: Callable[[str], bytes], whole: Callable[[str], bytes], lower: bool = False, most: int = 64 << 20):
+        self.kind, self.word, self.whole, self.lower = kind, word, whole, lower
         self.parts = WORD_PARTS if kind == "word" else BYTE_PARTS
-        self.known = _Words(word, words)
-        self.plain, self.spaced = _Words(self._chunk, chunks), _Words(lambda w: self._chunk(w if w[0] == "\n" else f" {w}"), chunks)
+        self.plain = _Words(self._chunk, most if kind == "word" else most // 12)
+        self.spaced = _Words(self._spaced, most)
+
+    def _spaced(self, chunk: str) -> bytes:
+        """A chunk behind a blank, or behind the line feed that it begins with."""
+        if chunk.isalpha():
+            return self.word(f" {chunk}")
+        if chunk[-1] in ".,!?" and chunk[:-1].isalpha():
+            return self.spaced[chunk[:-1]] + self.plain[chunk[-1]]
+        return self._cut(chunk if chunk[0] == "\n" else f" {chunk}")
 
     def _chunk(self, chunk: str) -> bytes:
-        if self.kind == "byte" and len(chunk) > 1:  # most chunks are a word, or a word and a stop
-            if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
-                return self.known[chunk]
-            if chunk[-1] in ".,!?" and chunk[1:-1].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
-                return self.known[chunk[:-1]] + self.known[chunk[-1]]
+        if self.kind == "word":
+            low = chunk.lower() if self.lower else chunk
+            if len(chunk) > 1 and chunk[-1] in ".,!?" and EASY.fullmatch(chunk) and low[:-1].isalpha():
+                return self.plain[low[:-1]] + self.plain[chunk[-1]]
+        return self._cut(chunk)
+
+    def _cut(self, chunk: str) -> bytes:
         if not EASY.fullmatch(chunk):
             return self.whole(chunk)
-        return b"".join(map(self.known.__getitem__, self.parts.findall(chunk.lower() if self.lower else chunk)))
+        return b"".join(map(self.word, self.parts.findall(chunk.lower() if self.lower else chunk)))
 
     def __call__(self, text: str) -> bytes:
         if self.kind == "word":

@@ -154,6 +154,60 @@ def test_transducer_on_random_bytes_and_with_few_states():
         assert list(struct.unpack(f"<{len(got) // 4}I", got)) == merge_by_rank(word, ranks)
 
 
+def test_two_tokens_stand_apart_just_if_encoding_keeps_them():
+    ranks = read_ranks(Q.vocabulary("byte_bpe_multi_50k.tiktoken"))
+    machine, rng = Transducer(ranks), random.Random(7)
+    same = [t for t, b in machine.bytes_of.items() if len(set(b)) <= 2]  # ties of rank
+    short = [t for t, b in machine.bytes_of.items() if len(b) <= 4]
+    for pool in (same, short, list(machine.bytes_of)):
+        for _ in range(3000):
+            left, right = rng.choice(pool), rng.choice(pool)
+            if machine._made(left) and machine._made(right):
+                assert machine._apart(left, right) == (merge_by_rank(machine.bytes_of[left] + machine.bytes_of[right], ranks) == [left, right])
+
+
+def test_long_words_are_emitted_in_part(monkeypatch):
+    ranks = read_ranks(Q.vocabulary("byte_bpe_multi_50k.tiktoken"))
+    monkeypatch.setattr(Transducer, "BLOCK", 16)
+    machine, rng = Transducer(ranks), random.Random(8)
+    for text in ["a" * 700, "ab" * 300, "".join(rng.choice("abcdefghijklmnop") for _ in range(500)), " " * 300, "é日" * 90]:
+        got = machine(text.encode())
+        assert list(struct.unpack(f"<{len(got) // 4}I", got)) == merge_by_rank(text.encode(), ranks)
+
+
+def test_random_unicode_equals_the_library():
+    import tiktoken
+
+    from tessarea.llm.bpe_transducer import rank_encoder
+
+    path = Q.vocabulary("byte_bpe_multi_50k.tiktoken")
+    ranks = read_ranks(path)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encode, rng = rank_encoder(path, public_tokenizers.PATTERN), random.Random(9)
+    signs = [chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0x2000), rng.randrange(0x3000, 0xA000), rng.randrange(0x1F300, 0x1F700), 10, 32, 32, 9])) for _ in range(4000)]
+    for _ in range(300):
+        text = "".join(rng.choice(signs) for _ in range(rng.randrange(60)))
+        ids = library.encode_ordinary(text)
+        assert encode(text) == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_stream_decoder_carries_its_state():
+    """Whatever the blocks, the bytes come back; what is passed on ends with a whole character where the bytes are a text."""
+    rng, text = random.Random(10), "aé日\U0001f600ß€\U0010ffffz" * 9
+    broken = bytes(rng.randrange(256) for _ in range(400))
+    for data in (text.encode(), broken, text.encode()[:-2], "é".encode()[:1] + b"a" + "日".encode()):
+        for _ in range(30):
+            decoder, out, at = StreamDecoder({i: bytes([i]) for i in range(256)}), [], 0
+            while at < len(data):
+                to = at + rng.randrange(1, 6)
+                out.append(decoder.push(list(data[at:to])))
+                at = to
+            out.append(decoder.end())
+            assert b"".join(out) == data
+            if data == text.encode():
+                assert "".join(x.decode() for x in out) == text
+
+
 def test_stream_decoder_holds_back_part_of_a_character():
     decoder = StreamDecoder({i: bytes([i]) for i in range(256)})
     out = [decoder.push([b]) for b in "é日\U0001f600".encode()]
