@@ -2,8 +2,10 @@
 
 A text's bytes are cut into segments of ``SEGMENT``, each a row of a block of rows of falling length; one network reads
 each row forwards, one backwards, and together they give every byte a label distribution. A document's distribution
-is the mean over all its bytes. Weights are found by backpropagation through time on a bounded sample: segments of about
-``SAMPLE`` labelled documents by a hash, fitted in one task. Every byte of every text is read for a prediction.
+is the mean over all its bytes. Weights are found by backpropagation through time on a bounded sample, fitted in one task:
+about ``SAMPLE`` labelled documents by a hash, the same number for each language that has so many, and of each text
+``DRAWS`` segments of ``TRAIN`` bytes, which lie anywhere in it (by the hash; texts of up to that length go in whole). Every
+byte of every text is read for a prediction.
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0; rows without a lang teach nothing; with no
 labelled row at all every document is ``und``; a null doc_id is carried and held out; repeated rows are predicted alike; an
@@ -13,7 +15,6 @@ empty table gives no rows; other columns of the input are ignored.
 from __future__ import annotations
 
 import pickle
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessarea.llm.common import hash_edge, slices
+from tessarea.llm.common import slices
 
 SAMPLE, SEGMENT, HIDDEN, ROWS = 3_000, 256, 8, 1024
-LETTER = re.compile(r"[^\W\d_]")
+TRAIN, DRAWS = 96, 2  # bytes of a training segment, and how many are drawn from a text
 
 
 @dataclass
@@ -169,14 +170,20 @@ def gradients(net: Network, block: np.ndarray, target: np.ndarray, weight: np.nd
     return loss, [*dw, *du, *dc, *dv, p.sum((0, 2)).reshape(c, 1)]
 
 
-def train(raw: list[bytes], lang: list[str], epochs: int = 6, size: int = 96, batch: int = 256, rate: float = 0.02) -> Network:
-    """A network fitted to up to two segments of each text; languages weigh the same. The order is fixed, so are the weights."""
+def drawn(raw: bytes, seed: int, size: int = TRAIN, draws: int = DRAWS) -> list[bytes]:
+    """Segments from all over a text: one from each of ``draws`` equal stretches of it, at a place that the seed tells."""
+    room = max(0, len(raw) - size)
+    places = {(k * room + (seed >> 16 * k) % (room + 1)) // draws for k in range(draws)}
+    return [raw[at : at + size] for at in sorted(places)]
+
+
+def train(raw: list[bytes], lang: list[str], epochs: int = 6, size: int = TRAIN, batch: int = 256, rate: float = 0.02) -> Network:
+    """A network fitted to segments; languages weigh the same. The order is fixed, so are the weights."""
     langs = sorted(set(lang))
     net, rng = Network.new(langs), np.random.default_rng(1)
-    cuts = [(i, at) for i, x in enumerate(raw) if len(x) >= 1 for at in {0, max(0, len(x) // 2 - size // 2)}]
+    cuts = [(i, x) for i, x in enumerate(raw) if len(x) >= 1]
     block = np.full((len(cuts), size), 32, np.uint8)
-    for row, (i, at) in enumerate(cuts):
-        part = raw[i][at : at + size]
+    for row, (_, part) in enumerate(cuts):
         whole = part * (size // len(part) + 1)  # a short text is repeated
         block[row] = np.frombuffer(whole[:size], np.uint8)
     target = np.array([langs.index(lang[i]) for i, _ in cuts], np.int64)
@@ -205,19 +212,30 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
-    """Fitted on about ``sample`` labelled documents that are not held out, those with the smallest hashes, twice as many at most."""
+    """Fitted on about ``sample`` labelled documents that are not held out, those with the smallest hashes of each language.
+
+    Of a language with fewer than its share all go in. Only the drawn segments are sent to the fitting task."""
     labelled = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    labelled = labelled.filter(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
-    n = labelled.select("doc_id").count()
-    h = F.xxhash64("doc_id", "text")
-    chosen = labelled.withColumn("h", h).filter(F.col("h") <= hash_edge(min(1.0, sample / max(1, n)))).limit(2 * sample).withColumn("one", F.lit(1))
+    labelled = labelled.filter(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("h", F.xxhash64("doc_id", "text"))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    known = counts.count()
+    # The share of a language's hashes; as a double it is compared with the hash as a double, off by a few in 2^53.
+    edges = counts.select("lang", F.least(F.lit(1.0), F.lit(sample / max(1, known)) / F.col("n")).alias("share"))
+    chosen = labelled.join(edges, "lang").filter(F.col("h").cast("double") <= F.col("share") * 2.0**64 - 2.0**63)
+    schema = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("segment", pa.binary())])
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches):
+            made = [(h, lang, x) for h, lang, t in zip(rows["h"], rows["lang"], rows["text"], strict=True) for x in drawn(t.encode("utf-8", "surrogatepass"), h & 2**63 - 1)]
+            yield pa.record_batch([pa.array(list(c), t) for c, t in zip(zip(*made, strict=True) if made else ([], [], []), schema.types, strict=True)], schema=schema)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["h", "text"])
-        net = train([t.encode("utf-8", "surrogatepass") for t in rows["text"]], rows["lang"].tolist())
+        rows = rows.sort_values(["h", "segment"])
+        net = train(rows["segment"].tolist(), rows["lang"].tolist())
         return pd.DataFrame({"net": [pickle.dumps(net)]})
 
-    made = chosen.drop("doc_id").groupBy("one").applyInPandas(run, "net binary").collect()
+    segments_drawn = chosen.select("h", "lang", "text").mapInArrow(draw, "h long, lang string, segment binary").withColumn("one", F.lit(1))
+    made = segments_drawn.groupBy("one").applyInPandas(run, "net binary").collect()
     return pickle.loads(bytes(made[0]["net"])) if made else None
 
 
@@ -227,7 +245,7 @@ def identify(docs: DataFrame, net: Network | None, rows_held: int = 512) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, rows_held):
-            texts = [t if t and LETTER.search(t) and net else "" for t in rows["text"]]
+            texts = [t if t and net and any(map(str.isalpha, t)) else "" for t in rows["text"]]
             raw = [t.encode("utf-8", "surrogatepass") for t in texts]
             chance = predict(net, raw) if net else np.zeros((len(raw), 1))
             best = chance.argmax(1)
