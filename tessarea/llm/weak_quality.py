@@ -3,7 +3,7 @@
 Heuristic labellers each vote good (2), bad (1) or abstain (0) on a whole text. The votes of all documents are
 counted by pattern in Spark (at most 3^L rows, whatever the input); expectation-maximisation over the patterns
 estimates each labeller's vote probabilities for good and for bad documents, and so the posterior of any
-pattern. Posteriors are the soft labels of a logistic scorer over hashed features: byte pairs by share of
+pattern. Posteriors are the soft labels of a logistic scorer over hashed features: runs of three bytes by share of
 the text, and binned statistics. The scorer is fitted on a bounded sample, ``SAMPLE`` documents by a hash, in one task;
 every document is scored.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tessarea.llm.common import hash_edge, slices
 
-SAMPLE, BUCKETS, BINS = 8_000, 1 << 16, 4096
+SAMPLE, BUCKETS, BINS = 6_000, 1 << 16, 4096
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#$%&*|<>")] = True
 
@@ -127,9 +127,11 @@ def posterior(ratios: np.ndarray, votes: np.ndarray) -> np.ndarray:
 
 
 def features(text: str, values: list[float]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features: byte pairs, weighted by ten times the root of their share, and the statistics' bins."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8).astype(np.int64)
-    pairs, n = np.unique((raw[:-1] << 8 | raw[1:]) * 40503 % BUCKETS, return_counts=True)
+    """Hashed features: runs of three bytes, weighted by three times the root of their bucket's share, and the statistics' bins."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
+    n = np.bincount((raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]) * np.uint32(2654435769) >> np.uint32(16), minlength=BUCKETS) if len(raw) > 2 else np.zeros(BUCKETS, np.int64)
+    pairs = np.flatnonzero(n)
+    n = n[pairs]
     bins = BUCKETS + np.array([(j * 521 + int(np.digitize(v, EDGES[j]))) % BINS for j, v in enumerate(values)], np.int64)
     return np.concatenate([pairs, bins]), np.concatenate([3 * np.sqrt(n / max(1, n.sum())), np.ones(len(bins))]).astype(np.float32)
 
@@ -151,14 +153,12 @@ class Model:
         return p, float(1 / (1 + np.exp(-np.clip((self.weights[at] * x).sum() + self.weights[-1], -30, 30))))
 
 
-def fit_scorer(texts: list[str], ratios: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 0.3, decay: float = 1e-4) -> np.ndarray:
-    """Logistic regression on soft labels by adaptive gradient steps; the order is fixed, so are the weights."""
-    made = [(values := statistics(t), features(t, values))[1] for t in texts]
-    soft = posterior(ratios, np.array([vote(statistics(t)) for t in texts]).reshape(-1, len(LABELLERS)))
+def fit_scorer(made: list[tuple[np.ndarray, np.ndarray]], soft: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 0.3, decay: float = 1e-4) -> np.ndarray:
+    """Logistic regression of soft labels on features by adaptive gradient steps; the order is fixed, so are the weights."""
     w, seen = np.zeros(BUCKETS + BINS + 1), np.full(BUCKETS + BINS + 1, 1e-3)
     order = np.random.default_rng(0)
-    for _ in range(epochs if texts else 0):
-        perm = order.permutation(len(texts))
+    for _ in range(epochs if made else 0):
+        perm = order.permutation(len(made))
         for at in range(0, len(perm), batch):
             part = perm[at : at + batch]
             idx = np.concatenate([made[i][0] for i in part])
@@ -178,14 +178,25 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     counted = label(docs).groupBy("pattern").count().toPandas()
     ratios, accuracy = expectation_maximisation(counted["pattern"].to_numpy(np.int64), counted["count"].to_numpy(np.float64))
     share = min(1.0, sample / max(1, int(counted["count"].sum())))
-    chosen = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
-    chosen = chosen.filter(F.col("h") <= hash_edge(share)).limit(2 * sample).withColumn("one", F.lit(1))
+    chosen = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("h")).filter(F.col("h") <= hash_edge(share))
+    schema = pa.schema([("h", pa.int64()), ("soft", pa.float64()), ("at", pa.binary()), ("x", pa.binary())])
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches):
+            values = [statistics(t) for t in rows["text"]]
+            soft = posterior(ratios, np.array([vote(v) for v in values]).reshape(-1, len(LABELLERS)))
+            made = [features(t, v) for t, v in zip(rows["text"], values, strict=True)]
+            packed = [[at.astype(np.int32).tobytes() for at, _ in made], [x.tobytes() for _, x in made]]
+            yield pa.record_batch([pa.array(rows["h"], pa.int64()), pa.array(soft, pa.float64()), *[pa.array(c, pa.binary()) for c in packed]], schema=schema)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        texts = rows.sort_values(["h", "text"])["text"].tolist()
-        return pd.DataFrame({"weights": [pickle.dumps(fit_scorer(texts, ratios).astype(np.float32))]})
+        rows = rows.sort_values(["h", "at"])
+        made = [(np.frombuffer(at, np.int32), np.frombuffer(x, np.float32)) for at, x in zip(rows["at"], rows["x"], strict=True)]
+        return pd.DataFrame({"weights": [pickle.dumps(fit_scorer(made, rows["soft"].to_numpy()).astype(np.float32))]})
 
-    made = chosen.groupBy("one").applyInPandas(run, "weights binary").collect()
+    # Features, of which a text has BUCKETS at most, go to the fitting task, and of copies of a text only those with different ids.
+    reduced = chosen.dropDuplicates(["h"]).mapInArrow(reduce, "h long, soft double, at binary, x binary").limit(2 * sample).withColumn("one", F.lit(1))
+    made = reduced.groupBy("one").applyInPandas(run, "weights binary").collect()
     weights = pickle.loads(bytes(made[0]["weights"])) if made else np.zeros(BUCKETS + BINS + 1, np.float32)
     return Model(ratios, dict(zip(NAMES, accuracy.tolist(), strict=True)), weights)
 
