@@ -5,15 +5,16 @@ part along the vector ``eta`` times, since that part changes inner products with
 |r|^2 + (eta - 1) <r, x>^2. Codes and words are found by coordinate descent over the parts, words by weighted least
 squares; they are fitted on a bounded sample (``SAMPLE`` vectors by a hash), and every vector is coded.
 
-The index is dealt into cells of about ``CELL`` vectors by a hash, the stated queries into blocks; each pair of block and
-cell is a bounded task that looks up two four-bit codes at a time in a query's tables and ranks the best ``RERANK`` distinct
-vectors by exact cosine in double precision. A rough score is off by no more than the length of the vector's residual, so
+The index is dealt into cells of about ``CELL`` vectors by a hash, the stated queries into blocks of about ``BLOCK``; each pair
+of block and cell is a bounded task that makes the tables of ``AT_ONCE`` queries at a time, looks up two four-bit codes at a
+time in them and ranks the best ``RERANK`` distinct vectors by exact cosine in double precision. With N vectors and Q queries
+N Q / BLOCK vectors and N Q / CELL queries are shuffled. A rough score is off by no more than the length of the vector's residual, so
 every other vector whose rough score and residual together reach the nearest found so far is ranked exactly as well: what is
 left out can't be among the ``k`` nearest. Copies of a vector are scanned once a cell; the copies with the smallest ids stand
 for them. The best of all cells are ranked at the end.
 
-Defined cases: a vector that is null, zero, or holds a null or a non-finite component, or has no id, takes no part; ties go to
-the smaller id; a query has fewer rows where there are fewer candidates; an empty table gives no rows; other columns are ignored.
+Defined cases: a vector that is null, zero, or holds a null or a non-finite component, or has no id, takes no part, nor does one
+that has another length than most (of equally frequent lengths the smallest); ties go to the smaller id; a query has fewer rows where there are fewer candidates; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql.window import Window
 from tessarea.llm.common import hash_edge, slices
 from tessarea.session import Scratch
 
-SAMPLE, WORDS, CELL, BLOCK, RERANK = 16_384, 16, 8_192, 1_024, 96
+SAMPLE, WORDS, CELL, BLOCK, RERANK, AT_ONCE = 16_384, 16, 8_192, 16_384, 96, 256
 
 
 def eta(dim: int, threshold: float = 0.2) -> float:
@@ -130,6 +131,15 @@ def best_of(scores: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([above, np.flatnonzero(scores == edge)[: n - len(above)]])
 
 
+def looked_up(query_ids: np.ndarray, queries: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, float]]:
+    """Each query with its tables and what single precision can lose in a rough score."""
+    for at in range(0, len(queries), AT_ONCE):
+        some = queries[at : at + AT_ONCE].astype(np.float64)
+        look = tables(unit(some), words)
+        slack = 1e-6 + 4 * np.finfo(np.float32).eps * look.shape[1] * np.abs(look).max(2).sum(1)
+        yield from zip(query_ids[at : at + AT_ONCE].tolist(), some, look, slack.tolist(), strict=True)
+
+
 def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, residual: np.ndarray, words: np.ndarray, k: int, rerank: int) -> list[tuple[int, int, float]]:
     """(query, id, cosine) of each query's ``k`` nearest in a cell."""
     order = np.argsort(ids, kind="stable")
@@ -142,11 +152,8 @@ def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vec
     exact = vectors[first].astype(np.float64)
     norms = np.linalg.norm(exact, axis=1)
     scan, residual = codes[:, first], residual[first]
-    look = tables(unit(queries), words)
-    # What single precision can lose in a rough score.
-    slack = 1e-6 + 4 * np.finfo(np.float32).eps * len(scan) * np.abs(look).max(2).sum(1)
     out = []
-    for qid, q, table, lost in zip(query_ids.tolist(), queries.astype(np.float64), look, slack.tolist(), strict=True):
+    for qid, q, table, lost in looked_up(query_ids, queries, words):
         rough = table[0][scan[0]]
         for j in range(1, len(scan)):
             rough += table[j][scan[j]]
@@ -180,7 +187,9 @@ def usable(vector: str = "embedding") -> Column:
 def build(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE) -> tuple[DataFrame, np.ndarray]:
     """The index, a row (vec_id, raw, codes, residual) for every vector that takes part, and the words."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & usable("v"))
-    n = rows.count()
+    lengths = sorted(rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect())
+    rows = rows.filter(F.size("v") == (lengths[0]["size"] if lengths else 0))
+    n = lengths[0]["count"] if lengths else 0
     chosen = rows.withColumn("h", F.xxhash64("vec_id")).filter(F.col("h") <= hash_edge(min(1.0, sample / max(1, n)))).limit(2 * sample).withColumn("one", F.lit(1))
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
