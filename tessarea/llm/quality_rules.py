@@ -4,12 +4,12 @@ Each line of a text is tried by the rules of LINE_RULES; lines that fail are rem
 base rule on its words fails or if the removed lines hold more than ``most_lost`` of its words' characters.
 
 Base rules: fewer than 50 words, or more than half of the words in three-word windows that occur twice or more
-in the text. A word is a run of characters other than the ASCII spaces. Windows are compared by a hash of which
-at least 64 - log2(words) bits count.
+in the text. A word is a run of characters other than the ASCII spaces. Windows are sorted by the bits of a hash that their
+places leave, at least 64 - log2(words) of them, and neighbours there with equal bits are compared word by word.
 
 Defined cases: a null text has no words, no lines and fails; an empty text likewise; a null doc_id is carried; repeated
-rows are judged alike; an empty table gives no rows. ``clean`` keeps the input's columns whatever their names: its
-own work columns start with ``__rule_``.
+rows are judged alike; an empty table gives no rows. ``measure`` replaces columns of the input with the names of its own, which
+all start with ``__rule_``; ``clean`` keeps the input's columns and their values whatever their names.
 """
 
 from __future__ import annotations
@@ -105,8 +105,14 @@ def _judged(two: DataFrame, most_lost: float) -> DataFrame:
     def key(x: Column) -> Column:
         return F.call_function("shiftrightunsigned", x, bits)
 
+    def place(x: Column) -> Column:
+        return (x - F.call_function("shiftleft", key(x), bits)).cast("int")
+
     def same(x: Column, y: Column) -> Column:
-        return key(x.bitwiseXOR(y)) == 0
+        alike = key(x.bitwiseXOR(y)) == 0
+        for k in range(3):
+            alike = alike & (F.get("__rule_list", place(x) + k) == F.get("__rule_list", place(y) + k))
+        return F.coalesce(alike, F.lit(False))
 
     places = F.transform(
         F.filter(windows, lambda x, k: same(x, F.get(windows, k - 1)) | same(x, F.get(windows, k + 1))),
@@ -128,9 +134,13 @@ def _judged(two: DataFrame, most_lost: float) -> DataFrame:
 
 def clean(docs: DataFrame, most_lost: float = MOST_LOST) -> DataFrame:
     """The documents that pass, with the failing lines removed from ``text`` and ``n_chars``, where there is one, brought up to date."""
+    # Columns of the input with names of the work columns are named anew meanwhile.
+    other = "_" * (1 + max((len(c) for c in docs.columns), default=0))
+    clash = {c: other + c for c in docs.columns if c.startswith("__rule_")}
+    docs, columns = docs.withColumnsRenamed(clash), docs.columns
     # A condition on the verdict alone would be pushed below the work columns, each written out wherever it is used, inside
     # lambdas too: square work in a text's words. A filter stays above a column that depends on the partition.
     stays = F.col("__rule_kept") & (F.spark_partition_id() >= 0)
     kept = measure(docs, most_lost).withColumn("__rule_stays", stays).filter("__rule_stays")
     new = {"text": F.col("__rule_text")} | ({"n_chars": F.length("__rule_text").cast("long")} if "n_chars" in docs.columns else {})
-    return kept.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*[new[c].alias(c) if c in new else F.col(f"`{clash.get(c, c)}`").alias(c) for c in columns])
