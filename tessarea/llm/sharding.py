@@ -67,7 +67,7 @@ def place_atoms(sizes: np.ndarray, shards: int) -> np.ndarray:
     return out
 
 
-def assign_shards(docs: DataFrame, shards: int = 24, bits: int = 16, rank_rows: int = 20_000, keep: tuple[str, ...] = ()) -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = 24, bits: int = 16, rank_rows: int = 4_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, size (bytes of the text plus 8), text_crc32, shard and slot of every row, and the columns in ``keep``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "sharding")
@@ -85,16 +85,16 @@ def assign_shards(docs: DataFrame, shards: int = 24, bits: int = 16, rank_rows:
     placed = atoms.assign(shard=place_atoms(atoms["bytes"].to_numpy(np.int64), shards), parts=-(-atoms["n"] // rank_rows))
     hot = placed[placed["parts"] > 1]
     parts = spark.createDataFrame([(int(a), int(p)) for a, p in zip(hot["_atom"], hot["parts"], strict=True)], "_atom int, _parts int")
-    # Both lists have at most a row for each atom, and as many more as the rows give parts.
-    dealt = rows.join(F.broadcast(parts), "_atom", "left").withColumn("_part", F.floor(F.col("_salt") * F.coalesce("_parts", F.lit(1))).cast("int"))
-    counts = dealt.groupBy("_atom", "_part").agg(F.count("*").alias("n")).toPandas()
-    counts = counts.merge(placed[["_atom", "shard"]], on="_atom").sort_values(["shard", "_atom", "_part"])
-    counts["first"] = counts.groupby("shard")["n"].cumsum() - counts["n"]
-    offsets = spark.createDataFrame([tuple(map(int, x)) for x in counts[["_atom", "_part", "shard", "first"]].itertuples(index=False)], "_atom int, _part int, shard int, _first long")
+    # Both lists have at most a row for each of the 2^bits atoms; the offsets, a row for each part, are made and joined in Spark.
+    dealt = rows.join(parts, "_atom", "left").withColumn("_part", F.floor(F.col("_salt") * F.coalesce("_parts", F.lit(1))).cast("int"))
+    shard_of = spark.createDataFrame([(int(a), int(x)) for a, x in zip(placed["_atom"], placed["shard"], strict=True)], "_atom int, shard int")
+    counts = dealt.groupBy("_atom", "_part").agg(F.count("*").alias("n")).join(shard_of, "_atom")
+    before = F.sum("n").over(Window.partitionBy("shard").orderBy("_atom", "_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_atom", "_part", "shard", F.coalesce(before, F.lit(0)).cast("long").alias("_first"))
     rank = F.row_number().over(Window.partitionBy("_atom", "_part").orderBy("doc_id", "text_crc32"))
     return (
         dealt.withColumn("_rank", rank)
-        .join(F.broadcast(offsets), ["_atom", "_part"])
+        .join(offsets, ["_atom", "_part"])
         .select("doc_id", "size", "text_crc32", "shard", (F.col("_first") + F.col("_rank") - 1).cast("long").alias("slot"), *[F.col(f"_kept_{c}").alias(c) for c in keep])
     )
 
