@@ -4,7 +4,7 @@ Documents become pieces of at most ``capacity`` ids; pieces become full training
 placed where the sum over gaps g of N(g)^2 becomes smallest, N(g) being the number of open sequences with
 g free places: the rule keeps gaps varied, so that later pieces find a perfect fit.
 
-Distribution: pieces are dealt to groups of about ``group_rows`` by a hash, each packed by itself in a task
+Distribution: pieces are dealt to groups of about ``group_rows`` by a hash of their place, each packed by itself in a task
 of bounded size (a row there holds no ids). Sequences that a group leaves with more than ``loose`` free
 places are opened again and their pieces packed together in a second round of fewer groups.
 
@@ -108,5 +108,6 @@ def _round(pieces: DataFrame, capacity: int, group_rows: int, which: int) -> Dat
         base = (np.int64(rows["_group"].iloc[0]) * 2 + which) << np.int64(32)
         return rows[kept].assign(sequence_id=base + where, offset=offset, _gap=capacity - used[where])
 
-    keyed = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit(which), "doc_id", "piece"), F.lit(groups)))
+    # By the row's place in the written table: rows without doc_id, or with the same, are spread like others.
+    keyed = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit(which), F.monotonically_increasing_id()), F.lit(groups)))
     return keyed.groupBy("_group").applyInPandas(run, f"{fields}, sequence_id long, offset long, _gap long")

@@ -13,7 +13,7 @@ Files are written by tasks over ranges of doc_id, each under a name of its own a
 that runs twice leaves the same file. They lie in a folder that all executors share.
 
 Defined cases: a null text counts as empty and has just the end id; a null doc_id sorts first and comes back as
-null; rows with equal doc_id keep an order by text; an empty table gives no file and no rows.
+null; rows with equal doc_id come in the order of a hash of their texts; an empty table gives no file and no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -162,8 +162,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
             yield flush()
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(run, MANIFEST)
+    # The hash of the text and the row's place part the rows without doc_id, or with the same, among tasks.
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("at"))
+    ordered = rows.repartitionByRange(n, "doc_id", "h", "at").sortWithinPartitions("doc_id", "h", "at")
+    return ordered.select("doc_id", "text").mapInArrow(run, MANIFEST)
 
 
 def read_token_files(manifest: DataFrame, batch_tokens: int = 1_000_000) -> DataFrame:
@@ -210,8 +212,43 @@ def token_file_round_trip(docs: DataFrame, tokenizer: str, folder: str | None =
     return read_token_files(manifest)
 
 
-def open_token_file(spark: SparkSession, path: str) -> TokenFile:
-    """One file, for access to single ids."""
-    store, name = fs.FileSystem.from_uri(path)
-    with store.open_input_stream(name) as f:
-        return TokenFile(f.read())
+class OpenTokenFile:
+    """One file in its store, for access to single ids: the header is read once; an id costs a chunk, and a block of bits and its rank, a level."""
+
+    def __init__(self, path: str):
+        store, name = fs.FileSystem.from_uri(path)
+        self.file = store.open_input_file(name)
+        if self.file.read_at(4, 0) != MAGIC:
+            raise ValueError("not a token file")
+        levels, self.n, docs = self._words("<u8", 3, 4)
+        self.widths = self._words("u1", levels, 28)
+        at = 28 + levels + 13 * docs
+        self.levels: list[tuple[str, int, int, int]] = []  # kind and places of chunks, bitmap and ranks
+        for width in self.widths:
+            n, kind = self._words("<u8", 1, at)[0], "u1" if width <= 8 else "<u2"
+            bits = at + 8 + n * np.dtype(kind).itemsize
+            self.levels.append((kind, at + 8, bits, bits + (n + 7) // 8))
+            at = bits + (n + 7) // 8 + 4 * (n // BLOCK + 1)
+
+    def _words(self, kind: str, n: int, at: int) -> list[int]:
+        size = np.dtype(kind).itemsize
+        return np.frombuffer(self.file.read_at(n * size, at), kind).tolist()
+
+    def __getitem__(self, i: int) -> int:
+        if not 0 <= i < self.n:
+            raise IndexError(i)
+        value = shift = 0
+        for (kind, chunks, bits, ranks), width in zip(self.levels, self.widths, strict=True):
+            value |= self._words(kind, 1, chunks + i * np.dtype(kind).itemsize)[0] << shift
+            block = i // BLOCK
+            here = np.unpackbits(np.frombuffer(self.file.read_at(i // 8 + 1 - block * BLOCK // 8, bits + block * BLOCK // 8), np.uint8), bitorder="little")
+            if not here[i - block * BLOCK]:
+                break
+            i, shift = self._words("<u4", 1, ranks + 4 * block)[0] + int(here[: i - block * BLOCK].sum()), shift + width
+        return value
+
+    def __enter__(self) -> OpenTokenFile:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.file.close()
