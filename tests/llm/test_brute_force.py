@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from tessarea.llm import queries as Q
 from tessarea.llm.bpe_transducer import StreamDecoder, Transducer, decode_ids, encode_texts, merge_by_rank, read_ranks
-from tessarea.llm.jaccard_join import Trie, near_duplicates
+from tessarea.llm.jaccard_join import Trie, first_of_each, near_duplicates
 from tessarea.llm.packing import encode_pieces, pack_pieces, sum_of_squares
 from tessarea.llm.quality_rules import clean, measure
 from tessarea.llm.secret_scan import fit_on_documents, redact, scan, spans_of
 from tessarea.llm.sharding import assign_shards, greedy_cuts, minimax_cuts
-from tessarea.llm.token_files import TokenFile, token_file_round_trip
+from tessarea.llm.token_files import OpenTokenFile, TokenFile, token_file_round_trip
 from tests.llm.conftest import prose
 
 SPACE = "[\x20\x09-\x0d]+"
@@ -64,6 +64,40 @@ def test_jaccard_components(docs, rows, size, num, den, heavy):
             assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), want[r.doc_id])
 
 
+def test_documents_without_id_link_others(spark):
+    """A chain whose middle has no doc_id, alone or as one of several, and components of nothing else."""
+    rng = random.Random(21)
+    words = prose(rng, 120).split()
+    chain = [" ".join(words[:100]), " ".join([*words[:94], *(f"x{i}" for i in range(6))]), " ".join([*words[:88], *(f"y{i}" for i in range(6)), *(f"x{i}" for i in range(6))])]
+    other = prose(rng, 60)
+    rows = [(5, chain[0]), (None, chain[1]), (None, chain[1] + " "), (3, chain[2]), (None, other), (None, other + " changed")]
+    sets = {i: shingle_set(t, 5) for i, (_, t) in enumerate(rows)}
+    groups = linked(sets, 4, 5)
+    assert groups[0] == groups[1] == groups[3] and 5 * len(sets[0] & sets[3]) < 4 * len(sets[0] | sets[3])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for heavy in (2, 64):
+        got = near_duplicates(df, 5, 4, 5, heavy=heavy).collect()
+        want = Counter((rows[i][0], len(sets[i]), min((rows[j][0] for j in sets if groups[j] == groups[i] and rows[j][0] is not None), default=None)) for i in sets)
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+    stays = Counter(tuple(r) for r in first_of_each(df).collect())
+    assert len(stays) == 2 and stays[3, chain[2]] == 1 and sum(n for (i, t), n in stays.items() if t.startswith(other)) == 1
+
+
+def test_one_of_each_group_stays(docs, rows):
+    """Rows equal in doc_id and text are one; else each component keeps the smallest doc_id, and empty sets stay."""
+    kept = first_of_each(docs).collect()
+    distinct = list(dict.fromkeys((r[0], r[1]) for r in rows))
+    sets = {i: shingle_set(t, 5) for i, (_, t) in enumerate(distinct)}
+    groups = linked(sets, 4, 5)
+    best = {}
+    for i, (doc_id, _) in enumerate(distinct):
+        key = (doc_id is None, doc_id)
+        if groups[i] not in best or key < best[groups[i]][0]:
+            best[groups[i]] = (key, i)
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(distinct[i] for _, i in best.values())
+    assert kept[0].__fields__ == docs.columns
+
+
 def test_trie_finds_what_comparing_all_finds():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))).astype(np.int32) for _ in range(200)]
@@ -241,6 +275,12 @@ def test_quality_rules_remove_lines(spark):
     assert set(got) == {1, 2} and got[1].text == got[2].text == good and got[2].n_chars == len(good)
 
 
+def test_clean_keeps_values_of_clashing_columns(docs):
+    out = clean(docs)
+    assert out.columns == docs.columns
+    assert out.count() and {tuple(r) for r in out.select("__rule_raw", "h", "kept").distinct().collect()} == {("x", "x", "x")}
+
+
 def plain_line_fails(line):
     bare = re.sub(SPACE, "", line)
     letters = [c for c in bare if unicodedata.category(c)[0] == "L"]
@@ -292,11 +332,15 @@ def test_token_files(docs, rows):
 
 
 @pytest.mark.parametrize("widths", [(8, 8, 16), (4, 12, 16), (16, 16)])
-def test_single_ids_by_rank(widths):
+def test_single_ids_by_rank(widths, tmp_path):
     rng = np.random.default_rng(2)
     ids = (2 ** rng.uniform(0, 32, 3000)).astype(np.uint64).astype(np.uint32)
     file = TokenFile(TokenFile.encode([7, None], [1000, 2000], ids, widths))
     assert [file[i] for i in range(0, 3000, 13)] == ids[::13].tolist()
+    path = tmp_path / "one.dac"
+    path.write_bytes(TokenFile.encode([7, None], [1000, 2000], ids, widths))
+    with OpenTokenFile(str(path)) as stored:
+        assert [stored[i] for i in range(0, 3000, 13)] == ids[::13].tolist()
     for a, b in ((0, 0), (0, 3000), (511, 513), (1200, 2999)):
         assert (file.read(a, b) == ids[a:b]).all()
     assert len(TokenFile(TokenFile.encode([], [], np.empty(0, np.uint32))).read(0, 0)) == 0
@@ -329,6 +373,19 @@ def test_random_strings_are_told_from_identifiers(docs):
     assert [tuple(r) for r in hidden] == [("see [secret] here", len("see [secret] here"))]
 
 
+def test_random_spans_on_labelled_strings(spark):
+    """Precision and recall of the method's own spans: seeded random strings against identifiers, paths and words run together."""
+    model = fit_on_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rng = random.Random(31)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(signs) for _ in range(rng.randrange(24, 44))) for _ in range(400)]
+    parts = "get set user order line item total count page index value name list map first last default config table cluster reader".split()
+    names = [rng.choice("_-/").join(rng.choice(parts) for _ in range(rng.randrange(4, 7))) + str(rng.randrange(100)) for _ in range(400)]
+    caught = sum(bool([k for k, *_ in spans_of(f"see {x} here", model) if k == "random"]) for x in keys)
+    wrong = sum(bool([k for k, *_ in spans_of(f"see {x} here", model) if k == "random"]) for x in names)
+    assert caught >= 0.95 * len(keys) and wrong <= 0.02 * len(names)
+
+
 def test_random_strings_beside_base_spans(docs):
     """A base span takes only its own characters from a run; the rest is tried by itself."""
     model = fit_on_documents(docs)

@@ -27,6 +27,23 @@ def test_language_defined_cases(docs):
     assert {r.lang_pred for r in language_id.identify(docs, None).collect()} == {"und"}
 
 
+def test_signs_that_are_no_letters(spark):
+    df = spark.createDataFrame([(1, "½ ② Ⅷ"), (2, "12 _ ٣"), (3, "日")], "doc_id long, text string")
+    net = language_id.Network.new(["a", "b"])
+    assert [r.lang_pred == "und" for r in sorted(language_id.identify(df, net).collect())] == [True, True, False]
+
+
+def test_segments_lie_all_over_a_text():
+    text = b"".join(i.to_bytes(4, "big") for i in range(12_500))
+    places = []
+    for k in range(400):
+        for x in language_id.drawn(text, k * 0x9E3779B97F4A7C15 & 2**63 - 1):
+            assert len(x) == language_id.TRAIN
+            places.append(text.index(x))
+    assert np.histogram(places, 8, (0, len(text)))[0].min() > 40
+    assert language_id.drawn(b"short", 9) == [b"short"] and language_id.drawn(b"", 9) == [b""]
+
+
 def test_gradients_by_differences():
     rng = np.random.default_rng(0)
     net = language_id.Network.new(["a", "b", "c"], hidden=3)
@@ -50,6 +67,7 @@ def test_quality_against_labels(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").filter("quality IS NOT NULL").select("doc_id", "quality").distinct()
     got = weak_quality.score(docs, weak_quality.fit(docs)).join(labels, "doc_id")
     kept = {(r.quality, r.kept): r["count"] for r in got.groupBy("quality", "kept").count().collect()}
+    assert kept.get((0, False), 0) >= 0.9 * (kept.get((0, True), 0) + kept.get((0, False), 0)) > 0
     assert kept.get((1, True), 0) >= 0.95 * (kept.get((1, True), 0) + kept.get((1, False), 0))  # no label was used in fitting
 
 
@@ -101,6 +119,29 @@ def test_nearest_neighbours(spark):
     assert ann.search(*ann.build(table.limit(0)), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_vectors_of_other_lengths_take_no_part(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(6 if i % 10 else 9).tolist()) for i in range(1, 60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(*ann.build(table), F.col("vec_id") % 7 == 0).collect()
+    assert {r.query_id for r in got} == {i for i in range(7, 60, 7) if i % 10} and all(r.vec_id % 10 for r in got)
+
+
+def test_recall_on_full_cells(spark):
+    """Independent vectors, several full cells: the 96 that are ranked first are about 1 % of a cell."""
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((3 * ann.CELL, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found: dict = {}
+    for r in ann.search(*ann.build(table), F.col("vec_id") % 500 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    length = np.linalg.norm(x, axis=1)
+    for q in range(0, len(x), 500):
+        cosine = x @ x[q] / (length * length[q])
+        cosine[q] = -2
+        assert found[q] == set(np.argsort(-cosine)[:5].tolist())
+
+
 def test_recall_on_the_table(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     local = [(r.vec_id, np.array(r.embedding, float)) for r in table.collect() if r.embedding is not None and all(v is not None and np.isfinite(v) for v in r.embedding) and any(r.embedding)]
