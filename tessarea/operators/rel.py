@@ -19,18 +19,41 @@ def top1(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFra
     return ranked(df, keys, order, "_rank").filter(F.col("_rank") == 0).drop("_rank")
 
 
+def members(df: DataFrame, chosen: DataFrame, keys: Sequence[str], inside: bool = True) -> DataFrame:
+    """Rows whose keys together stand in ``chosen``, or with ``inside`` False those whose don't."""
+    return df.join(chosen.select(*keys).distinct(), list(keys), "left_semi" if inside else "left_anti")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """An inner or left join in which NULL keys are equal; the left side's keys are returned."""
+    side = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [left[k].eqNullSafe(side[f"_right_{k}"]) for k in keys]
+    return left.join(side, on, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def clamp_negative(df: DataFrame, value: str, ledger: str) -> DataFrame:
+    """Negative values become 0; ``ledger`` says by how much."""
+    return df.withColumn(ledger, F.greatest(-F.col(value), F.lit(0.0))).withColumn(value, F.greatest(F.col(value), F.lit(0.0)))
+
+
 def complete(df: DataFrame, keys: Sequence[str], dimension: DataFrame, fill: dict) -> DataFrame:
-    """Each distinct key crossed with a small dimension, with missing rows filled. The dimension is a fixed list of few rows."""
-    skeleton = df.select(*keys).distinct().crossJoin(F.broadcast(dimension))
+    """Each distinct key crossed with a small dimension, with missing rows filled. Spark broadcasts the dimension if it is small enough."""
+    skeleton = df.select(*keys).distinct().crossJoin(dimension)
     return skeleton.join(df, [*keys, *dimension.columns], "left").fillna(fill)
 
 
+def with_totals(df: DataFrame, group: Sequence[str], **aggregates: Column) -> DataFrame:
+    """Aggregates of each row's group as columns: aggregated before the shuffle and joined back, so that no task holds a group. NULL keys form groups."""
+    totals = df.groupBy(*group).agg(*[x.alias(name) for name, x in aggregates.items()])
+    return null_safe_join(df, totals, group, "left") if group else df.crossJoin(totals)
+
+
 def share_of_group(df: DataFrame, group: Sequence[str], value: str, name: str, fallback: str | None = None) -> DataFrame:
     """value / its group's sum; where that is 0 the share of ``fallback``, else 0."""
-    w = Window.partitionBy(*group)
-    total = F.sum(value).over(w)
-    other = F.when(F.sum(fallback).over(w) > 0, F.col(fallback) / F.sum(fallback).over(w)) if fallback else F.lit(None)
-    return df.withColumn(name, F.coalesce(F.when(total > 0, F.col(value) / total), other, F.lit(0.0)))
+    sums = {"_total": F.sum(value)} | ({"_other": F.sum(fallback)} if fallback else {})
+    out = with_totals(df, group, **sums)
+    other = F.when(F.col("_other") > 0, F.col(fallback) / F.col("_other")) if fallback else F.lit(None)
+    return out.withColumn(name, F.coalesce(F.when(F.col("_total") > 0, F.col(value) / F.col("_total")), other, F.lit(0.0))).drop(*sums)
 
 
 def dominant_label(df: DataFrame, keys: Sequence[str], label: str, weight: str) -> DataFrame:
@@ -60,6 +83,15 @@ def lookup_chain(df: DataFrame, levels: Sequence[tuple[DataFrame, Sequence[str],
     return out.withColumns({name: F.coalesce(*tried, F.lit(default)), f"{name}_source": F.coalesce(*labels, F.lit("default"))}).drop(*[f"_l{i}" for i in range(len(levels))])
 
 
+def most_specific_rate(df: DataFrame, levels: Sequence[tuple[Sequence[str], int, str]], value: str, exposure: str, name: str) -> DataFrame:
+    """The rate of the first level with enough rows, and its label. Each level: keys, least rows, label; the last should have none and always hold."""
+    chain = []
+    for keys, least, label in levels:
+        rates = df.groupBy(*keys).agg((F.sum(value) / F.sum(exposure)).alias("_rate"), F.count("*").alias("_n")).filter(F.col("_n") >= least)
+        chain.append((rates, keys, "_rate", label))
+    return lookup_chain(df, chain, name, 0.0)
+
+
 def pivot_fixed(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], value: str, prefix: str = "") -> DataFrame:
     """Sums by a fixed list of values as columns, 0 where there is none; one pass, no job to list the values."""
     cols = [F.coalesce(F.sum(F.when(F.col(column) == v, F.col(value))), F.lit(0.0)).alias(f"{prefix}{v}".lower()) for v in values]

@@ -1,6 +1,6 @@
 """Queries that apply the operators to the test tables."""
 
-from tessarea.plans import fills, general, models, publish, selection
+from tessarea.plans import fills, general, ledgers, models, publish, scalars, selection
 from tessarea.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "fills", "general", "models", "publish", "selection"]
+__all__ = ["QUERIES", "SQL", "fills", "general", "ledgers", "models", "publish", "scalars", "selection"]
