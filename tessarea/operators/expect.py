@@ -18,6 +18,42 @@ def unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ExpectationError(f"keys {list(keys)} are not unique, for example {[tuple(r) for r in found]}")
 
 
+def empty(df: DataFrame, message: str) -> None:
+    found = df.limit(5).collect()
+    if found:
+        raise ExpectationError(f"{message}: {[tuple(r) for r in found]}")
+
+
+def vocabulary(df: DataFrame, keys: Sequence[str], column: str, words: Sequence[str]) -> None:
+    """Each key has all the words and no other."""
+    n = df.groupBy(*keys).agg(F.countDistinct(F.when(F.col(column).isin(*words), F.col(column))).alias("n"), F.count_if(~F.coalesce(F.col(column).isin(*words), F.lit(False))).alias("other"))
+    empty(n.filter((F.col("n") < len(set(words))) | (F.col("other") > 0)), f"{column} is incomplete or has other values")
+
+
+def referential(df: DataFrame, parent: DataFrame, keys: Sequence[str]) -> None:
+    """Each key stands in the parent. NULL keys refer to nothing."""
+    side = df.select(*keys).dropna(how="any").join(parent.select(*keys), list(keys), "left_anti")
+    empty(side, f"{list(keys)} that the parent lacks")
+
+
+def exclusive(df: DataFrame, keys: Sequence[str], lane: str) -> None:
+    """No key stands in more than one lane."""
+    empty(df.groupBy(*keys).agg(F.countDistinct(lane).alias("n")).filter("n > 1"), f"keys in several lanes of {lane}")
+
+
+def within_residual(df: DataFrame, keys: Sequence[str], imputed: str, residual: str, tolerance: float = 1e-6) -> None:
+    """What is imputed by key is no more than the key's residual, which every row of it repeats."""
+    sums = df.groupBy(*keys).agg(F.sum(imputed).alias("i"), F.max(residual).alias("r"))
+    empty(sums.filter(F.col("i") > F.col("r") + tolerance), "more imputed than the residual")
+
+
+def count_is(df: DataFrame, condition: Column, n: int) -> None:
+    """Just n rows hold: a registry's entries were all met, or a filter was run and not merely matched."""
+    found = df.agg(F.count_if(condition).alias("n")).first()["n"]
+    if found != n:
+        raise ExpectationError(f"{found} rows hold, not {n}")
+
+
 def functional(df: DataFrame, key: str, value: str) -> None:
     """Each key has exactly one value."""
     found = df.groupBy(key).agg(F.countDistinct(value).alias("n")).filter("n <> 1").limit(5).collect()

@@ -24,6 +24,13 @@ def members(df: DataFrame, chosen: DataFrame, keys: Sequence[str], inside: bool
     return df.join(chosen.select(*keys).distinct(), list(keys), "left_semi" if inside else "left_anti")
 
 
+def replaced(df: DataFrame, crosswalk: DataFrame, key: str, old: str, new: str) -> DataFrame:
+    """Keys by a crosswalk with each old key once, others as they are."""
+    side = crosswalk.select(F.col(old).alias(key), F.col(new).alias("_new"))
+    out = df.join(side, key, "left")
+    return out.select(*[F.coalesce("_new", key).alias(key) if c == key else F.col(c) for c in df.columns])
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """An inner or left join in which NULL keys are equal; the left side's keys are returned."""
     side = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -110,6 +117,15 @@ def plug_residual(df: DataFrame, group: Sequence[str], share: str, order: Sequen
     return df.withColumn(share, F.round(r + F.when(first, 1 - F.sum(r).over(w)).otherwise(0.0), 6))
 
 
+def largest(df: DataFrame, columns: Sequence[str], key: str, k: int) -> DataFrame:
+    """screen, key, x: the k largest of each column, ties to the smaller key; a column that is NULL throughout gives no rows. Each is a bounded top-k."""
+    out = None
+    for c in columns:
+        rows = df.filter(F.col(c).isNotNull()).select(F.lit(c).alias("screen"), key, F.col(c).cast("double").alias("x")).orderBy(F.desc("x"), key).limit(k)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def frame_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, atol: float, rtol: float = 0.0) -> DataFrame:
     """Keys on one side alone, and values that differ beyond atol + rtol |right|. NULL equals NULL."""
     a, b = left.select(*keys, F.col(value).alias("left_value"), F.lit(True).alias("_l")), right.select(*keys, F.col(value).alias("right_value"), F.lit(True).alias("_r"))
