@@ -158,13 +158,13 @@ KM = "2 * 6371.0088 * asin(sqrt(least(1, sin(radians(lat2 - lat) / 2) ** 2 + cos
 @query(f"SELECT id, id2, round(km, 6) AS km FROM (SELECT id, id2, {KM} AS km FROM {PLACES} CROSS JOIN {SITES}) WHERE km <= 5")
 def haversine_within_radius(t: Tables) -> DataFrame:
     """Pairs within a radius by cells and an exact distance (C14)."""
-    return geo.within_km(places(t), sites(t), 5.0, 45.0).select("id", "id2", r("km").alias("km"))
+    return geo.within_km(places(t), sites(t), 5.0).select("id", "id2", r("km").alias("km"))
 
 
 @query(f"SELECT id, id2, round(km, 6) AS km FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), id2) AS k FROM (SELECT id, id2, {KM} AS km FROM {PLACES} CROSS JOIN {SITES}) WHERE km <= 20) WHERE k <= 2")
 def knn_pairs(t: Tables) -> DataFrame:
     """The two nearest within a radius."""
-    pairs = geo.within_km(places(t), sites(t), 20.0, 45.0).withColumn("km", r("km"))
+    pairs = geo.within_km(places(t), sites(t), 20.0).withColumn("km", r("km"))
     return geo.nearest(pairs, "id", [F.asc("km"), F.asc("id2")], 2).select("id", "id2", "km")
 
 
@@ -176,11 +176,14 @@ def bbox_filter(t: Tables) -> DataFrame:
 
 @query(f"SELECT id, zone FROM {PLACES} JOIN (SELECT n_nationkey AS zone, 40 + (n_nationkey % 5) * 0.4 AS y0, -75 + (n_nationkey // 5) * 0.4 AS x0 FROM nation) ON lat > y0 + 0.011 AND lat < y0 + 0.391 AND lon > x0 + 0.011 AND lon < x0 + 0.391")
 def point_in_rect(t: Tables) -> DataFrame:
-    """Points in polygons: the zone table is a fixed list of few rows, rays decide."""
+    """Points in polygons by cells and rays."""
+    return geo.in_polygons(places(t), zones(t), 0.2, "lon", "lat").select("id", "zone")
+
+
+def zones(t: Tables) -> DataFrame:
     y0, x0 = 40 + (F.col("n_nationkey") % 5) * 0.4, -75 + F.floor(F.col("n_nationkey") / 5) * 0.4
     corner = lambda dx, dy: F.struct((x0 + dx).alias("x"), (y0 + dy).alias("y"))
-    zones = t.nation.select(F.col("n_nationkey").alias("zone"), F.array(corner(0.011, 0.011), corner(0.391, 0.011), corner(0.391, 0.391), corner(0.011, 0.391)).alias("ring"))
-    return places(t).crossJoin(F.broadcast(zones)).filter(geo.point_in_ring(F.col("lon"), F.col("lat"), F.col("ring"))).select("id", "zone")
+    return t.nation.select(F.col("n_nationkey").alias("zone"), F.array(corner(0.011, 0.011), corner(0.391, 0.011), corner(0.391, 0.391), corner(0.011, 0.391)).alias("ring"))
 
 
 @query("""WITH p AS (SELECT event_type, user_id % 40 AS point, count(DISTINCT event_id) AS n FROM events GROUP BY ALL) SELECT event_type, max(n) AS top, round(max(n) * 1.0 / sum(n), 6)::DOUBLE AS share FROM p GROUP BY event_type""")
