@@ -1 +1,10 @@
+"""Readers and sinks: typed-string text files, reports with a preamble, paged services, manifests and small reports."""
 
+from tessarea.sources.files import (
+    hive_scan, input_manifest, is_fresh, markdown_table, read_features, read_report, read_strings, require_coverage, sniffed_table, write_report,
+)
+from tessarea.sources.paged import PagedSource, read_paged, read_portal
+
+__all__ = [
+    "PagedSource", "hive_scan", "input_manifest", "is_fresh", "markdown_table", "read_features", "read_paged", "read_portal", "read_report", "read_strings", "require_coverage", "sniffed_table", "write_report",
+]
