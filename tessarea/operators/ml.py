@@ -51,3 +51,98 @@ def correlated_pairs(df: DataFrame, columns: list[str], least: float, k: int) ->
     row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]).first()
     found = [(a, b, row[f"c{i}"]) for i, (a, b) in enumerate(pairs) if row[f"c{i}"] is not None and abs(row[f"c{i}"]) >= least]
     return sorted(found, key=lambda x: (-abs(x[2]), x[0], x[1]))[:k]
+
+
+def one_hot(df: DataFrame, column: str, values: list[str]) -> DataFrame:
+    """A 0 or 1 column for each of a fixed list of values."""
+    return df.withColumns({f"{column}_{v}": F.coalesce((F.col(column) == v).cast("double"), F.lit(0.0)) for v in values})
+
+
+def residual_target(truth: str, model: str, floor: float = 0.5, most: float = 12.0):
+    """log(truth / model), both raised by ``floor`` and clipped."""
+    from tessarea.functions import clip
+
+    return clip(F.log((F.col(truth) + floor) / (F.col(model) + floor)), -most, most)
+
+
+def by_groups(df: DataFrame, pipeline: Pipeline, group: str, out: list) -> DataFrame:
+    """Predictions for the rows of the groups named from a model that has not seen them."""
+    inside = F.col(group).isin(*out)
+    part = pipeline.fit(df.filter(~inside)).transform(df.filter(inside))
+    return part.drop(*[c for c in part.columns if c.startswith("__") or c.endswith("__filled")])
+
+
+def leave_pairs_out(df: DataFrame, pipeline: Pipeline, group: str, groups: list, target: str) -> DataFrame:
+    """For every pair of groups the squared error on each from a model that has seen neither. One fit a pair: for few groups."""
+    out = None
+    for i, a in enumerate(groups):
+        for b in groups[i + 1 :]:
+            part = by_groups(df, pipeline, group, [a, b]).groupBy(group).agg(F.avg(F.pow(F.col(target) - F.col("prediction"), 2)).alias("error"))
+            part = part.select(F.lit(a).alias("first"), F.lit(b).alias("second"), group, "error")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def monotone(df: DataFrame, features: dict[str, bool], target: str, key: str, rounds: int = 3) -> DataFrame:
+    """An additive fit, monotone in each feature (True: rising): isotonic regression of what the others leave, feature by feature, some rounds. Adds ``fitted``.
+
+    ``key`` tells rows apart. NULL features are held at their mean effect of 0."""
+    from pyspark.ml.regression import IsotonicRegression
+
+    base = df.agg(F.avg(target).alias("m")).first()["m"] or 0.0
+    parts = {f: F.lit(0.0) for f in features}
+    models: dict = {}
+    for _ in range(rounds):
+        for f, rising in features.items():
+            rest = F.col(target) - base - sum((parts[o] for o in features if o != f), F.lit(0.0))
+            rows = df.filter(F.col(f).isNotNull()).select(F.col(f).cast("double").alias("x"), rest.alias("y")).groupBy("x").agg(F.avg("y").alias("y"), F.count("*").cast("double").alias("w"))
+            fitted = IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w", isotonic=rising).fit(rows)
+            # The steps of the fit, with linear parts between them, as an expression: predictions stay in the JVM.
+            models[f] = (fitted.boundaries.toArray().tolist(), fitted.predictions.toArray().tolist())
+            shift = rows.agg((F.sum(_steps(F.col("x"), *models[f]) * F.col("w")) / F.sum("w")).alias("s")).first()["s"]
+            parts[f] = F.coalesce(_steps(F.col(f).cast("double"), *models[f]) - shift, F.lit(0.0))
+    return df.withColumn("fitted", base + sum(parts.values(), F.lit(0.0)))
+
+
+def _steps(x, at: list[float], values: list[float]):
+    """Linear between the points, constant beyond the outer ones."""
+    table = F.array(*[F.struct(F.lit(float(a)).alias("a"), F.lit(float(v)).alias("v")) for a, v in zip(at, values, strict=True)])
+    below, above = F.filter(table, lambda p: p["a"] <= x), F.filter(table, lambda p: p["a"] > x)
+    low, high = F.try_element_at(below, F.lit(-1)), F.get(above, 0)
+    between = low["v"] + (high["v"] - low["v"]) * (x - low["a"]) / (high["a"] - low["a"])
+    return F.when(x.isNull(), None).when(low.isNull(), high["v"]).when(high.isNull(), low["v"]).otherwise(between)
+
+
+def permuted(df: DataFrame, key: str, block: list[str], seed: int = 7) -> DataFrame:
+    """The block's columns of one key put on another: keys in the order of a hash take the next key's values, so all rows of a key share one.
+
+    Places come from range-partitioned ranks, not from one task."""
+    from tessarea.operators.distributed import positions
+
+    keys = df.select(key, *block).dropDuplicates([key]).withColumn("_h", F.xxhash64(F.lit(seed), key))
+    placed = positions(keys, ["_h", key], "_at")
+    n = placed.agg(F.max("_at").alias("_n"))
+    moved = placed.select(F.col("_at").alias("_to"), *[F.col(c).alias(f"_{c}") for c in block])
+    pairs = placed.select(key, "_at").crossJoin(F.broadcast(n)).withColumn("_to", F.when(F.col("_at") == F.col("_n"), F.lit(0).cast("long")).otherwise(F.col("_at") + 1)).join(moved, "_to")
+    return df.join(pairs.select(key, *[f"_{c}" for c in block]), key).select(*[F.col(f"_{c}").alias(c) if c in block else F.col(c) for c in df.columns])
+
+
+def permutation_importance(df: DataFrame, pipeline: Pipeline, key: str, blocks: dict[str, list[str]], target: str, seed: int = 7) -> DataFrame:
+    """block, rise: by how much the mean squared error of the model on held-out rows (a hash of the key) rises when a block is permuted. One fit, a prediction a block."""
+    split = folds(df, key, 2)
+    model, test = pipeline.fit(split.filter("fold = 0")), split.filter("fold = 1").drop("fold")
+    error = lambda rows: model.transform(rows).agg(F.avg(F.pow(F.col(target) - F.col("prediction"), 2)).alias("e"))
+    out = None
+    for name, block in blocks.items():
+        part = error(permuted(test, key, block, seed)).crossJoin(error(test).withColumnRenamed("e", "own")).select(F.lit(name).alias("block"), (F.col("e") - F.col("own")).alias("rise"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def one_se(losses: DataFrame, option: str, unit: str, loss: str) -> DataFrame:
+    """option, mean, se, chosen: the smallest option whose mean loss is within one standard error (over units) of the best."""
+    means = losses.groupBy(option, unit).agg(F.avg(loss).alias("_l")).groupBy(option).agg(F.avg("_l").alias("mean"), (F.stddev_samp("_l") / F.sqrt(F.count("*"))).alias("se"))
+    best = means.agg(F.min(F.struct("mean", "se", option)).alias("b"))
+    limit = means.crossJoin(F.broadcast(best)).withColumn("_in", F.col("mean") <= F.col("b.mean") + F.coalesce("b.se", F.lit(0.0)))
+    first = limit.filter("_in").agg(F.min(option).alias("_first"))
+    return limit.crossJoin(F.broadcast(first)).select(option, "mean", "se", (F.col(option) == F.col("_first")).alias("chosen"))

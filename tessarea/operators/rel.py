@@ -63,6 +63,18 @@ def share_of_group(df: DataFrame, group: Sequence[str], value: str, name: str, f
     return out.withColumn(name, F.coalesce(F.when(F.col("_total") > 0, F.col(value) / F.col("_total")), other, F.lit(0.0))).drop(*sums)
 
 
+def basis_shares(df: DataFrame, group: Sequence[str], bases: Sequence[str], name: str, floor: float) -> DataFrame:
+    """Shares of each group by the first basis with a positive sum, or equal ones; those below ``floor`` become 0 unless all are, and the rest is scaled to 1."""
+    out = with_totals(df, group, **{f"_b{i}": F.sum(b) for i, b in enumerate(bases)})
+    base = F.lit(1.0)
+    for i, b in reversed(list(enumerate(bases))):
+        base = F.when(F.col(f"_b{i}") > 0, F.col(b)).otherwise(base)
+    out = share_of_group(out.withColumn("_base", base), group, "_base", "_s0")
+    out = with_totals(out, group, _top=F.max("_s0"))
+    out = out.withColumn("_s1", F.when((F.col("_s0") < floor) & (F.col("_top") >= floor), 0.0).otherwise(F.col("_s0")))
+    return share_of_group(out, group, "_s1", name).drop(*[f"_b{i}" for i in range(len(bases))], "_base", "_s0", "_s1", "_top")
+
+
 def dominant_label(df: DataFrame, keys: Sequence[str], label: str, weight: str) -> DataFrame:
     """Per key the label with most weight, the smaller label on ties."""
     sums = df.groupBy(*keys, label).agg(F.sum(weight).alias("_w"))

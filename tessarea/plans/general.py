@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessarea.functions import normalise_name, zfill
-from tessarea.operators import geo, rel
+from tessarea.operators import distributed, entities, geo, rel
 from tessarea.operators.rules import first_match
 from tessarea.plans.registry import Tables, query, r
 
@@ -91,9 +91,8 @@ SELECT s_suppkey, c_custkey FROM b WHERE n = 1""")
 def scored_unique_best_match(t: Tables) -> DataFrame:
     """The best score tuple is accepted if one entity alone holds it."""
     gap = F.bround(F.abs(F.col("s_acctbal") - F.col("c_acctbal")) / 1000).cast("int")
-    pairs = t.supplier.join(t.customer, F.col("s_nationkey") == F.col("c_nationkey")).select("s_suppkey", "c_custkey", F.struct(F.when(F.col("s_suppkey") % 10 == F.col("c_custkey") % 10, 0).otherwise(1).alias("pri"), gap.alias("gap")).alias("score"))
-    k = pairs.withColumn("k", F.rank().over(Window.partitionBy("s_suppkey").orderBy("score"))).filter("k = 1")
-    return k.groupBy("s_suppkey").agg(F.min("c_custkey").alias("c_custkey"), F.count("*").alias("n")).filter("n = 1").select("s_suppkey", "c_custkey")
+    pairs = t.supplier.join(t.customer, F.col("s_nationkey") == F.col("c_nationkey"))
+    return entities.scored_match(pairs, "s_suppkey", "c_custkey", F.lit(True), [F.when(F.col("s_suppkey") % 10 == F.col("c_custkey") % 10, 0).otherwise(1), gap])
 
 
 @query("""WITH b AS (SELECT item_id, list_distinct(string_split(lower(text), ' ')) AS ws FROM benchmark) SELECT a.item_id AS a, b.item_id AS b, len(list_intersect(a.ws, b.ws)) AS common FROM b a JOIN b ON a.item_id < b.item_id WHERE len(list_intersect(a.ws, b.ws)) > 0""")
@@ -138,7 +137,7 @@ def domain_overlap_score(t: Tables) -> DataFrame:
     m = v.filter("label < 5").agg(F.avg("a").alias("ma"), F.stddev_pop("a").alias("sa"), F.avg("b").alias("mb"), F.stddev_pop("b").alias("sb"))
     z = lambda x: F.pow((F.col(x) - F.col(f"m{x}")) / F.col(f"s{x}"), 2)
     d = v.crossJoin(F.broadcast(m)).withColumn("d", F.sqrt((z("a") + z("b")) / 2))
-    s = d.filter("label < 5").agg(F.percentile("d", 0.9).alias("s"))
+    s = distributed.quantiles(d.filter("label < 5"), [], "d", [0.9], ["s"])
     return d.crossJoin(F.broadcast(s)).select("vec_id", r(F.exp(-0.5 * F.pow(F.col("d") / F.col("s"), 2))).alias("score"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessarea.operators import ml, stats
-from tessarea.plans.publish import parts, units
+from tessarea.plans.publish import PARTS, parts, units
 from tessarea.plans.registry import Tables, query, r
 
 
@@ -43,3 +43,61 @@ def ridge_held_out(t: Tables) -> DataFrame:
     """Held-out fit of ridge regression (M2)."""
     p = parts(t).select("part", F.col("size").cast("double").alias("size"), "price", F.col("k").cast("double").alias("k"), "q")
     return ml.fit_report(ml.held_out(p, ml.ridge(["size", "price", "k"], "q"), "part", 3), "q")
+
+
+def model_frame(t: Tables) -> DataFrame:
+    p = parts(t).select("part", "brand", F.col("size").cast("double").alias("size"), "price", F.col("k").cast("double").alias("k"), "q")
+    return p.withColumn("noise", F.pmod(F.xxhash64("part"), F.lit(1000)) / 1000.0)
+
+
+@query()
+def monotone_fit(t: Tables) -> DataFrame:
+    """An additive fit that rises with each feature (M3)."""
+    return ml.fit_report(ml.monotone(model_frame(t), {"k": True, "size": True}, "q", "part"), "q", "fitted")
+
+
+@query()
+def weighted_residual_model(t: Tables) -> DataFrame:
+    """What a model leaves, with one-hot parents and weights (M4, M5)."""
+    p = model_frame(t).withColumns({"model": F.col("k") * 20.0, "weight": F.greatest("k", F.lit(1.0))}).withColumn("target", ml.residual_target("q", "model"))
+    brands = ["Brand#1", "Brand#2", "Brand#3"]
+    p = ml.one_hot(p, "brand", brands).withColumnsRenamed({f"brand_{b}": f"brand_{i}" for i, b in enumerate(brands)})
+    return ml.fit_report(ml.held_out(p, ml.boosted(["size", "price", "brand_0", "brand_1", "brand_2"], "target", "weight"), "part"), "target")
+
+
+@query()
+def leave_pairs_out_errors(t: Tables) -> DataFrame:
+    """Errors on each pair of groups from a model without them (M8, M9)."""
+    p = model_frame(t).filter(F.col("brand").isin("Brand#1", "Brand#2", "Brand#3", "Brand#4"))
+    return ml.leave_pairs_out(p, ml.ridge(["size", "price", "k"], "q"), "brand", ["Brand#1", "Brand#2", "Brand#3", "Brand#4"], "q")
+
+
+@query()
+def permutation_importance(t: Tables) -> DataFrame:
+    """How much worse the model is without what a block of features tells."""
+    return ml.permutation_importance(model_frame(t), ml.ridge(["size", "price", "k", "noise"], "q"), "part", {"k": ["k"], "shape": ["size", "price"], "noise": ["noise"]}, "q")
+
+
+@query("""WITH g AS (SELECT p_brand AS unit, unnest([0.0, 0.25, 0.5, 1.0])::DOUBLE AS tau, avg(p_retailprice) AS a, avg(p_size) AS b FROM part GROUP BY p_brand), l AS (SELECT tau, unit, abs(tau - b / 50) + 0.01 * (a % 7) AS loss FROM g),
+m AS (SELECT tau, avg(loss) AS mean, stddev_samp(loss) / sqrt(count(*)) AS se FROM l GROUP BY tau), b AS (SELECT mean + se AS cut FROM m ORDER BY mean, se, tau LIMIT 1), f AS (SELECT min(tau) AS first FROM m CROSS JOIN b WHERE mean <= cut)
+SELECT tau, round(mean, 6) AS mean, round(se, 6) AS se, tau = first AS chosen FROM m CROSS JOIN f""")
+def one_standard_error(t: Tables) -> DataFrame:
+    """The smallest tilt within a standard error of the best."""
+    g = t.part.groupBy(F.col("p_brand").alias("unit")).agg(F.avg("p_retailprice").alias("a"), F.avg("p_size").alias("b"))
+    losses = g.select("unit", "a", "b", F.explode(F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 1.0)])).alias("tau"))
+    losses = losses.withColumn("loss", F.abs(F.col("tau") - F.col("b") / 50) + 0.01 * (F.col("a") % 7))
+    return ml.one_se(losses, "tau", "unit", "loss").select("tau", r("mean").alias("mean"), r("se").alias("se"), "chosen")
+
+
+@query(f"SELECT 'k' AS a, 'q' AS b, round(corr(k, q), 6) AS r FROM {PARTS}")
+def correlated_features(t: Tables) -> DataFrame:
+    """The most correlated pair."""
+    found = ml.correlated_pairs(model_frame(t), ["k", "q", "size", "noise"], 0.5, 1)
+    return t.spark.createDataFrame([(a, b, float(round(c, 6))) for a, b, c in found], "a string, b string, r double")
+
+
+@query()
+def fold_safe_calibration(t: Tables) -> DataFrame:
+    """Non-negative coefficients without each parent in turn, and their quartiles."""
+    p = parts(t).select("brand", F.col("size").cast("double").alias("a"), F.col("k").cast("double").alias("b"), "q")
+    return stats.nnls_without_each(p, "brand", ["a", "b"], "q")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessarea.functions import case_first, clip, ratio
-from tessarea.operators import rel
+from tessarea.operators import distributed, rel
 from tessarea.plans.registry import Tables, query, r
 
 PARTS = "(SELECT p_partkey AS part, p_brand AS brand, p_size AS size, p_retailprice AS price, coalesce(q, 0) AS q, coalesce(k, 0) AS k FROM part LEFT JOIN (SELECT l_partkey, sum(l_quantity) AS q, count(*) AS k FROM lineitem GROUP BY ALL) ON l_partkey = p_partkey)"
@@ -40,19 +40,16 @@ s AS (SELECT *, base / sum(base) OVER (PARTITION BY brand) AS s0 FROM p), f AS (
 SELECT part, brand, round(s1 / sum(s1) OVER (PARTITION BY brand), 9) AS share FROM f""")
 def share_basis_ladder_floor(t: Tables) -> DataFrame:
     """One basis per parent, slivers under 2 % to zero unless all are slivers, then renormalised."""
-    w = Window.partitionBy("brand")
     large = F.when(F.col("size") > 25, F.col("q")).otherwise(0.0)
-    base = F.when(F.sum(large).over(w) > 0, large).when(F.sum("q").over(w) > 0, F.col("q")).otherwise(1.0)
-    s0 = parts(t).withColumn("base", base).withColumn("s0", F.col("base") / F.sum("base").over(w))
-    s1 = s0.withColumn("s1", F.when((F.col("s0") < 0.02) & (F.max("s0").over(w) >= 0.02), 0.0).otherwise(F.col("s0")))
-    return s1.select("part", "brand", r(F.col("s1") / F.sum("s1").over(w), 9).alias("share"))
+    shares = rel.basis_shares(parts(t).withColumn("large", large), ["brand"], ["large", "q"], "share", 0.02)
+    return shares.select("part", "brand", r("share", 9).alias("share"))
 
 
 @query(f"WITH c AS (SELECT brand, sum(price) AS target FROM {PARTS} GROUP BY brand) SELECT part, brand, round(target * q / sum(q) OVER (PARTITION BY brand), 6) AS v FROM {PARTS} JOIN c USING (brand)")
 def rake_to_control(t: Tables) -> DataFrame:
     """Control times share."""
-    w = Window.partitionBy("brand")
-    return parts(t).select("part", "brand", r(F.sum("price").over(w) * F.col("q") / F.sum("q").over(w)).alias("v"))
+    out = rel.with_totals(parts(t), ["brand"], target=F.sum("price"), mass=F.sum("q"))
+    return out.select("part", "brand", r(F.col("target") * F.col("q") / F.col("mass")).alias("v"))
 
 
 @query(f"""WITH s AS (SELECT *, q / sum(q) OVER (PARTITION BY brand) AS s FROM {PARTS}), e AS (SELECT *, s * exp(least(greatest(0.5 * (size - 25) / 10.0, -50), 50)) AS x FROM s)
@@ -68,8 +65,7 @@ a AS (SELECT *, exp(-abs(ln(feed / control))) * (1 - 25.0 / (n + 25)) AS p FROM
 SELECT part, brand, round((k + alpha * prior) / (n + alpha), 9) AS share FROM b""")
 def posterior_blend(t: Tables) -> DataFrame:
     """Counts blended with a prior whose weight grows with the mismatch of feed and control."""
-    w = Window.partitionBy("brand")
-    g = rel.share_of_group(parts(t), ["brand"], "q", "prior").withColumns({"n": F.sum("k").over(w), "control": F.sum("price").over(w), "feed": F.sum("q").over(w)})
+    g = rel.with_totals(rel.share_of_group(parts(t), ["brand"], "q", "prior"), ["brand"], n=F.sum("k"), control=F.sum("price"), feed=F.sum("q"))
     trust = F.exp(-F.abs(F.log(F.col("feed") / F.col("control")))) * (1 - 25.0 / (F.col("n") + 25))
     alpha = F.greatest(F.least(1 - trust, F.lit(0.999)) / F.greatest(trust, F.lit(0.001)) * F.col("n"), F.lit(0.001))
     return g.withColumn("alpha", alpha).select("part", "brand", r((F.col("k") + F.col("alpha") * F.col("prior")) / (F.col("n") + F.col("alpha")), 9).alias("share"))
@@ -92,9 +88,9 @@ def displacement_max_union(t: Tables) -> DataFrame:
 
 @query(f"""WITH b AS (SELECT brand, sum(q) AS total FROM {PARTS} GROUP BY brand) SELECT part, brand, round(total * coalesce(nullif(price, 0) / sum(price) OVER (PARTITION BY brand), 0), 6) AS v FROM {PARTS} JOIN b USING (brand)""")
 def rollup_then_redistribute(t: Tables) -> DataFrame:
-    """Up to the parent, then down by another weight; the mass stays (J17, J18). One window does both."""
-    w = Window.partitionBy("brand")
-    return parts(t).select("part", "brand", r(F.sum("q").over(w) * F.coalesce(ratio("price", F.sum("price").over(w)), F.lit(0.0))).alias("v"))
+    """Up to the parent, then down by another weight; the mass stays (J17, J18). One aggregate does both."""
+    out = rel.with_totals(parts(t), ["brand"], mass=F.sum("q"), weight=F.sum("price"))
+    return out.select("part", "brand", r(F.col("mass") * F.coalesce(ratio("price", "weight"), F.lit(0.0))).alias("v"))
 
 
 @query(f"SELECT cust, round(1e5 * y / pop, 6) AS rate, round(100 * (1e5 * y / pop) / (1e5 * sum(y) OVER () / sum(pop) OVER ()), 6) AS idx FROM {CUST}")
@@ -110,9 +106,9 @@ def rate_index_national(t: Tables) -> DataFrame:
 s AS (SELECT *, ((ny - y) + 5000 * ((ty - y) / (tp - pop))) / ((np - pop) + 5000) AS rs FROM u) SELECT cust, round(1e5 * (y + 2000 * rs) / (pop + 2000), 6) AS rate FROM s""")
 def loo_hierarchical_eb(t: Tables) -> DataFrame:
     """Each unit is shrunk to its state's rate without itself, and that to the national one without it (K4)."""
-    u, w = units(t), Window.partitionBy("nation")
+    u = units(t)
     total = u.agg(F.sum("y").alias("ty"), F.sum("pop").alias("tp"))
-    x = u.withColumns({"ny": F.sum("y").over(w), "np": F.sum("pop").over(w)}).crossJoin(F.broadcast(total))
+    x = rel.with_totals(u, ["nation"], ny=F.sum("y"), np=F.sum("pop")).crossJoin(F.broadcast(total))
     rs = ((F.col("ny") - F.col("y")) + 5000 * ((F.col("ty") - F.col("y")) / (F.col("tp") - F.col("pop")))) / ((F.col("np") - F.col("pop")) + 5000)
     return x.select("cust", r(1e5 * (F.col("y") + 2000 * rs) / (F.col("pop") + 2000)).alias("rate"))
 
@@ -164,8 +160,7 @@ def reason_string(t: Tables) -> DataFrame:
 @query(f"SELECT q AS quintile, count(*) AS n, round(avg(y), 6) AS mean_y FROM (SELECT y, ntile(5) OVER (PARTITION BY seg ORDER BY pop, cust) AS q FROM {CUST}) GROUP BY q")
 def quintile_gradient(t: Tables) -> DataFrame:
     """Means by fifths of the exposure within strata."""
-    q = F.ntile(5).over(Window.partitionBy("seg").orderBy("pop", "cust"))
-    return units(t).withColumn("quintile", q).groupBy("quintile").agg(F.count("*").alias("n"), r(F.avg("y")).alias("mean_y"))
+    return distributed.buckets(units(t), ["pop", "cust"], 5, "quintile", ["seg"]).groupBy("quintile").agg(F.count("*").alias("n"), r(F.avg("y")).alias("mean_y"))
 
 
 @query(f"""WITH g AS (SELECT nation, pop AS x, sum(y + 1) AS w FROM {CUST} GROUP BY ALL), c AS (SELECT *, (sum(w) OVER (PARTITION BY nation ORDER BY x) - w / 2.0) / sum(w) OVER (PARTITION BY nation) AS p FROM g),
@@ -185,7 +180,9 @@ def weighted_quantile(t: Tables) -> DataFrame:
 @query(f"SELECT part, brand, round(q / nullif(m, 0), 6) AS ratio FROM (SELECT *, median(q) OVER (PARTITION BY brand) AS m FROM {PARTS}) WHERE q / nullif(m, 0) > 1.5")
 def group_median_outlier(t: Tables) -> DataFrame:
     """Units far above their group's median."""
-    x = parts(t).withColumn("ratio", ratio("q", F.median("q").over(Window.partitionBy("brand"))))
+    p = parts(t)
+    medians = distributed.quantiles(p, ["brand"], "q", [0.5], ["median"])
+    x = p.join(medians, "brand").withColumn("ratio", ratio("q", "median"))
     return x.filter("ratio > 1.5").select("part", "brand", r("ratio").alias("ratio"))
 
 
@@ -212,24 +209,23 @@ def tvd_by_group(t: Tables) -> DataFrame:
 @query(f"""WITH s AS (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY q DESC, part) AS pos, count(*) OVER (PARTITION BY brand) AS n FROM {PARTS}) SELECT brand, round(sum(CASE WHEN pos <= ceil(n * 0.1) THEN q ELSE 0 END) / sum(q), 9) AS captured FROM s GROUP BY brand""")
 def top_fraction_capture(t: Tables) -> DataFrame:
     """Mass in the top tenth of units."""
-    w = Window.partitionBy("brand")
-    s = parts(t).withColumns({"pos": F.row_number().over(w.orderBy(F.desc("q"), "part")), "n": F.count("*").over(w)})
-    return s.groupBy("brand").agg(r(F.sum(F.when(F.col("pos") <= F.ceil(F.col("n") * 0.1), F.col("q")).otherwise(0.0)) / F.sum("q"), 9).alias("captured"))
+    p = parts(t).withColumn("less", -F.col("q"))
+    s = rel.with_totals(distributed.positions(p, ["less", "part"], "pos", ["brand"]), ["brand"], n=F.count("*"))
+    return s.groupBy("brand").agg(r(F.sum(F.when(F.col("pos") < F.ceil(F.col("n") * 0.1), F.col("q")).otherwise(0.0)) / F.sum("q"), 9).alias("captured"))
 
 
 @query(f"SELECT decile, count(*) AS n, round(avg(size), 6) AS predicted, round(avg(q), 6) AS observed FROM (SELECT *, ntile(10) OVER (PARTITION BY brand ORDER BY size, part) AS decile FROM {PARTS}) GROUP BY decile")
 def decile_calibration(t: Tables) -> DataFrame:
     """Predicted and observed means by tenth within groups."""
-    d = F.ntile(10).over(Window.partitionBy("brand").orderBy("size", "part"))
-    return parts(t).withColumn("decile", d).groupBy("decile").agg(F.count("*").alias("n"), r(F.avg("size")).alias("predicted"), r(F.avg("q")).alias("observed"))
+    return distributed.buckets(parts(t), ["size", "part"], 10, "decile", ["brand"]).groupBy("decile").agg(F.count("*").alias("n"), r(F.avg("size")).alias("predicted"), r(F.avg("q")).alias("observed"))
 
 
 @query(f"""WITH k AS (SELECT brand, rank() OVER (PARTITION BY brand ORDER BY size) + (count(*) OVER (PARTITION BY brand, size) - 1) / 2.0 AS a, rank() OVER (PARTITION BY brand ORDER BY k) + (count(*) OVER (PARTITION BY brand, k) - 1) / 2.0 AS b FROM {PARTS})
 SELECT brand, round(corr(a, b), 6) AS rho FROM k GROUP BY brand""")
 def spearman_tie_avg(t: Tables) -> DataFrame:
     """Rank correlation with average ranks for ties."""
-    avg = lambda c: F.rank().over(Window.partitionBy("brand").orderBy(c)) + (F.count("*").over(Window.partitionBy("brand", c)) - 1) / 2.0
-    return parts(t).select("brand", avg("size").alias("a"), avg("k").alias("b")).groupBy("brand").agg(r(F.corr("a", "b")).alias("rho"))
+    out = distributed.average_ranks(distributed.average_ranks(parts(t), "size", "a", ["brand"]), "k", "b", ["brand"])
+    return out.groupBy("brand").agg(r(F.corr("a", "b")).alias("rho"))
 
 
 @query(f"""WITH m AS (SELECT seg, count(*) AS n, avg(y) AS g FROM {CUST} GROUP BY seg), u AS (SELECT avg(y) AS a, var_pop(y) * count(*) AS total FROM {CUST}) SELECT round(sum(n * (g - a) * (g - a)) / max(total), 9) AS eta2 FROM m CROSS JOIN u""")
@@ -243,29 +239,33 @@ def eta_squared(t: Tables) -> DataFrame:
 
 @query("SELECT l_returnflag, " + ", ".join(f"round(quantile_cont(l_extendedprice, {p}), 4) AS p{int(p * 100)}" for p in (0.01, 0.05, 0.5, 0.95, 0.99)) + ", count(*) AS n, round(avg(l_extendedprice), 4) AS mean FROM lineitem GROUP BY ALL")
 def describe_quantiles(t: Tables) -> DataFrame:
-    """Exact quantiles by group."""
-    q = [r(F.percentile("l_extendedprice", p), 4).alias(f"p{int(p * 100)}") for p in (0.01, 0.05, 0.5, 0.95, 0.99)]
-    return t.lineitem.groupBy("l_returnflag").agg(*q, F.count("*").alias("n"), r(F.avg("l_extendedprice"), 4).alias("mean"))
+    """Exact quantiles by group (M18), without a buffer of a group's values."""
+    shares = (0.01, 0.05, 0.5, 0.95, 0.99)
+    names = [f"p{int(p * 100)}" for p in shares]
+    q = distributed.quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", shares, names)
+    means = t.lineitem.groupBy("l_returnflag").agg(F.count("*").alias("n"), r(F.avg("l_extendedprice"), 4).alias("mean"))
+    return q.join(means, "l_returnflag").select("l_returnflag", *[r(n, 4).alias(n) for n in names], "n", "mean")
 
 
 @query(f"SELECT brand, part, q, round(sum(q) OVER (PARTITION BY brand ORDER BY q DESC, part ROWS UNBOUNDED PRECEDING) / sum(q) OVER (PARTITION BY brand), 9) AS cumulative, round(row_number() OVER (PARTITION BY brand ORDER BY q, part) * 1.0 / count(*) OVER (PARTITION BY brand), 9)::DOUBLE AS pct FROM {PARTS}")
 def running_share_and_percent_rank(t: Tables) -> DataFrame:
     """Cumulative share after a total order, and row number over count."""
-    w = Window.partitionBy("brand")
-    run = F.sum("q").over(w.orderBy(F.desc("q"), "part").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("q").over(w)
-    return parts(t).select("brand", "part", "q", r(run, 9).alias("cumulative"), r(F.row_number().over(w.orderBy("q", "part")) / F.count("*").over(w), 9).alias("pct"))
+    p = rel.with_totals(parts(t).withColumn("less", -F.col("q")), ["brand"], n=F.count("*"), mass=F.sum("q"))
+    p = distributed.running(p, ["less", "part"], ["brand"], before=F.col("q"))
+    p = distributed.positions(p, ["q", "part"], "pos", ["brand"])
+    return p.select("brand", "part", "q", r((F.col("before") + F.col("q")) / F.col("mass"), 9).alias("cumulative"), r((F.col("pos") + 1) / F.col("n"), 9).alias("pct"))
 
 
 @query(f"WITH d AS (SELECT *, size - avg(size) OVER (PARTITION BY brand) AS dx, q - avg(q) OVER (PARTITION BY brand) AS dy FROM {PARTS}) SELECT round(sum(dx * dy) / sum(dx * dx), 6) AS slope FROM d")
 def demeaned_slope(t: Tables) -> DataFrame:
     """OLS slope within groups."""
-    w = Window.partitionBy("brand")
-    d = parts(t).select((F.col("size") - F.avg("size").over(w)).alias("dx"), (F.col("q") - F.avg("q").over(w)).alias("dy"))
+    d = rel.with_totals(parts(t), ["brand"], mx=F.avg("size"), my=F.avg("q")).select((F.col("size") - F.col("mx")).alias("dx"), (F.col("q") - F.col("my")).alias("dy"))
     return d.agg(r(F.sum(F.col("dx") * F.col("dy")) / F.sum(F.col("dx") * F.col("dx"))).alias("slope"))
 
 
 @query(f"SELECT part, brand, q FROM (SELECT *, greatest(quantile_cont(q, 0.95) OVER (PARTITION BY brand), 700) AS cut FROM {PARTS}) WHERE q > cut")
 def group_threshold_floor(t: Tables) -> DataFrame:
     """Above the greater of the group's quantile and a floor."""
-    cut = F.greatest(F.percentile("q", 0.95).over(Window.partitionBy("brand")), F.lit(700.0))
-    return parts(t).withColumn("cut", cut).filter("q > cut").select("part", "brand", "q")
+    p = parts(t)
+    cuts = distributed.quantiles(p, ["brand"], "q", [0.95], ["cut"]).withColumn("cut", F.greatest("cut", F.lit(700.0)))
+    return p.join(cuts, "brand").filter("q > cut").select("part", "brand", "q")

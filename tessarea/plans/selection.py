@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessarea.functions import case_first, case_last, clip, ratio
-from tessarea.operators import rel
+from tessarea.operators import distributed, rel
 from tessarea.plans.registry import CANDIDATES, PANEL, Tables, candidates, panel, query, r
 
 
@@ -121,7 +121,7 @@ def conditional_distinct_filter(t: Tables) -> DataFrame:
 SELECT l_returnflag, round(sum(CASE WHEN l_quantity >= 50 THEN cap ELSE least(l_quantity, cap) END), 6) AS capped, max(cap) AS cap FROM lineitem CROSS JOIN c GROUP BY ALL""")
 def percentile_cap(t: Tables) -> DataFrame:
     """Sentinel and cap from a one-row aggregate."""
-    cap = t.lineitem.agg(F.greatest(F.expr("percentile(l_quantity, 0.95) FILTER (WHERE l_quantity < 50)"), F.lit(30.0)).alias("cap"))
+    cap = distributed.quantiles(t.lineitem.filter("l_quantity < 50"), [], "l_quantity", [0.95], ["cap"]).select(F.greatest("cap", F.lit(30.0)).alias("cap"))
     value = F.when(F.col("l_quantity") >= 50, F.col("cap")).otherwise(F.least("l_quantity", "cap"))
     return t.lineitem.crossJoin(F.broadcast(cap)).groupBy("l_returnflag").agg(r(F.sum(value)).alias("capped"), F.max("cap").alias("cap"))
 

@@ -31,7 +31,9 @@ def sessions(events: DataFrame, gap: str, late: str | None = None, ts: str = "ts
 
 
 def first_seen(events: DataFrame, late: str, keys: list[str], ts: str = "ts") -> DataFrame:
-    """Repeats within the watermark go."""
+    """Repeats go: on a stream those within the watermark, in a batch all."""
+    if not events.isStreaming:
+        return events.dropDuplicates(keys)
     return events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
