@@ -95,11 +95,11 @@ def monotone(df: DataFrame, features: dict[str, bool], target: str, key: str, ro
     for _ in range(rounds):
         for f, rising in features.items():
             rest = F.col(target) - base - sum((parts[o] for o in features if o != f), F.lit(0.0))
-            rows = df.filter(F.col(f).isNotNull()).select(F.col(f).cast("double").alias("x"), rest.alias("y")).groupBy("x").agg(F.avg("y").alias("y"), F.count("*").cast("double").alias("w"))
-            fitted = IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w", isotonic=rising).fit(rows)
+            rows = df.filter(F.col(f).isNotNull()).select(F.col(f).cast("double").alias("_x"), rest.alias("_y")).groupBy("_x").agg(F.avg("_y").alias("_y"), F.count("*").cast("double").alias("_w"))
+            fitted = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w", isotonic=rising).fit(rows)
             # The steps of the fit, with linear parts between them, as an expression: predictions stay in the JVM.
             models[f] = (fitted.boundaries.toArray().tolist(), fitted.predictions.toArray().tolist())
-            shift = rows.agg((F.sum(_steps(F.col("x"), *models[f]) * F.col("w")) / F.sum("w")).alias("s")).first()["s"]
+            shift = rows.agg((F.sum(_steps(F.col("_x"), *models[f]) * F.col("_w")) / F.sum("_w")).alias("s")).first()["s"]
             parts[f] = F.coalesce(_steps(F.col(f).cast("double"), *models[f]) - shift, F.lit(0.0))
     return df.withColumn("fitted", base + sum(parts.values(), F.lit(0.0)))
 
