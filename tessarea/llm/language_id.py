@@ -221,7 +221,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     known = counts.count()
     # The share of a language's hashes; as a double it is compared with the hash as a double, off by a few in 2^53.
     edges = counts.select("lang", F.least(F.lit(1.0), F.lit(sample / max(1, known)) / F.col("n")).alias("share"))
-    chosen = labelled.join(edges, "lang").filter(F.col("h").cast("double") <= F.col("share") * 2.0**64 - 2.0**63)
+    # A row a language: sent to all tasks where they are few, so that no text moves.
+    chosen = labelled.join(F.broadcast(edges) if known <= 10_000 else edges, "lang").filter(F.col("h").cast("double") <= F.col("share") * 2.0**64 - 2.0**63)
     schema = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("segment", pa.binary())])
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
