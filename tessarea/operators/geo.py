@@ -132,3 +132,28 @@ def interpolated(pairs: DataFrame, zone: str, share: str, sums: list[str], means
         known = F.when(F.col(c).isNotNull(), w)
         made += [F.try_divide(F.sum(F.col(c) * w), F.sum(known)).alias(c), F.coalesce(F.try_divide(F.sum(known), F.sum(w)), F.lit(0.0)).alias(f"{c}_coverage")]
     return pairs.groupBy(zone).agg(*made)
+
+
+# The ellipsoid GRS 80 and the conic equal-area projection of the contiguous United States (EPSG:5070).
+ALBERS = {"a": 6378137.0, "f": 1 / 298.257222101, "lat0": 23.0, "lon0": -96.0, "lat1": 29.5, "lat2": 45.5}
+
+
+def equal_area(lat: Column, lon: Column, p: dict = ALBERS) -> tuple[Column, Column]:
+    """Degrees to metres (x, y) of a conic equal-area projection with two standard parallels."""
+    e2 = p["f"] * (2 - p["f"])
+    e = math.sqrt(e2)
+
+    def q_of(sine: float) -> float:
+        return (1 - e2) * (sine / (1 - e2 * sine**2) - math.log((1 - e * sine) / (1 + e * sine)) / (2 * e))
+
+    def m_of(degrees: float) -> float:
+        return math.cos(math.radians(degrees)) / math.sqrt(1 - e2 * math.sin(math.radians(degrees)) ** 2)
+
+    q0, q1, q2 = (q_of(math.sin(math.radians(p[k]))) for k in ("lat0", "lat1", "lat2"))
+    m1, m2 = m_of(p["lat1"]), m_of(p["lat2"])
+    n = (m1**2 - m2**2) / (q2 - q1)
+    c = m1**2 + n * q1
+    sine = F.sin(F.radians(lat))
+    q = (1 - e2) * (sine / (1 - e2 * sine * sine) - F.log((1 - e * sine) / (1 + e * sine)) / (2 * e))
+    rho, theta = p["a"] * F.sqrt(c - n * q) / n, n * F.radians(lon - p["lon0"])
+    return rho * F.sin(theta), p["a"] * math.sqrt(c - n * q0) / n - rho * F.cos(theta)

@@ -106,3 +106,29 @@ def pixel_sums(t: Tables) -> DataFrame:
     """Pixels and their weights by the zone in which their centre lies."""
     held = geo.in_polygons(points(t).withColumn("v", F.col("id") % 11), zones_of_sites(t), 0.2)
     return held.groupBy(F.col("zone").cast("long").alias("zone")).agg(F.count("*").alias("pixels"), F.sum("v").alias("mass"))
+
+
+@query("""WITH k AS (SELECT user_id % 12 AS place, unnest(CASE event_type WHEN 'click' THEN ['seen', 'active'] WHEN 'purchase' THEN ['active', 'paid'] ELSE ['seen'] END) AS label FROM events)
+SELECT place, count(*) FILTER (WHERE label = 'seen')::DOUBLE AS n_seen, count(*) FILTER (WHERE label = 'active')::DOUBLE AS n_active, count(*) FILTER (WHERE label = 'paid')::DOUBLE AS n_paid FROM k GROUP BY place""")
+def multi_label_counts(t: Tables) -> DataFrame:
+    """Several labels a row, a row a label, counts by label side by side."""
+    labels = F.when(F.col("event_type") == "click", F.array(F.lit("seen"), F.lit("active"))).when(F.col("event_type") == "purchase", F.array(F.lit("active"), F.lit("paid"))).otherwise(F.array(F.lit("seen")))
+    k = t.events.select((F.col("user_id") % 12).alias("place"), F.explode(labels).alias("label"), F.lit(1.0).alias("one"))
+    return rel.pivot_fixed(k, ["place"], "label", ["seen", "active", "paid"], "one", "n_")
+
+
+@query("""WITH k AS (SELECT event_type, CAST(ts AS DATE) AS day, user_id % 9 AS tract, count(*) AS n, sum(value) AS v FROM events GROUP BY ALL)
+SELECT event_type, day, tract, round(n / sum(n) OVER w, 9) AS share, round(v / sum(v) OVER w, 9) AS value_share FROM k WINDOW w AS (PARTITION BY event_type, day)""")
+def city_share_surface(t: Tables) -> DataFrame:
+    """Counts by period, offense and unit over their totals, with the other bases' shares."""
+    k = t.events.groupBy("event_type", F.to_date("ts").alias("day"), (F.col("user_id") % 9).alias("tract")).agg(F.count("*").alias("n"), F.sum("value").alias("v"))
+    s = rel.share_of_group(rel.share_of_group(k, ["event_type", "day"], "n", "share"), ["event_type", "day"], "v", "value_share")
+    return s.select("event_type", "day", "tract", r("share", 9).alias("share"), r("value_share", 9).alias("value_share"))
+
+
+@query(f"""WITH k AS (SELECT 0.0066943800229007869 AS e2, 0.081819191042815792 AS e), s AS (SELECT id, lon, sin(radians(lat)) AS s, e2, e FROM {PLACES} CROSS JOIN k), q AS (SELECT *, (1 - e2) * (s / (1 - e2 * s * s) - ln((1 - e * s) / (1 + e * s)) / (2 * e)) AS q FROM s),
+n AS (SELECT q.*, 6378137.0 * sqrt(1.34918203156097 - 0.60290276906576 * q) / 0.60290276906576 AS rho, 0.60290276906576 * radians(lon + 96) AS th FROM q) SELECT id, round(rho * sin(th) / 1000, 6) AS x_km, round((9928937.00425 - rho * cos(th)) / 1000, 6) AS y_km FROM n""")
+def projected_places(t: Tables) -> DataFrame:
+    """Degrees to an equal-area plane."""
+    x, y = geo.equal_area(F.col("lat"), F.col("lon"))
+    return places(t).select("id", r(x / 1000).alias("x_km"), r(y / 1000).alias("y_km"))
