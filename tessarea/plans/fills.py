@@ -126,7 +126,7 @@ SELECT k.n_nationkey, k.seg, round(coalesce(v, 0), 2)::DOUBLE AS v, v IS NULL AS
 def skeleton_left_join(t: Tables) -> DataFrame:
     """The universe comes from ownership, not from the facts."""
     facts = t.orders.filter((F.col("o_orderstatus") == "P") & (F.year("o_orderdate") == 1997)).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_nationkey").alias("n_nationkey"), F.col("c_mktsegment").alias("seg")).agg(F.sum("o_totalprice").alias("v"))
-    skeleton = t.nation.select("n_nationkey").crossJoin(F.broadcast(t.customer.select(F.col("c_mktsegment").alias("seg")).distinct()))
+    skeleton = t.nation.select("n_nationkey").crossJoin(t.customer.select(F.col("c_mktsegment").alias("seg")).distinct())
     return skeleton.join(facts, ["n_nationkey", "seg"], "left").select("n_nationkey", "seg", r(F.coalesce("v", F.lit(0.0)), 2).alias("v"), F.col("v").isNull().alias("missing"))
 
 
@@ -152,7 +152,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 def multi_level_totals(t: Tables) -> DataFrame:
     """Totals at every level in one pass."""
     per = t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("v"), F.count("*").alias("n")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    named = per.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    named = per.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     g = named.rollup("r_name", "n_name").agg(r(F.sum("v"), 2).alias("v"), F.sum("n").alias("n"), F.grouping_id().alias("level"))
     return g.select(F.coalesce("r_name", F.lit("ALL")).alias("region"), F.coalesce("n_name", F.lit("ALL")).alias("nation"), "v", "n", "level")
 
