@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the next one's docs.
-All but the last return the columns of documents. A stage works on all rows that its predecessor kept.
+All but the last return the columns of documents. A stage works on all rows that its predecessor kept. An empty table gives empty
+tables all along; columns beyond those named are carried to the last stage but one, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,12 +20,16 @@ from tessarea.session import Scratch
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the linear scorer rejects go."""
+    """Documents that the linear scorer rejects go.
+
+    Null and empty texts are rejected; a null doc_id is no reason to go; repeated rows are judged alike."""
     return accept(docs, fit(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go from the texts, and documents that the rules reject go."""
+    """Failing lines go from the texts, and documents that the rules reject go.
+
+    Null and empty texts, and those with fewer than 50 words, are rejected; repeated rows are judged alike; n_chars follows the text."""
     return clean(docs)
 
 
@@ -36,12 +41,14 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are masked."""
+    """Secrets in the texts are masked, and no row goes. A null text stays null, an empty one empty; n_chars follows the text."""
     return redact(docs, fit_on_documents(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where the ids of each piece of each document lie in the training sequences."""
+    """Where the ids of each piece of each document lie in the training sequences.
+
+    A null or empty text is one piece with just the end id; a null doc_id is carried; repeated rows are packed each."""
     pieces = encode_pieces(docs, vocabulary("word_bpe_49k.json"), 2048)
     return pack_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), 2048)
 
