@@ -157,6 +157,7 @@ def test_recall_on_the_table(spark):
 @pytest.mark.parametrize("name", [n for n in Q.queries() if n != "op5_nearest_neighbours"])
 def test_queries_on_an_empty_table(spark, tmp_path, nothing, name):
     nothing.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     assert Q.queries()[name](spark, str(tmp_path)).count() == 0
 
 
