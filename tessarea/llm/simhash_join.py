@@ -113,26 +113,16 @@ def postings(fps: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
 
 
 def stars(fps: np.ndarray, bits: int, most: int = MOST) -> Iterator[tuple[int, int]]:
-    """(fingerprint, smallest that it is joined to in this list) of those that links join to a smaller one."""
+    """(fingerprint, smallest that it is joined to in this list) of those that links join to a smaller one. Memory grows with the list, however many its links are."""
     fps = np.unique(fps)
-    link = _by_pairs(fps, bits) if len(fps) <= most else _by_neighbours(fps, bits)
-    root = np.arange(len(fps))
-    while True:  # each node takes the smallest root beside it, then roots are followed
-        low = root.copy()
-        for a, b in link():
-            np.minimum.at(low, a, root[b])
-            np.minimum.at(low, b, root[a])
-        while (low != low[low]).any():
-            low = low[low]
-        if (low == root).all():
-            break
-        root = low
+    root = _by_pairs(fps, bits) if len(fps) <= most else _by_neighbours(fps, bits)
     for i in np.flatnonzero(root != np.arange(len(fps))).tolist():
         yield int(fps[i]), int(fps[root[i]])
 
 
-def _by_pairs(fps: np.ndarray, bits: int):
-    a, b = [], []
+def _by_pairs(fps: np.ndarray, bits: int) -> np.ndarray:
+    """The smallest place that links join to each; what a place links with is joined at once, and no links are kept."""
+    root = np.arange(len(fps))
     for i in range(len(fps) - 1):
         x = fps[i + 1 :] ^ fps[i]
         y = x | x >> np.uint64(4)
@@ -141,26 +131,32 @@ def _by_pairs(fps: np.ndarray, bits: int):
         shared = 8 - np.bitwise_count(y & LOWEST)  # the tally: bytes in which the two are alike
         near = np.flatnonzero(shared >= 8 - bits)
         near = near[np.bitwise_count(x[near]) <= bits]
-        a.append(np.full(len(near), i))
-        b.append(i + 1 + near)
-    pairs = (np.concatenate(a), np.concatenate(b)) if a else (np.empty(0, np.int64), np.empty(0, np.int64))
-    return lambda: [pairs]
+        if len(near):
+            joined_ = np.unique(np.append(root[i + 1 + near], root[i])).tolist()
+            for other in joined_[1:]:
+                root[root == other] = joined_[0]
+    return root
 
 
-def _by_neighbours(fps: np.ndarray, bits: int):
-    """Links of a long list, looked up anew in each round: they may be far more than the list."""
+def _by_neighbours(fps: np.ndarray, bits: int) -> np.ndarray:
+    """The same for a long list: each place looks up what differs from it in few bits, and takes the smallest root, until none changes."""
     free = int(np.bitwise_or.reduce(fps ^ fps[0]))
     places = [1 << i for i in range(64) if free >> i & 1]
     flips = [np.uint64(sum(c)) for k in range(1, bits + 1) for c in combinations(places, k)]
-
-    def link():
+    root = np.arange(len(fps))
+    while True:
+        low = root.copy()
         for flip in flips:
             other = fps ^ flip
             at = np.minimum(np.searchsorted(fps, other), len(fps) - 1)
             hit = np.flatnonzero((fps[at] == other) & (fps < other))
-            yield hit, at[hit]
-
-    return link
+            np.minimum.at(low, hit, low[at[hit]])
+            np.minimum.at(low, at[hit], low[hit])
+        while (low != low[low]).any():
+            low = low[low]
+        if (low == root).all():
+            return root
+        root = low
 
 
 def joined(lists: DataFrame, bits: int, most: int) -> DataFrame:
