@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessarea.operators import geo, rel
+from tessarea.operators import geo, rel, shapes
+from tessarea.operators.neighbours import nearest_places
 from tessarea.plans.general import KM, PLACES, SITES, places, sites
 from tessarea.plans.registry import Tables, query, r
 
@@ -132,3 +133,69 @@ def projected_places(t: Tables) -> DataFrame:
     """Degrees to an equal-area plane."""
     x, y = geo.equal_area(F.col("lat"), F.col("lon"))
     return places(t).select("id", r(x / 1000).alias("x_km"), r(y / 1000).alias("y_km"))
+
+
+@query(f"SELECT id, id2, round(km, 6) AS km, CAST(k AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), id2) AS k FROM (SELECT id, id2, {KM} AS km FROM {PLACES} CROSS JOIN {SITES})) WHERE k <= 2")
+def nearest_anywhere(t: Tables) -> DataFrame:
+    """The two nearest sites of every place, however far."""
+    return nearest_places(places(t), sites(t), 2).select("id", "id2", r("km").alias("km"), "place")
+
+
+@query(f"SELECT id, id2, round(km, 6) AS km FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), id2) AS k FROM (SELECT id, id2, {KM} AS km FROM {PLACES} JOIN {SITES} ON id % 5 = id2 % 5)) WHERE k = 1")
+def nearest_of_group_anywhere(t: Tables) -> DataFrame:
+    """The nearest site of one's own group, however far."""
+    own = lambda df, c: df.withColumn("g", F.col(c) % 5)
+    return nearest_places(own(places(t), "id"), own(sites(t), "id2"), 1, ["g"]).select("id", "id2", r("km").alias("km"))
+
+
+# Tiles without their upper right corner, and boxes with a hole in the middle half: areas follow from boxes by inclusion and exclusion.
+NOTCHED = f"(SELECT id, x0, y0, x0 + w AS x1, y0 + h AS y1, x0 + w * 0.6 AS p0, y0 + h * 0.6 AS q0, x0 + w AS p1, y0 + h AS q1 FROM {TILES})"
+HOLED = f"(SELECT id2, x0, y0, x0 + w AS x1, y0 + h AS y1, x0 + w / 4 AS p0, y0 + h / 4 AS q0, x0 + w * 3 / 4 AS p1, y0 + h * 3 / 4 AS q1 FROM {BOXES})"
+
+
+def common(a: str, b: str) -> str:
+    """SQL for the area that two boxes share; each given as the names of its corners."""
+    side = lambda low, high: f"greatest(0, least(t.{high[0]}, b.{high[1]}) - greatest(t.{low[0]}, b.{low[1]}))"
+    x, y = {"box": ("x0", "x1"), "cut": ("p0", "p1")}, {"box": ("y0", "y1"), "cut": ("q0", "q1")}
+    return f"{side((x[a][0], x[b][0]), (x[a][1], x[b][1]))} * {side((y[a][0], y[b][0]), (y[a][1], y[b][1]))}"
+
+
+def ring(*corners: tuple[Column, Column]) -> Column:
+    return F.array(*[F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in corners])
+
+
+def notched(t: Tables) -> DataFrame:
+    """Concave tiles of one ring."""
+    p = lambda i, c: F.element_at("ring", i)[c]
+    x0, y0, x1, y1 = p(1, "x"), p(1, "y"), p(3, "x"), p(3, "y")
+    x, y = x0 + F.lit(0.4) * 0.6, y0 + F.lit(0.4) * 0.6
+    return tiles(t).select("id", F.array(ring((x0, y0), (x1, y0), (x1, y), (x, y), (x, y1), (x0, y1))).alias("rings"))
+
+
+def holed(t: Tables) -> DataFrame:
+    """Boxes with a hole; outer and inner rings run the same way."""
+    p = lambda i, c: F.element_at("ring2", i)[c]
+    x0, y0, w, h = p(1, "x"), p(1, "y"), p(3, "x") - p(1, "x"), p(3, "y") - p(1, "y")
+    hole = ring((x0 + w / 4, y0 + h / 4), (x0 + w * 3 / 4, y0 + h / 4), (x0 + w * 3 / 4, y0 + h * 3 / 4), (x0 + w / 4, y0 + h * 3 / 4))
+    return boxes(t).select("id2", F.array(F.col("ring2"), hole).alias("rings"))
+
+
+@query(f"""SELECT * FROM (SELECT id, id2, round({common("box", "box")} - {common("cut", "box")} - {common("box", "cut")} + {common("cut", "cut")}, 8) AS overlap FROM {NOTCHED} t CROSS JOIN {HOLED} b) WHERE overlap > 1e-5""")
+def overlay_of_shapes(t: Tables) -> DataFrame:
+    """Areas that concave shapes and shapes with holes share."""
+    met = shapes.overlay(shapes.covers(notched(t), "id"), shapes.covers(holed(t), "id2"))
+    return met.select("id", "id2", r("overlap", 8).alias("overlap")).filter("overlap > 1e-5")
+
+
+@query(f"SELECT id2, round((x1 - x0) * (y1 - y0) * 0.75, 9) AS area FROM {HOLED}")
+def areas_of_shapes(t: Tables) -> DataFrame:
+    """Areas of shapes with holes (I4)."""
+    return shapes.areas(shapes.covers(holed(t), "id2"), "id2").select("id2", r("area", 9).alias("area"))
+
+
+@query(f"""SELECT id2, count(*) AS n, sum(p.id % 11)::BIGINT AS mass FROM {PLACES} p JOIN {HOLED} b ON lon + 0.0007 > x0 AND lon + 0.0007 < x1 AND lat + 0.0007 > y0 AND lat + 0.0007 < y1
+AND NOT (lon + 0.0007 > p0 AND lon + 0.0007 < p1 AND lat + 0.0007 > q0 AND lat + 0.0007 < q1) GROUP BY id2""")
+def points_in_shapes(t: Tables) -> DataFrame:
+    """Points in shapes with holes."""
+    held = shapes.held_by(points(t), shapes.covers(holed(t), "id2"))
+    return held.groupBy("id2").agg(F.count("*").alias("n"), F.sum(F.col("id") % 11).alias("mass"))
