@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessarea.session import Scratch
+
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank0") -> DataFrame:
     """Rank from 0 within ``keys``. ``order`` must end in what tells rows apart, or ties are arbitrary."""
@@ -49,8 +51,17 @@ def complete(df: DataFrame, keys: Sequence[str], dimension: DataFrame, fill: dic
     return skeleton.join(df, [*keys, *dimension.columns], "left").fillna(fill)
 
 
+def once(df: DataFrame, label: str = "once") -> DataFrame:
+    """A frame that is used twice: one that joins or aggregates is written and read back, so that it is made once however long the chain; a plain scan is read again."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if not any(step in plan for step in ("Join", "Aggregate", "Window", "Generate")):
+        return df
+    return Scratch(df.sparkSession, label).keep(df, label)
+
+
 def with_totals(df: DataFrame, group: Sequence[str], **aggregates: Column) -> DataFrame:
     """Aggregates of each row's group as columns: aggregated before the shuffle and joined back, so that no task holds a group. NULL keys form groups."""
+    df = once(df, "totals")
     totals = df.groupBy(*group).agg(*[x.alias(name) for name, x in aggregates.items()])
     return null_safe_join(df, totals, group, "left") if group else df.crossJoin(totals)
 
@@ -64,15 +75,18 @@ def share_of_group(df: DataFrame, group: Sequence[str], value: str, name: str, f
 
 
 def basis_shares(df: DataFrame, group: Sequence[str], bases: Sequence[str], name: str, floor: float) -> DataFrame:
-    """Shares of each group by the first basis with a positive sum, or equal ones; those below ``floor`` become 0 unless all are, and the rest is scaled to 1."""
-    out = with_totals(df, group, **{f"_b{i}": F.sum(b) for i, b in enumerate(bases)})
-    base = F.lit(1.0)
+    """Shares of each group by the first basis with a positive sum, or equal ones; those below ``floor`` become 0 unless all are, and the rest is scaled to 1.
+
+    Two aggregates: the sums of all bases, of which the chosen one is the first shares' total, then the largest share and what the floor leaves."""
+    out = with_totals(df, group, _count=F.count("*"), **{f"_b{i}": F.sum(b) for i, b in enumerate(bases)})
+    base, total = F.lit(1.0), F.col("_count").cast("double")
     for i, b in reversed(list(enumerate(bases))):
-        base = F.when(F.col(f"_b{i}") > 0, F.col(b)).otherwise(base)
-    out = share_of_group(out.withColumn("_base", base), group, "_base", "_s0")
-    out = with_totals(out, group, _top=F.max("_s0"))
-    out = out.withColumn("_s1", F.when((F.col("_s0") < floor) & (F.col("_top") >= floor), 0.0).otherwise(F.col("_s0")))
-    return share_of_group(out, group, "_s1", name).drop(*[f"_b{i}" for i in range(len(bases))], "_base", "_s0", "_s1", "_top")
+        base, total = F.when(F.col(f"_b{i}") > 0, F.col(b)).otherwise(base), F.when(F.col(f"_b{i}") > 0, F.col(f"_b{i}")).otherwise(total)
+    out = out.withColumn("_s0", F.coalesce(base / total, F.lit(0.0)))
+    out = with_totals(out, group, _top=F.max("_s0"), _all=F.sum("_s0"), _left=F.sum(F.when(F.col("_s0") >= floor, F.col("_s0"))))
+    floored = F.col("_top") >= floor
+    share = F.when(floored, F.when(F.col("_s0") >= floor, F.col("_s0") / F.col("_left")).otherwise(0.0)).otherwise(F.col("_s0") / F.col("_all"))
+    return out.withColumn(name, F.coalesce(share, F.lit(0.0))).drop("_count", *[f"_b{i}" for i in range(len(bases))], "_s0", "_top", "_all", "_left")
 
 
 def dominant_label(df: DataFrame, keys: Sequence[str], label: str, weight: str) -> DataFrame:
@@ -92,11 +106,11 @@ def rollup_via_bridge(facts: DataFrame, bridge: DataFrame, on: str, keys: Sequen
 
 
 def lookup_chain(df: DataFrame, levels: Sequence[tuple[DataFrame, Sequence[str], str, str]], name: str, default: float) -> DataFrame:
-    """The value of the first level that has one, with the level's label. Each level: table, keys, column, label."""
+    """The value of the first level that has one, with the level's label. Each level: table, keys, column, label; a table without keys is taken as its one row (the largest value of several)."""
     out, tried, labels = df, [], []
     for i, (table, keys, column, label) in enumerate(levels):
         side = table.select(*keys, F.col(column).alias(f"_l{i}"))
-        out = out.join(side, list(keys), "left") if keys else out.crossJoin(F.broadcast(side))
+        out = out.join(side, list(keys), "left") if keys else out.crossJoin(F.broadcast(side.agg(F.max(f"_l{i}").alias(f"_l{i}"))))  # one row
         tried.append(F.col(f"_l{i}"))
         labels.append(F.when(F.col(f"_l{i}").isNotNull(), F.lit(label)))
     return out.withColumns({name: F.coalesce(*tried, F.lit(default)), f"{name}_source": F.coalesce(*labels, F.lit("default"))}).drop(*[f"_l{i}" for i in range(len(levels))])

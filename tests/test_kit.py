@@ -161,3 +161,22 @@ def test_boosted_query_fits_the_whole_model(spark, monkeypatch):
     plans.QUERIES["boosted_held_out"](spark, "/root/testdata/sf0.001")
     (model, k), whole = fits[0], ml.boosted(["x"], "q").getStages()[-1]
     assert (model.getMaxDepth(), model.getMaxIter(), k) == (whole.getMaxDepth(), whole.getMaxIter(), 3) == (5, 20, 3)
+
+
+def test_totals_do_not_double_the_work(spark):
+    """Chained totals over joins read each table as often as one does."""
+    df = spark.range(200).selectExpr("id", "id % 7 AS g", "id * 1.0D AS v").join(spark.range(7).selectExpr("id AS g", "id * 2 AS z"), "g")
+    out = df
+    for i in range(4):
+        out = rel.share_of_group(out, ["g"], "v", f"s{i}")
+    plan = out._jdf.queryExecution().optimizedPlan()
+    assert plan.collectLeaves().size() <= 2
+    assert out.agg({"s3": "sum"}).first()[0] == pytest.approx(7)
+    shares = rel.basis_shares(df.withColumn("none", F.lit(0.0)), ["g"], ["none", "v"], "share", 0.02)
+    assert shares._jdf.queryExecution().optimizedPlan().collectLeaves().size() <= 4
+    rows = shares.collect()
+    for g in range(7):
+        mine = [(r.v, r.share) for r in rows if r.g == g]
+        first = [v / sum(x for x, _ in mine) for v, _ in mine]
+        kept = [s if s >= 0.02 else 0.0 for s in first]
+        assert [s for _, s in mine] == pytest.approx([s / sum(kept) for s in kept])
