@@ -19,7 +19,7 @@ from tessarea.llm.jaccard_join import Trie, first_of_each, near_duplicates
 from tessarea.llm.packing import encode_pieces, pack_pieces, sum_of_squares
 from tessarea.llm.quality_rules import clean, measure
 from tessarea.llm.secret_scan import fit_on_documents, redact, scan, spans_of
-from tessarea.llm.sharding import assign_shards, greedy_cuts, minimax_cuts
+from tessarea.llm.sharding import assign_shards, greedy_cuts, minimax_cuts, place_atoms
 from tessarea.llm.token_files import OpenTokenFile, TokenFile, token_file_round_trip
 from tests.llm.conftest import prose
 
@@ -426,6 +426,57 @@ def test_minimax_is_the_smallest_capacity():
         assert least < sizes.max() or len(greedy_cuts(sizes, least)) > 4
 
 
+@pytest.mark.parametrize("share", [0.5, 1.0, 1.02, 1.2, 1.45, 1.6, 2.0, 3.0])
+@pytest.mark.parametrize("at", [0, 1700, 5999])
+def test_a_large_group_leaves_the_other_shards_even(share, at):
+    sizes = np.random.default_rng(1).integers(900, 1100, 6000)
+    sizes[at] = 0
+    sizes[at] = int(share * sizes.sum() / (24 - share))
+    even = sizes.sum() / 24
+    capacity, shard = place_atoms(sizes, 24)
+    held = np.bincount(shard, sizes, 24)
+    assert (np.diff(shard) >= 0).all() and held.max() <= capacity
+    others = np.delete(held, shard[at]) if share > 1 else held
+    assert others.min() > 0.5 * even and others.max() <= 1.05 * even
+    assert held.max() <= max(1.05 * even, sizes[at])
+
+
+def test_two_large_groups_and_few_atoms():
+    sizes = np.array([5, 400, 7, 9, 300, 4, 6])
+    capacity, shard = place_atoms(sizes, 6)
+    assert capacity == 400 and np.bincount(shard, sizes, 6).max() == 400
+    assert place_atoms(np.array([3, 4]), 5)[1].tolist() == [0, 1]
+    assert place_atoms(np.empty(0, np.int64), 5)[0] == 0
+
+
+def smallest_capacity(sizes, shards):
+    best = {(0, 0): 0}
+    for k in range(1, shards + 1):
+        for j in range(len(sizes) + 1):
+            best[k, j] = min((max(best[k - 1, i], sum(sizes[i:j])) for i in range(j + 1) if (k - 1, i) in best), default=10**9)
+    return best[shards, len(sizes)]
+
+
+def test_capacity_equals_all_partitions():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        sizes = rng.choice([1, 2, 5, 60, 100], rng.integers(1, 11))
+        capacity, shard = place_atoms(sizes, 4)
+        assert capacity == smallest_capacity(sizes.tolist(), 4) and (np.diff(shard) >= 0).all()
+        assert np.bincount(shard, sizes, 4).max() == capacity and len(np.bincount(shard)) <= 4
+
+
+def test_shards_keep_the_smallest_capacity_over_groups(spark, docs):
+    """Few coarse atoms: the second count parts those at the cuts into groups."""
+    got = assign_shards(docs, 5, bits=4, more=20).collect()
+    held = Counter()
+    for r in got:
+        held[r.shard] += r["size"]
+    order = docs.select(F.xxhash64("text", F.col("text").isNull()).alias("h"), (F.octet_length(F.coalesce("text", F.lit(""))) + 8).alias("size")).groupBy(F.shiftrightunsigned("h", 40).alias("g")).agg(F.sum("size").alias("size"))
+    sizes = [r["size"] for r in order.orderBy("g").collect()]
+    assert max(held.values()) == minimax_cuts(np.array(sizes), 5)[0]
+
+
 def test_digests_of_the_queries(spark, tmp_path, rows, docs):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     folder = str(tmp_path)
