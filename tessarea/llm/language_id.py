@@ -3,7 +3,7 @@
 A text's bytes are cut into segments of ``SEGMENT``, each a row of a block of rows of falling length; one network reads
 each row forwards, one backwards, and together they give every byte a label distribution. A document's distribution
 is the mean over all its bytes. Weights are found by backpropagation through time on a bounded sample, fitted in one task:
-about ``SAMPLE`` labelled documents by a hash, the same number for each language that has so many, and of each text
+about ``SAMPLE`` different labelled documents by a hash, the same number for each language that has so many and one at least, and of each text
 ``DRAWS`` segments of ``TRAIN`` bytes, which lie anywhere in it (by the hash; texts of up to that length go in whole). Every
 byte of every text is read for a prediction.
 
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessarea.llm.common import slices
+from tessarea.session import Scratch
 
 SAMPLE, SEGMENT, HIDDEN, ROWS = 3_000, 256, 8, 1024
 TRAIN, DRAWS = 96, 2  # bytes of a training segment, and how many are drawn from a text
@@ -214,15 +215,17 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     """Fitted on about ``sample`` labelled documents that are not held out, those with the smallest hashes of each language.
 
-    Of a language with fewer than its share all go in. Only the drawn segments are sent to the fitting task."""
+    Of a language with fewer than its share all go in, and of every language one at least, however many there are. Equal documents count
+    as one, and of their segments one goes to the fitting task, so what it gets is bounded however often a row is repeated."""
     labelled = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     labelled = labelled.filter(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("h", F.xxhash64("doc_id", "text"))
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    known = counts.count()
+    scratch = Scratch(docs.sparkSession, "languages")
+    counts = scratch.keep(labelled.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.min("h").alias("least")), "counts")
+    known = max(1, counts.count())
     # The share of a language's hashes; as a double it is compared with the hash as a double, off by a few in 2^53.
-    edges = counts.select("lang", F.least(F.lit(1.0), F.lit(sample / max(1, known)) / F.col("n")).alias("share"))
-    # A row a language: sent to all tasks where they are few, so that no text moves.
-    chosen = labelled.join(F.broadcast(edges) if known <= 10_000 else edges, "lang").filter(F.col("h").cast("double") <= F.col("share") * 2.0**64 - 2.0**63)
+    edges = counts.select("lang", "least", F.least(F.lit(1.0), F.lit(sample / known) / F.col("n")).alias("share"))
+    # A written table of a row a language: Spark knows its size, and sends it to the texts where it is small.
+    chosen = labelled.join(edges, "lang").filter((F.col("h") == F.col("least")) | (F.col("h").cast("double") <= F.col("share") * 2.0**64 - 2.0**63))
     schema = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("segment", pa.binary())])
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +238,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
         net = train(rows["segment"].tolist(), rows["lang"].tolist())
         return pd.DataFrame({"net": [pickle.dumps(net)]})
 
-    segments_drawn = chosen.select("h", "lang", "text").mapInArrow(draw, "h long, lang string, segment binary").withColumn("one", F.lit(1))
+    segments_drawn = chosen.select("h", "lang", "text").mapInArrow(draw, "h long, lang string, segment binary").dropDuplicates().withColumn("one", F.lit(1))
     made = segments_drawn.groupBy("one").applyInPandas(run, "net binary").collect()
     return pickle.loads(bytes(made[0]["net"])) if made else None
 

@@ -197,3 +197,29 @@ def test_nearest_neighbours_among_near_copies(spark):
         cosine = x @ x[q] / (length * length[q])
         cosine[q] = -2
         assert found[q] == set(np.argsort(-cosine)[:5].tolist())
+
+
+def test_repeated_rows_teach_once(spark, monkeypatch):
+    """100,000 equal rows beside few others: the fitting task gets one of them, and the other language is learned."""
+    english = [f"the cat sat on the mat number {i} and then went on to the other house" for i in range(60)]
+    german = [f"der hund lief durch den wald nummer {i} und kam dann wieder nach hause" for i in range(60)]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([*((t, "en") for t in english), *((t, "de") for t in german)])]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    again = spark.range(100_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(english[1]).alias("text"), F.lit("en").alias("lang"))
+    got = {}
+    seen = type(table).groupBy
+
+    def counted(self, *keys):
+        if keys == ("one",):
+            got["rows"] = self.count()
+        return seen(self, *keys)
+
+    monkeypatch.setattr(type(table), "groupBy", counted)
+    net = language_id.fit(table.unionByName(again), sample=200)
+    assert net.langs == ["de", "en"] and got["rows"] <= 2 * 120
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"wort{i % 90} rede sprache {i}", f"l{i % 90}") for i in range(900)]
+    net = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=30)
+    assert len(net.langs) == 90
