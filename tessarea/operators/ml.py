@@ -8,6 +8,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessarea.session import Scratch
+
 
 def folds(df: DataFrame, key: str, k: int) -> DataFrame:
     """A fold by a hash of the key, so all rows of a key share one."""
@@ -65,54 +67,6 @@ def residual_target(truth: str, model: str, floor: float = 0.5, most: float = 12
     return clip(F.log((F.col(truth) + floor) / (F.col(model) + floor)), -most, most)
 
 
-def by_groups(df: DataFrame, pipeline: Pipeline, group: str, out: list) -> DataFrame:
-    """Predictions for the rows of the groups named from a model that has not seen them."""
-    inside = F.col(group).isin(*out)
-    part = pipeline.fit(df.filter(~inside)).transform(df.filter(inside))
-    return part.drop(*[c for c in part.columns if c.startswith("__") or c.endswith("__filled")])
-
-
-def leave_pairs_out(df: DataFrame, pipeline: Pipeline, group: str, groups: list, target: str) -> DataFrame:
-    """For every pair of groups the squared error on each from a model that has seen neither. One fit a pair: for few groups."""
-    out = None
-    for i, a in enumerate(groups):
-        for b in groups[i + 1 :]:
-            part = by_groups(df, pipeline, group, [a, b]).groupBy(group).agg(F.avg(F.pow(F.col(target) - F.col("prediction"), 2)).alias("error"))
-            part = part.select(F.lit(a).alias("first"), F.lit(b).alias("second"), group, "error")
-            out = part if out is None else out.unionByName(part)
-    return out
-
-
-def monotone(df: DataFrame, features: dict[str, bool], target: str, key: str, rounds: int = 3) -> DataFrame:
-    """An additive fit, monotone in each feature (True: rising): isotonic regression of what the others leave, feature by feature, some rounds. Adds ``fitted``.
-
-    ``key`` tells rows apart. NULL features are held at their mean effect of 0."""
-    from pyspark.ml.regression import IsotonicRegression
-
-    base = df.agg(F.avg(target).alias("m")).first()["m"] or 0.0
-    parts = {f: F.lit(0.0) for f in features}
-    models: dict = {}
-    for _ in range(rounds):
-        for f, rising in features.items():
-            rest = F.col(target) - base - sum((parts[o] for o in features if o != f), F.lit(0.0))
-            rows = df.filter(F.col(f).isNotNull()).select(F.col(f).cast("double").alias("_x"), rest.alias("_y")).groupBy("_x").agg(F.avg("_y").alias("_y"), F.count("*").cast("double").alias("_w"))
-            fitted = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w", isotonic=rising).fit(rows)
-            # The steps of the fit, with linear parts between them, as an expression: predictions stay in the JVM.
-            models[f] = (fitted.boundaries.toArray().tolist(), fitted.predictions.toArray().tolist())
-            shift = rows.agg((F.sum(_steps(F.col("_x"), *models[f]) * F.col("_w")) / F.sum("_w")).alias("s")).first()["s"]
-            parts[f] = F.coalesce(_steps(F.col(f).cast("double"), *models[f]) - shift, F.lit(0.0))
-    return df.withColumn("fitted", base + sum(parts.values(), F.lit(0.0)))
-
-
-def _steps(x, at: list[float], values: list[float]):
-    """Linear between the points, constant beyond the outer ones."""
-    table = F.array(*[F.struct(F.lit(float(a)).alias("a"), F.lit(float(v)).alias("v")) for a, v in zip(at, values, strict=True)])
-    below, above = F.filter(table, lambda p: p["a"] <= x), F.filter(table, lambda p: p["a"] > x)
-    low, high = F.try_element_at(below, F.lit(-1)), F.get(above, 0)
-    between = low["v"] + (high["v"] - low["v"]) * (x - low["a"]) / (high["a"] - low["a"])
-    return F.when(x.isNull(), None).when(low.isNull(), high["v"]).when(high.isNull(), low["v"]).otherwise(between)
-
-
 def permuted(df: DataFrame, key: str, block: list[str], seed: int = 7) -> DataFrame:
     """The block's columns of one key put on another: keys in the order of a hash take the next key's values, so all rows of a key share one.
 
@@ -127,18 +81,38 @@ def permuted(df: DataFrame, key: str, block: list[str], seed: int = 7) -> DataFr
     return df.join(pairs.select(key, *[f"_{c}" for c in block]), key).select(*[F.col(f"_{c}").alias(c) if c in block else F.col(c) for c in df.columns])
 
 
-def permutation_importance(df: DataFrame, pipeline: Pipeline, key: str, blocks: dict[str, list[str]], target: str, seed: int = 7) -> DataFrame:
-    """block, rise: by how much the mean squared error of the model on held-out rows (a hash of the key) rises when a block is permuted. One fit, a prediction a block."""
+def permutation_losses(df: DataFrame, pipeline: Pipeline, key: str, cluster: str, blocks: dict[str, list[str]], target: str, seed: int = 7) -> DataFrame:
+    """block, cluster, rise, n: by how much the squared errors on a cluster's held-out rows rise in sum when a block of features is permuted.
+
+    One fit on the rows of half the keys; each held-out row keeps its own error, and a block costs one more prediction."""
     split = folds(df, key, 2)
-    model, test = pipeline.fit(split.filter("fold = 0")), split.filter("fold = 1").drop("fold")
-    error = lambda rows: model.transform(rows).agg(F.avg(F.pow(F.col(target) - F.col("prediction"), 2)).alias("e"))
+    model = pipeline.fit(split.filter("fold = 0"))
+    bare = lambda p: p.drop(*[c for c in p.columns if c.startswith("__") or c.endswith("__filled") or c == "prediction"])
+    squared = F.pow(F.col(target) - F.col("prediction"), 2)
+    test = Scratch(df.sparkSession, "importance").keep(bare(model.transform(split.filter("fold = 1").drop("fold")).withColumn("_own", squared)), "held-out")
     out = None
     for name, block in blocks.items():
-        part = error(permuted(test, key, block, seed)).crossJoin(error(test).withColumnRenamed("e", "own")).select(F.lit(name).alias("block"), (F.col("e") - F.col("own")).alias("rise"))
+        part = model.transform(permuted(test, key, block, seed)).groupBy(F.coalesce(F.col(cluster).cast("string"), F.lit("")).alias("cluster"))
+        part = part.agg(F.sum(squared - F.col("_own")).alias("rise"), F.count("*").alias("n")).select(F.lit(name).alias("block"), "cluster", "rise", "n")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def importance(losses: DataFrame, rounds: int = 500, level: float = 0.95) -> DataFrame:
+    """block, rise, low, high, keep: the mean rise by row with its interval over resampled clusters; a block is kept if all of the interval is above 0.
+
+    All rounds of all blocks are one aggregate of the table of clusters."""
+    from tessarea.operators.stats import multiplicity
+
+    table = Scratch(losses.sparkSession, "importance").keep(losses, "losses")
+    drawn = table.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("m", multiplicity(F.col("cluster"), F.col("round")))
+    means = drawn.groupBy("block", "round").agg(F.try_divide(F.sum(F.col("rise") * F.col("m")), F.sum(F.col("n") * F.col("m"))).alias("mean"))
+    tail = (1 - level) / 2
+    spans = means.groupBy("block").agg(F.percentile("mean", tail).alias("low"), F.percentile("mean", 1 - tail).alias("high"))
+    own = table.groupBy("block").agg((F.sum("rise") / F.sum("n")).alias("rise"))
+    return own.join(spans, "block").select("block", "rise", "low", "high", (F.col("low") > 0).alias("keep"))
+
+
 def one_se(losses: DataFrame, option: str, unit: str, loss: str) -> DataFrame:
     """option, mean, se, chosen: the smallest option whose mean loss is within one standard error (over units) of the best."""
     means = losses.groupBy(option, unit).agg(F.avg(loss).alias("_l")).groupBy(option).agg(F.avg("_l").alias("mean"), (F.stddev_samp("_l") / F.sqrt(F.count("*"))).alias("se"))

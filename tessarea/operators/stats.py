@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -72,63 +70,20 @@ def poisson_interval(df: DataFrame, count: str, level: float = 0.95) -> DataFram
     return df.withColumn("_i", interval(F.col(count).cast("double"))).select("*", F.col("_i.low").alias("low"), F.col("_i.high").alias("high")).drop("_i")
 
 
-def nnls(df: DataFrame, terms: list[str], target: str) -> np.ndarray:
-    """Least squares with coefficients of 0 or more for a few terms: the Gram matrix is one aggregate, the active sets are tried."""
-    if len(terms) > 12:
-        raise ValueError("at most 12 terms")
-    cols = [*terms, target]
-    row = df.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]).first()
-    n = len(terms)
-    return _active_sets(np.array([[row[f"{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n + 1)] for i in range(n + 1)], float))
-
-
-def _active_sets(g: np.ndarray) -> np.ndarray:
-    """From the Gram matrix of terms and target: all sets of terms are tried, of those with coefficients of 0 or more the best is taken."""
-    n = len(g) - 1
-    best, loss = np.zeros(n), g[n, n]
-    for size in range(1, n + 1):
-        for s in combinations(range(n), size):
-            at = list(s)
-            k = np.linalg.lstsq(g[np.ix_(at, at)], g[at, n], rcond=None)[0]
-            if (k >= -1e-12).all():
-                now = g[n, n] - 2 * k @ g[at, n] + k @ g[np.ix_(at, at)] @ k
-                if now < loss - 1e-12 * max(1.0, g[n, n]):
-                    best, loss = np.zeros(n), now
-                    best[at] = np.maximum(k, 0)
-    return best
-
-
-def nnls_without_each(df: DataFrame, group: str, terms: list[str], target: str) -> DataFrame:
-    """term, p25, median, p75 of the coefficients fitted without each group in turn. A group's Gram matrix is one row; its fit is that of the total less the group's own."""
-    cols = [*terms, target]
-    names = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    sums = df.groupBy(group).agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i, j in names])
-    total = sums.agg(*[F.sum(f"g{i}_{j}").alias(f"t{i}_{j}") for i, j in names])
-
-    @F.pandas_udf("array<double>")
-    def fit(*gram: pd.Series) -> pd.Series:
-        out = []
-        for row in zip(*gram, strict=True):
-            g = np.zeros((len(cols), len(cols)))
-            for (i, j), v in zip(names, row, strict=True):
-                g[i, j] = g[j, i] = v
-            out.append(_active_sets(g).tolist())
-        return pd.Series(out)
-
-    left = sums.crossJoin(F.broadcast(total)).select(fit(*[F.col(f"t{i}_{j}") - F.coalesce(f"g{i}_{j}", F.lit(0.0)) for i, j in names]).alias("k"))
-    long = left.select(F.posexplode("k").alias("i", "v")).withColumn("term", F.element_at(F.array(*map(F.lit, terms)), F.col("i") + 1))
-    return long.groupBy("term").agg(*[F.percentile("v", q).alias(n) for q, n in ((0.25, "p25"), (0.5, "median"), (0.75, "p75"))])
-
-
-def cluster_bootstrap(df: DataFrame, cluster: str, value: str, weight: str, rounds: int = 200) -> DataFrame:
-    """95 % interval of a weighted mean over resampled clusters. A cluster's Poisson(1) multiplicity in a round comes from a hash, so rounds are repeatable and no rows move."""
-    sums = df.groupBy(cluster).agg(F.sum(F.col(value) * F.col(weight)).alias("vw"), F.sum(weight).alias("w"))
-    u = (F.pmod(F.xxhash64(F.col(cluster), F.col("round")), F.lit(1 << 30)) + 0.5) / (1 << 30)
+def multiplicity(cluster: Column, round_: Column) -> Column:
+    """How often a cluster is drawn in a round: Poisson(1) from a hash, so rounds are repeatable and no rows move."""
+    u = (F.pmod(F.xxhash64(cluster, round_), F.lit(1 << 30)) + 0.5) / (1 << 30)
     steps, total, p = F.lit(0), 0.0, np.exp(-1.0)
     for k in range(8):
         total += p
         steps = steps + F.when(u > total, 1).otherwise(0)
         p /= k + 1
-    draws = sums.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("m", steps)
+    return steps
+
+
+def cluster_bootstrap(df: DataFrame, cluster: str, value: str, weight: str, rounds: int = 200) -> DataFrame:
+    """95 % interval of a weighted mean over resampled clusters. A cluster's Poisson(1) multiplicity in a round comes from a hash, so rounds are repeatable and no rows move."""
+    sums = df.groupBy(cluster).agg(F.sum(F.col(value) * F.col(weight)).alias("vw"), F.sum(weight).alias("w"))
+    draws = sums.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("m", multiplicity(F.col(cluster), F.col("round")))
     means = draws.groupBy("round").agg(F.try_divide(F.sum(F.col("vw") * F.col("m")), F.sum(F.col("w") * F.col("m"))).alias("mean"))
     return means.agg(F.avg("mean").alias("mean"), F.percentile("mean", 0.025).alias("low"), F.percentile("mean", 0.975).alias("high"))

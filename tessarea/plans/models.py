@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessarea.operators import ml, stats
+from tessarea.operators import fits, ml, stats
 from tessarea.plans.publish import PARTS, parts, units
 from tessarea.plans.registry import Tables, query, r
 
@@ -27,7 +27,7 @@ def cluster_bootstrap_interval(t: Tables) -> DataFrame:
 def nnls_calibration(t: Tables) -> DataFrame:
     """Non-negative coefficients of a few terms."""
     p = parts(t).select(F.col("size").cast("double").alias("a"), F.col("price").alias("b"), (-F.col("price")).alias("c"), "q")
-    k = stats.nnls(p, ["a", "b", "c"], "q")
+    k = fits.nnls(p, ["a", "b", "c"], "q")
     return t.spark.createDataFrame([(n, float(round(v, 9))) for n, v in zip("abc", k, strict=True)], "term string, coefficient double")
 
 
@@ -52,8 +52,18 @@ def model_frame(t: Tables) -> DataFrame:
 
 @query()
 def monotone_fit(t: Tables) -> DataFrame:
-    """An additive fit that rises with each feature (M3)."""
-    return ml.fit_report(ml.monotone(model_frame(t), {"k": True, "size": True}, "q", "part"), "q", "fitted")
+    """An additive spline fit that rises with each feature (M3)."""
+    model = fits.monotone_splines(model_frame(t), {"k": True, "size": True}, "q")
+    return ml.fit_report(model.predicted(model_frame(t)), "q", "fitted")
+
+
+@query()
+def monotone_counts(t: Tables) -> DataFrame:
+    """Counts with an exposure by a monotone fit with a logarithmic link: means and fits by tenth of the exposure (M3)."""
+    p = model_frame(t).withColumn("lines", F.col("k"))
+    model = fits.monotone_splines(p, {"size": True, "price": False}, "lines", "poisson", "size")
+    fitted = model.predicted(p, exposure=F.col("size")).withColumn("tenth", F.ceil(F.col("size") / 5).cast("int"))
+    return fitted.groupBy("tenth").agg(F.sum("lines").alias("lines"), r(F.sum("fitted"), 4).alias("fitted"))
 
 
 @query()
@@ -67,15 +77,16 @@ def weighted_residual_model(t: Tables) -> DataFrame:
 
 @query()
 def leave_pairs_out_errors(t: Tables) -> DataFrame:
-    """Errors on each pair of groups from a model without them (M8, M9)."""
-    p = model_frame(t).filter(F.col("brand").isin("Brand#1", "Brand#2", "Brand#3", "Brand#4"))
-    return ml.leave_pairs_out(p, ml.ridge(["size", "price", "k"], "q"), "brand", ["Brand#1", "Brand#2", "Brand#3", "Brand#4"], "q")
+    """Errors on each of all pairs of brands from ridge fits without them, at several penalties (M8, M9)."""
+    return fits.leave_pairs_out(model_frame(t), "brand", ["size", "price", "k"], "q", [0.0, 0.1, 1.0])
 
 
 @query()
 def permutation_importance(t: Tables) -> DataFrame:
-    """How much worse the model is without what a block of features tells."""
-    return ml.permutation_importance(model_frame(t), ml.ridge(["size", "price", "k", "noise"], "q"), "part", {"k": ["k"], "shape": ["size", "price"], "noise": ["noise"]}, "q")
+    """How much worse the model is without what a block of features tells, with intervals over brands and a verdict."""
+    blocks = {"k": ["k"], "shape": ["size", "price"], "noise": ["noise"]}
+    losses = ml.permutation_losses(model_frame(t), ml.ridge(["size", "price", "k", "noise"], "q"), "part", "brand", blocks, "q")
+    return ml.importance(losses)
 
 
 @query("""WITH g AS (SELECT p_brand AS unit, unnest([0.0, 0.25, 0.5, 1.0])::DOUBLE AS tau, avg(p_retailprice) AS a, avg(p_size) AS b FROM part GROUP BY p_brand), l AS (SELECT tau, unit, abs(tau - b / 50) + 0.01 * (a % 7) AS loss FROM g),
@@ -100,4 +111,4 @@ def correlated_features(t: Tables) -> DataFrame:
 def fold_safe_calibration(t: Tables) -> DataFrame:
     """Non-negative coefficients without each parent in turn, and their quartiles."""
     p = parts(t).select("brand", F.col("size").cast("double").alias("a"), F.col("k").cast("double").alias("b"), "q")
-    return stats.nnls_without_each(p, "brand", ["a", "b"], "q")
+    return fits.nnls_without_each(p, "brand", ["a", "b"], "q")

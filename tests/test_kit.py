@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessarea.functions import bounded_ratio, case_first, case_last, clip, finite, haversine_km, ratio, round_half_even, try_num, zfill
-from tessarea.operators import expect, geo, ml, rel, rules, stats
+from tessarea.operators import expect, fits, geo, ml, rel, rules, stats
 
 
 def one(spark, column, **values):
@@ -111,7 +111,7 @@ def test_poisson_interval_known_values(spark):
 
 def test_nnls_finds_the_corner(spark):
     df = spark.createDataFrame([(1.0, 0.0, 2.0), (0.0, 1.0, -1.0), (1.0, 1.0, 1.0)], "a double, b double, y double")
-    k = stats.nnls(df, ["a", "b"], "y")
+    k = fits.nnls(df, ["a", "b"], "y")
     assert k[1] == 0 and k[0] == pytest.approx(1.5)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessarea.functions import haversine_km, rates, text
-from tessarea.operators import allocation, controls, distributed, entities, expect, geo, ledgers, ml, rel, stats
+from tessarea.operators import allocation, controls, distributed, entities, expect, fits, geo, ledgers, ml, rel, stats
 from tessarea.operators.expect import ExpectationError
 
 
@@ -154,19 +154,6 @@ def test_features_are_screened(spark):
     assert names == ["a", "a_again"] and controls.distinct_columns(df, names, "id") == ["a"]
 
 
-def test_monotone_fit_rises(spark):
-    rng = np.random.default_rng(2)
-    x, z = rng.random(150), rng.random(150)
-    y = np.where(x > 0.5, 3.0, 0.0) - 2 * z + rng.normal(0, 0.1, 150)
-    df = spark.createDataFrame([(i, float(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(x, z, y, strict=True))], "id int, x double, z double, y double")
-    rows = ml.monotone(df, {"x": True, "z": False}, "y", "id", 2).collect()
-    fitted = np.array([r.fitted for r in rows])
-    assert 1 - ((np.array([r.y for r in rows]) - fitted) ** 2).mean() / y.var() > 0.95
-    by_x = sorted((r.x, r.fitted + 2 * r.z) for r in rows)
-    ends = np.array([f for _, f in by_x])
-    assert ends[-40:].mean() - ends[:40].mean() > 2
-
-
 def test_permuted_blocks_stay_whole(spark):
     df = spark.range(60).select((F.col("id") % 20).alias("k"), "id", (F.col("id") % 20 * 2.0).alias("u"), (F.col("id") % 20 * 3.0).alias("v"))
     rows = ml.permuted(df, "k", ["u", "v"]).collect()
@@ -178,8 +165,11 @@ def test_importance_and_held_out_reports(spark):
     rng = np.random.default_rng(4)
     a, b = rng.normal(size=400), rng.normal(size=400)
     df = spark.createDataFrame([(i, float(p), float(q), float(3 * p + rng.normal(0, 0.2))) for i, (p, q) in enumerate(zip(a, b, strict=True))], "id int, a double, b double, y double")
-    rise = {r.block: r.rise for r in ml.permutation_importance(df, ml.ridge(["a", "b"], "y", penalty=0.01), "id", {"a": ["a"], "b": ["b"]}, "y").collect()}
-    assert rise["a"] > 5 and abs(rise["b"]) < 0.5
+    losses = ml.permutation_losses(df.withColumn("g", F.col("id") % 12), ml.ridge(["a", "b"], "y", penalty=0.01), "id", "g", {"a": ["a"], "b": ["b"]}, "y")
+    found = {r.block: r for r in ml.importance(losses, 200).collect()}
+    assert found["a"].rise > 5 and abs(found["b"].rise) < 0.5
+    assert found["a"].keep and found["a"].low < found["a"].rise < found["a"].high and not found["b"].keep
+    assert found == {r.block: r for r in ml.importance(losses, 200).collect()}  # repeatable
     for model in (ml.ridge(["a", "b"], "y", penalty=0.01), ml.boosted(["a", "b"], "y")):
         report = ml.fit_report(ml.held_out(df, model, "id"), "y").first()
         assert report.r2 > 0.85 and report.n == 400
@@ -190,9 +180,9 @@ def test_least_squares_without_each_group(spark):
     x = rng.random((90, 2))
     y = x @ [2.0, 0.5] + rng.normal(0, 0.01, 90)
     df = spark.createDataFrame([(i % 3, float(p), float(q), float(v)) for i, ((p, q), v) in enumerate(zip(x, y, strict=True))], "g int, a double, b double, y double")
-    got = {r.term: r.median for r in stats.nnls_without_each(df, "g", ["a", "b"], "y").collect()}
-    fits = [np.linalg.lstsq(x[np.arange(90) % 3 != g], y[np.arange(90) % 3 != g], rcond=None)[0] for g in range(3)]
-    assert [got["a"], got["b"]] == pytest.approx(np.median(fits, axis=0).tolist(), abs=1e-9)
+    got = {r.term: r.median for r in fits.nnls_without_each(df, "g", ["a", "b"], "y").collect()}
+    refits = [np.linalg.lstsq(x[np.arange(90) % 3 != g], y[np.arange(90) % 3 != g], rcond=None)[0] for g in range(3)]
+    assert [got["a"], got["b"]] == pytest.approx(np.median(refits, axis=0).tolist(), abs=1e-9)
 
 
 def test_second_computation_of_intervals_and_coefficients(spark):
@@ -209,4 +199,4 @@ def test_second_computation_of_intervals_and_coefficients(spark):
     k, step = np.zeros(3), 1 / np.linalg.norm(x.T @ x, 2)
     for _ in range(20_000):
         k = np.maximum(0, k - step * (x.T @ (x @ k - y)))
-    assert stats.nnls(df, ["a", "b", "c"], "y") == pytest.approx(k, abs=1e-6)
+    assert fits.nnls(df, ["a", "b", "c"], "y") == pytest.approx(k, abs=1e-6)
