@@ -46,12 +46,12 @@ def average_ranks(df: DataFrame, value: str, name: str, group: Sequence[str] = (
     return null_safe_join(df, side, [*group, value])
 
 
-def quantiles(df: DataFrame, group: Sequence[str], value: str, shares: Sequence[float], names: Sequence[str]) -> DataFrame:
+def quantiles(df: DataFrame, group: Sequence[str], value: str, shares: Sequence[float], names: Sequence[str], times: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: values are counted first, running counts come by range, and of each group only
-    the rows around each quantile are picked. NULL values count for nothing; groups without any value give no row."""
+    the rows around each quantile are picked. NULL values count for nothing; groups without any value give no row. ``times`` says how often a row counts."""
     from tessarea.operators.rel import null_safe_join
 
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("_x")).agg(F.count("*").alias("_n"))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("_x")).agg((F.sum(times) if times else F.count("*")).alias("_n"))
     placed = running(counted, ["_x"], group, _before=F.col("_n"))
     totals = counted.groupBy(*group).agg(F.sum("_n").alias("_all"))
     wide = null_safe_join(placed, totals, list(group)) if group else placed.crossJoin(totals)

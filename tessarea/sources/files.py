@@ -11,9 +11,9 @@ from tessarea.operators import expect
 
 
 def read_strings(spark: SparkSession, path: str, columns: Sequence[str] | None = None, separator: str = ",", encodings: Sequence[str] = ("UTF-8", "ISO-8859-1")) -> DataFrame:
-    """A text table with a header, all columns as strings, so that leading zeros stay. The first encoding in which no text is malformed is taken."""
+    """A text table with a header, all columns as strings, so that leading zeros stay; quotes within quotes are doubled. The first encoding in which no text is malformed is taken."""
     for encoding in encodings:
-        df = spark.read.csv(path, header=True, sep=separator, encoding=encoding, inferSchema=False)
+        df = spark.read.csv(path, header=True, sep=separator, encoding=encoding, inferSchema=False, escape='"')
         if encoding == encodings[-1] or not df.filter(F.concat_ws("", *df.columns).contains("�")).limit(1).count():
             return df.select(*columns) if columns else df
     raise ValueError("no encoding is named")
@@ -39,22 +39,37 @@ def sniffed_table(spark: SparkSession, path: str, words: Sequence[str], least: i
 def read_report(spark: SparkSession, path: str, label: str = "offense", column: str = "year", value: str = "count") -> DataFrame:
     """A report of title lines, a header whose cells but the first are years, and a matrix: as rows (label, year, value). Thousands commas in quotes are allowed; what is no number is NULL."""
     lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"))
-    cells = F.split(F.regexp_replace(F.regexp_replace("line", '"([^",]*),([^"]*)"', "$1$2"), '"', ""), ",")
-    rows = lines.select("at", F.transform(cells, lambda x: F.trim(x)).alias("cells"))
+    cells = F.split("line", ',(?=(?:[^"]*"[^"]*")*[^"]*$)')  # commas outside quotes
+    rows = lines.select("at", F.transform(cells, lambda x: F.trim(F.regexp_replace(F.trim(x), '^"|"$', ""))).alias("cells"))
     years = F.filter(F.slice("cells", 2, 1_000), lambda x: x.rlike(r"^(19|20)\d\d$"))
     head = rows.filter((F.size("cells") > 1) & (F.size(years) == F.size("cells") - 1)).orderBy("at").limit(1).select(F.col("at").alias("head_at"), F.slice("cells", 2, 1_000).alias("years"))
     body = rows.crossJoin(F.broadcast(head)).filter((F.col("at") > F.col("head_at")) & (F.get("cells", 0) != "") & (F.size("cells") > 1))
     long = body.select(F.get("cells", 0).alias(label), F.posexplode("years").alias("i", column), "cells")
-    return long.select(label, F.col(column).cast("int").alias(column), F.get("cells", F.col("i") + 1).try_cast("double").alias(value))
+    return long.select(label, F.col(column).cast("int").alias(column), F.regexp_replace(F.get("cells", F.col("i") + 1), ",", "").try_cast("double").alias(value))
 
 
 def read_features(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """A GeoJSON feature collection: the properties (a DDL schema), and the outer ring of a polygon as an array of (x, y), NULL for other shapes."""
+    """A GeoJSON feature collection: the properties (a DDL schema), ``rings``, all rings of a polygon's or multipolygon's parts, holes among them, and
+    ``ring``, a polygon's outer one; both are arrays of (x, y), NULL for other shapes."""
     shape = f"features array<struct<properties: struct<{properties}>, geometry: struct<type: string, coordinates: string>>>"
     raw = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", shape)["features"]).alias("f"))
-    corners = F.get(F.from_json(F.col("f.geometry.coordinates"), "array<array<array<double>>>"), 0)
-    ring = F.when(F.col("f.geometry.type") == "Polygon", F.transform(corners, lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))))
-    return raw.select("f.properties.*", ring.alias("ring"))
+    return _rings(raw).select("f.properties.*", "ring", "rings")
+
+
+def read_feature_lines(spark: SparkSession, path: str, properties: str) -> DataFrame:
+    """The same with a feature a line (newline-delimited GeoJSON), which Spark splits: for files beyond what one row may hold."""
+    raw = spark.read.text(path).filter(F.trim("value") != "").select(F.from_json(F.regexp_replace("value", "\u001e", ""), f"properties struct<{properties}>, geometry struct<type: string, coordinates: string>").alias("f"))
+    return _rings(raw).select("f.properties.*", "ring", "rings")
+
+
+def _rings(raw: DataFrame) -> DataFrame:
+    point = lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))
+    places = lambda rings: F.transform(rings, lambda ring: F.transform(ring, point))
+    one = F.from_json("f.geometry.coordinates", "array<array<array<double>>>")
+    many = F.from_json("f.geometry.coordinates", "array<array<array<array<double>>>>")
+    kind = F.col("f.geometry.type")
+    rings = F.when(kind == "Polygon", places(one)).when(kind == "MultiPolygon", places(F.flatten(many)))
+    return raw.withColumn("rings", rings).withColumn("ring", F.when(kind == "Polygon", F.get("rings", 0)))
 
 
 def require_coverage(df: DataFrame, by: str, wanted: Sequence, least: int) -> list:
