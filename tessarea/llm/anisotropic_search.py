@@ -14,7 +14,8 @@ left out can't be among the ``k`` nearest. Copies of a vector are scanned once a
 for them. The best of all cells are ranked at the end.
 
 Defined cases: a vector that is null, zero, or holds a null or a non-finite component, or has no id, takes no part, nor does one
-that has another length than most (of equally frequent lengths the smallest); ties go to the smaller id; a query has fewer rows where there are fewer candidates; an empty table gives no rows; other columns are ignored.
+that has another length than most (of equally frequent lengths the smallest); ties go to the smaller id; of rows that share a vec_id
+each is a vector and, if its id is asked for, a query of its own, whose candidates the others are; vectors of any finite size are compared without overflow; a query has fewer rows where there are fewer candidates; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +42,11 @@ def eta(dim: int, threshold: float = 0.2) -> float:
     return max(1.0, (dim - 1) * threshold**2 / (1 - threshold**2))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two each, so that the largest component lies from 1/2 to 1: cosines stay to the bit, and no square overflows or vanishes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     return (x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)).astype(np.float32)
 
@@ -140,12 +146,12 @@ def looked_up(query_ids: np.ndarray, queries: np.ndarray, words: np.ndarray) ->
         yield from zip(query_ids[at : at + AT_ONCE].tolist(), some, look, slack.tolist(), strict=True)
 
 
-def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, residual: np.ndarray, words: np.ndarray, k: int, rerank: int) -> list[tuple[int, int, float]]:
-    """(query, id, cosine) of each query's ``k`` nearest in a cell."""
-    order = np.argsort(ids, kind="stable")
-    ids, vectors, codes, residual = ids[order], vectors[order], codes[:, order], residual[order]
-    rows = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.shape[1] * vectors.itemsize))).ravel()
-    _, first, group = np.unique(rows, return_index=True, return_inverse=True)
+def search_cell(query_rows: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, codes: np.ndarray, residual: np.ndarray, words: np.ndarray, k: int, rerank: int) -> list[tuple[int, int, int, float]]:
+    """(query's row, id, row, cosine) of each query's ``k`` nearest in a cell. Vectors are ``scaled``."""
+    order = np.lexsort((rows, ids))
+    ids, rows, vectors, codes, residual = ids[order], rows[order], vectors[order], codes[:, order], residual[order]
+    whole = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.shape[1] * vectors.itemsize))).ravel()
+    _, first, group = np.unique(whole, return_index=True, return_inverse=True)
     group = group.ravel()
     by_group = np.argsort(group, kind="stable")  # within a group by id
     start = np.searchsorted(group[by_group], np.arange(len(first) + 1))
@@ -153,7 +159,7 @@ def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vec
     norms = np.linalg.norm(exact, axis=1)
     scan, residual = codes[:, first], residual[first]
     out = []
-    for qid, q, table, lost in looked_up(query_ids, queries, words):
+    for own, q, table, lost in looked_up(query_rows, queries, words):
         rough = table[0][scan[0]]
         for j in range(1, len(scan)):
             rough += table[j][scan[j]]
@@ -170,11 +176,11 @@ def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vec
         if len(cosine) > k + 1:
             stays = cosine >= np.partition(cosine, len(cosine) - k - 1)[len(cosine) - k - 1]
             near, cosine = near[stays], cosine[stays]
-        found: list[tuple[float, int]] = []
+        found: list[tuple[float, int, int]] = []
         for g, c in zip(near.tolist(), cosine.tolist(), strict=True):
-            members = ids[by_group[start[g] : min(int(start[g + 1]), int(start[g]) + k + 1)]]
-            found += [(-c, int(i)) for i in members if i != qid]
-        out += [(qid, i, -c) for c, i in sorted(found)[:k]]
+            members = by_group[start[g] : min(int(start[g + 1]), int(start[g]) + k + 1)]
+            found += [(-c, int(ids[i]), int(rows[i])) for i in members if rows[i] != own]
+        out += [(own, i, row, -c) for c, i, row in sorted(found)[:k]]
     return out
 
 
@@ -185,7 +191,7 @@ def usable(vector: str = "embedding") -> Column:
 
 
 def build(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE) -> tuple[DataFrame, np.ndarray]:
-    """The index, a row (vec_id, raw, codes, residual) for every vector that takes part, and the words."""
+    """The index, a row (row, vec_id, raw, codes, residual) for every vector that takes part, and the words. ``row`` tells rows apart, whatever their ids."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & usable("v"))
     lengths = sorted(rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect())
     rows = rows.filter(F.size("v") == (lengths[0]["size"] if lengths else 0))
@@ -193,38 +199,46 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     chosen = rows.withColumn("h", F.xxhash64("vec_id")).filter(F.col("h") <= hash_edge(min(1.0, sample / max(1, n)))).limit(2 * sample).withColumn("one", F.lit(1))
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
-        x = unit(np.stack(part.sort_values("h")["v"].to_numpy()))
+        x = unit(scaled(np.stack(part.sort_values("h")["v"].to_numpy())))
         return pd.DataFrame({"words": [pickle.dumps(train(x, eta(x.shape[1])))]})
 
     made = chosen.groupBy("one").applyInPandas(fit, "words binary").collect()
     words = pickle.loads(bytes(made[0]["words"])) if made else np.zeros((1, WORDS, 2), np.float32)
-    schema = pa.schema([("vec_id", pa.int64()), ("raw", pa.binary()), ("codes", pa.binary()), ("residual", pa.float64())])
+    schema = pa.schema([("row", pa.int64()), ("vec_id", pa.int64()), ("raw", pa.binary()), ("codes", pa.binary()), ("residual", pa.float64())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        next_row = TaskContext.get().partitionId() << 40
         for part in slices(batches, 4096):
-            x = np.array(part["v"], np.float64)
+            x = scaled(np.array(part["v"], np.float64))
+            rows_ = np.arange(next_row, next_row + len(x))
+            next_row += len(x)
             codes = encode(unit(x), words, eta(x.shape[1]))
             left = residuals(unit(x), codes, words)
-            yield pa.record_batch([pa.array(part["vec_id"], pa.int64()), pa.array([v.tobytes() for v in x], pa.binary()), pa.array([c.tobytes() for c in pack(codes).T], pa.binary()), pa.array(left, pa.float64())], schema=schema)
+            yield pa.record_batch([pa.array(rows_), pa.array(part["vec_id"], pa.int64()), pa.array([v.tobytes() for v in x], pa.binary()), pa.array([c.tobytes() for c in pack(codes).T], pa.binary()), pa.array(left, pa.float64())], schema=schema)
 
-    return Scratch(vectors.sparkSession, "vectors").keep(rows.mapInArrow(code, "vec_id long, raw binary, codes binary, residual double"), "index"), words
+    return Scratch(vectors.sparkSession, "vectors").keep(rows.mapInArrow(code, "row long, vec_id long, raw binary, codes binary, residual double"), "index"), words
 
 
 def search(index: DataFrame, words: np.ndarray, is_query: Column, k: int = 5, rerank: int = RERANK) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's ``k`` nearest other rows of the index."""
+    """query_id, rank, vec_id, score: each query's ``k`` nearest other rows of the index. Rows are dealt by themselves, not by their ids."""
     queries = index.filter(is_query)
     cells, blocks = max(1, math.ceil(index.count() / CELL)), max(1, math.ceil(queries.count() / BLOCK))
-    right = index.withColumns({"cell": F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(cells)).cast("int"), "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
-    left = queries.select("vec_id", "raw").withColumns({"block": F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(blocks)).cast("int"), "cell": F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))})
+    right = index.withColumns({"cell": F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(cells)).cast("int"), "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
+    # Both sides come from one table, so the columns of one get names (and ids) of their own.
+    named = queries.select(F.col("row").alias("own"), F.col("vec_id").alias("query_id"), F.col("raw").alias("query"))
+    left = named.withColumns({"of": F.pmod(F.xxhash64(F.lit(2), "own"), F.lit(blocks)).cast("int"), "at": F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))})
 
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int, float]] = []
+        found: list[tuple[int, int, int, float]] = []
         if len(q) and len(c):
             wide = lambda s: np.frombuffer(b"".join(s), np.float64).reshape(len(s), -1)
             codes = np.frombuffer(b"".join(c["codes"]), np.uint8).reshape(len(c), -1).T
-            found = search_cell(q["vec_id"].to_numpy(), wide(q["raw"]), c["vec_id"].to_numpy(), wide(c["raw"]), np.ascontiguousarray(codes), c["residual"].to_numpy(), words, k, rerank)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+            found = search_cell(q["own"].to_numpy(), wide(q["query"]), c["vec_id"].to_numpy(), c["row"].to_numpy(), wide(c["raw"]), np.ascontiguousarray(codes), c["residual"].to_numpy(), words, k, rerank)
+        out = pd.DataFrame(found, columns=["own", "vec_id", "row", "score"]).astype({"own": "int64", "vec_id": "int64", "row": "int64", "score": "float64"})
+        return out.assign(query_id=out["own"].map(dict(zip(q["own"], q["query_id"], strict=True))).astype("int64"))
 
-    met = left.groupBy("block", "cell").cogroup(right.groupBy("block", "cell")).applyInPandas(meet, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    met = left.groupBy("of", "at").cogroup(right.groupBy("block", "cell")).applyInPandas(meet, "own long, vec_id long, row long, score double, query_id long")
+    rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("score"), "vec_id", "row"))
     return met.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

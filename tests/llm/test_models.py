@@ -223,3 +223,20 @@ def test_every_language_is_learned(spark):
     rows = [(i, f"wort{i % 90} rede sprache {i}", f"l{i % 90}") for i in range(900)]
     net = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=30)
     assert len(net.langs) == 90
+
+
+def test_repeated_ids_and_extreme_vectors(spark):
+    rng = np.random.default_rng(21)
+    x = rng.standard_normal((120, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(0, x[0].tolist()), (0, x[7].tolist()), (200, (x[50] * 1e200).tolist()), (201, (x[50] * 1e-200).tolist()), (202, (x[50] * 1e308 / np.abs(x[50]).max()).tolist()), (203, (x[50] * 5e-324 / np.abs(x[50]).max()).tolist())]
+    rows += [(50, x[9].tolist())] * 3
+    found: dict = {}
+    for r in ann.search(*ann.build(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), F.col("vec_id") % 50 == 0).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert sorted(len(v) for v in found.values()) == [5, 5, 15, 20]  # 100 and 200 once, 0 three times, 50 four times
+    assert all(np.isfinite(s) and abs(s) <= 1 + 1e-12 for v in found.values() for *_, s in v)
+    assert {i for _, i, s in found[200] if s > 1 - 1e-9} >= {50, 201, 202}
+    own = [(i, s) for rank, i, s in found[0] if rank == 1]
+    assert sum(i == 0 and s > 1 - 1e-12 for i, s in own) == 2 and any(i == 7 for i, _ in own)
+    assert sum(i == 9 and s > 1 - 1e-12 for _, i, s in found[50]) == 3 and sum(i == 50 and s > 1 - 1e-12 for _, i, s in found[50]) == 6
