@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -85,3 +86,37 @@ def name_variants(x, rewrites: Sequence[tuple[str, str]]) -> Column:
     made = [x, *[F.trim(F.regexp_replace(x, a, b)) for a, b in rewrites]]
     names = F.array_distinct(F.array(*made))
     return F.transform(F.filter(names, lambda n: F.length(n) > 0), lambda n: F.struct(n.alias("name"), (F.array_position(F.array(*made), n) - 1).alias("tier")))
+
+
+def likeness(a: str, b: str) -> float:
+    """Jaro-Winkler: characters in common near each other, less those out of order, more for up to four equal first ones (from 0.7 on)."""
+    if not a or not b:
+        return float(a == b)
+    reach = max(0, max(len(a), len(b)) // 2 - 1)
+    taken, first = [False] * len(b), []
+    for i, c in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if not taken[j] and b[j] == c:
+                taken[j] = True
+                first.append(c)
+                break
+    m = len(first)
+    if not m:
+        return 0.0
+    moved = sum(x != y for x, y in zip(first, (c for c, t in zip(b, taken, strict=True) if t), strict=True)) // 2
+    jaro = (m / len(a) + m / len(b) + (m - moved) / m) / 3
+    same = 0
+    while same < min(4, len(a), len(b)) and a[same] == b[same]:
+        same += 1
+    return jaro + 0.1 * same * (1 - jaro) if jaro > 0.7 else jaro
+
+
+def jaro_winkler(a, b) -> Column:
+    """Likeness of two texts from 0 to 1, in Arrow batches; equal pairs of a batch are compared once. NULL with NULL."""
+
+    @F.pandas_udf("double")
+    def like(x: pd.Series, y: pd.Series) -> pd.Series:
+        known: dict = {}
+        return pd.Series([None if p is None or q is None else known[p, q] if (p, q) in known else known.setdefault((p, q), likeness(p, q)) for p, q in zip(x, y, strict=True)], dtype="float64")
+
+    return like(_c(a), _c(b))

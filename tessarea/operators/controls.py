@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessarea.functions import clip, ratio
 from tessarea.operators import expect, rel
+from tessarea.operators.distributed import quantiles
 
 
 def exposure_partition(shares: DataFrame, unit: str, kind: str, county: str, share: str, population: str, municipal: str = "municipal") -> DataFrame:
@@ -37,7 +38,8 @@ def land_on_controls(controls: DataFrame, imputed: DataFrame, keys: Sequence[str
 def pooled_sparse_rate(df: DataFrame, levels: Sequence[tuple[Sequence[str], int, str]], count: str, population: str, low: float = 1e4, high: float = 1e5) -> DataFrame:
     """``pooled_rate``: (c + r p) / (n + p), r the most specific peers' rate, p the median population within [low, high]."""
     prior = rel.most_specific_rate(df, levels, count, population, "_prior")
-    strength = df.agg(clip(F.median(population), low, high).alias("_p"))
+    middle = quantiles(df, [], population, [0.5], ["_m"]).agg(F.max("_m").alias("_m"))  # one row, also without any population
+    strength = middle.select(clip(F.col("_m"), low, high).alias("_p"))
     out = prior.crossJoin(strength)
     return out.withColumn("pooled_rate", (F.col(count) + F.col("_prior") * F.col("_p")) / (F.col(population) + F.col("_p"))).drop("_p").withColumnsRenamed({"_prior": "prior_rate", "_prior_source": "prior_source"})
 

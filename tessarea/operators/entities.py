@@ -128,8 +128,11 @@ def resolution(candidates: DataFrame, row: str, entity: str, alias: Column, plac
 def alias_summary(df: DataFrame, key: str, columns: Sequence[str], shown: int = 5) -> DataFrame:
     """Alias columns as rows, then of each alias the number of its keys and the first of them in order."""
     long = df.select(key, *[F.col(c).cast("string") for c in columns]).unpivot([key], list(columns), "column", "alias").filter("alias IS NOT NULL AND alias <> ''")
-    listed = F.array_join(F.slice(F.array_sort(F.collect_set(F.col(key).cast("string"))), 1, shown), "|")
-    return long.groupBy("alias").agg(F.countDistinct(key).alias("n"), listed.alias("first"))
+    named = long.select("alias", F.col(key).cast("string").alias("key")).distinct()
+    # A bounded list: the ranks kept are limited before the shuffle, however common the alias is.
+    shown_ = rel.ranked(named, ["alias"], [F.asc("key")], "_r").filter(F.col("_r") < shown)
+    listed = shown_.groupBy("alias").agg(F.array_join(F.array_sort(F.collect_list("key")), "|").alias("first"))
+    return named.groupBy("alias").agg(F.count("key").alias("n")).join(listed, "alias").select("alias", "n", "first")
 
 
 def named_or_only(df: DataFrame, keys: DataFrame, scope: str, key: str) -> DataFrame:

@@ -103,3 +103,45 @@ def sane_or_ladder(df: DataFrame, entity: Sequence[str], current: str, annualise
 def no_fill_where_reported(df: DataFrame, filled: Column, reported: Column, exempt: Column) -> None:
     """No row may hold a fill where a whole report stands, but for exempt ones."""
     expect.all_hold(df, no_fill=~filled | ~reported | exempt)
+
+
+def adjudicate(df: DataFrame, footprint: DataFrame, rulings: DataFrame, entity: str, unit: Sequence[str], values: Sequence[str], place: str) -> tuple[DataFrame, DataFrame]:
+    """The rows after rulings, and the rulings with what became of them.
+
+    ``rulings`` has (case_id, old, new, verdict): ``merge`` moves old's values onto new, ``keep`` leaves both; another verdict, an old key
+    ruled on twice, or a new one that itself moves stops the job. A merge is applied only if both have the same places in
+    ``footprint`` (entity, place), which leaves every place's mass where it was; else it is ``set aside``. The sums of the values by
+    unit are the same before and after, or the job stops. Returned: (entity, unit, values, merged: how many others went in), and
+    (case_id, old, new, verdict, status, the values moved)."""
+    ruled = rel.once(rulings.select("case_id", "old", "new", "verdict"), "rulings")
+    expect.all_hold(ruled, verdict=F.col("verdict").isin("merge", "keep"), apart=F.col("old") != F.col("new"))
+    expect.unique(ruled, ["old"])
+    merges = ruled.filter("verdict = 'merge'")
+    expect.empty(merges.join(merges.select(F.col("old").alias("new")), "new", "left_semi"), "rulings whose new key moves itself")
+    places = footprint.select(F.col(entity).alias("_e"), F.col(place).alias("_p")).distinct()
+    old = merges.join(places.withColumnRenamed("_e", "old"), "old").select("case_id", "_p", F.lit(1).alias("o"))
+    new = merges.join(places.withColumnRenamed("_e", "new"), "new").select("case_id", "_p", F.lit(1).alias("n"))
+    both = old.join(new, ["case_id", "_p"], "full").groupBy("case_id").agg(F.count_if(F.col("o").isNull() | F.col("n").isNull()).alias("apart"))
+    status = F.when(F.col("verdict") == "keep", "kept").when(F.col("apart") == 0, "applied").otherwise("set aside")
+    decided = rel.once(ruled.join(both, "case_id", "left").select("case_id", "old", "new", "verdict", status.alias("status")), "decided")
+    moves = decided.filter("status = 'applied'").select(F.col("old").alias(entity), F.col("new").alias("_to"))
+    moved = df.join(moves, entity, "left")
+    out = moved.groupBy(F.coalesce("_to", entity).alias(entity), *unit).agg(*[F.sum(v).alias(v) for v in values], F.countDistinct(F.when(F.col("_to").isNotNull(), F.col(entity))).alias("merged"))
+    for v in values:
+        expect.reconciles(df.groupBy(*unit).agg(F.sum(v).alias(v)), out, unit, v, 1e-6)
+    mass = df.groupBy(F.col(entity).alias("old")).agg(*[F.sum(v).alias(v) for v in values])
+    gone = [F.when(F.col("status") == "applied", F.coalesce(v, F.lit(0))).otherwise(F.lit(0)).cast("double").alias(v) for v in values]
+    return out, decided.join(mass, "old", "left").select("case_id", "old", "new", "verdict", "status", *gone)
+
+
+def believable(df: DataFrame, registry: DataFrame, keys: Sequence[str], months: str, usable: str) -> DataFrame:
+    """Directives over what was reported: ``reads_missing`` makes a year unusable with no months, ``partial_year`` says how many months (1 to 11)
+    are believed, at most those reported, and such a year isn't usable whole. Adds ``directive``.
+
+    An unknown directive, a partial year without its months, or a key twice in the registry stops the job."""
+    expect.unique(registry, keys)
+    expect.all_hold(registry, directive=F.col("directive").isin("reads_missing", "partial_year"), months=(F.col("directive") != "partial_year") | F.col("believable_months").between(1, 11))
+    side = registry.select(*keys, "directive", F.col("believable_months").alias("_m"))
+    out = df.join(side, list(keys), "left")
+    partial, missing = F.col("directive") == "partial_year", F.col("directive") == "reads_missing"
+    return out.withColumns({months: F.when(missing, F.lit(0)).when(partial, F.least(months, "_m")).otherwise(F.col(months)), usable: F.col(usable) & F.col("directive").isNull()}).drop("_m")

@@ -153,3 +153,44 @@ def peer_rate_fallback(t: Tables) -> DataFrame:
     u = t.customer.join(y, "c_custkey", "left").select(F.col("c_custkey").alias("cust"), F.col("c_nationkey").alias("st"), (F.col("c_custkey") % 3).alias("band"), F.coalesce("y", F.lit(0)).alias("y"), (1000.0 + F.col("c_custkey") % 977).alias("pop"))
     out = rel.most_specific_rate(u, [(["st", "band"], 3, "band"), (["st"], 5, "state"), ([], 1, "national")], "y", "pop", "rate")
     return out.select("cust", r(F.col("pop") * F.col("rate")).alias("expected"), F.col("rate_source").alias("source"))
+
+
+RULINGS = "(SELECT c_custkey // 10 AS case_id, c_custkey AS old, c_custkey - 3 AS new, CASE WHEN c_custkey % 40 = 3 THEN 'keep' ELSE 'merge' END AS verdict FROM customer WHERE c_custkey % 10 = 3)"
+SAME = f"(SELECT r.*, CASE WHEN verdict = 'keep' THEN 'kept' WHEN old % 7 % 3 = new % 7 % 3 THEN 'applied' ELSE 'set aside' END AS status FROM {RULINGS} r)"
+
+
+def rulings(t: Tables) -> DataFrame:
+    k = F.col("c_custkey")
+    return t.customer.filter("c_custkey % 10 = 3").select(F.floor(k / 10).alias("case_id"), k.alias("old"), (k - 3).alias("new"), F.when(k % 40 == 3, "keep").otherwise("merge").alias("verdict"))
+
+
+def ruled(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Each customer's places follow from its key, so that some merges move mass between places and are set aside."""
+    places = t.customer.select(F.col("c_custkey").alias("cust"), F.explode(F.array(F.col("c_custkey") % 7 % 3, F.col("c_custkey") % 7 % 3 + 10)).alias("place"))
+    rows = t.orders.groupBy(F.col("o_custkey").alias("cust"), F.year("o_orderdate").alias("yr")).agg(F.count("*").alias("n"), r(F.sum("o_totalprice"), 2).cast("double").alias("amount"))
+    return ledgers.adjudicate(rows, places, rulings(t), "cust", ["yr"], ["n", "amount"], "place")
+
+
+@query(f"""WITH g AS (SELECT o_custkey AS cust, CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS n, round(sum(o_totalprice), 2)::DOUBLE AS amount FROM orders GROUP BY ALL)
+SELECT coalesce(s.new, g.cust) AS cust, yr, sum(n)::BIGINT AS n, round(sum(amount), 2) AS amount, count(DISTINCT s.old) AS merged FROM g LEFT JOIN {SAME} s ON s.old = g.cust AND s.status = 'applied' GROUP BY 1, 2""")
+def adjudicated_rows(t: Tables) -> DataFrame:
+    """Rulings consumed: mass moved where it stays in its places, sums kept."""
+    return ruled(t)[0].select("cust", "yr", "n", r("amount", 2).alias("amount"), "merged")
+
+
+@query(f"""WITH g AS (SELECT o_custkey AS old, count(*) AS n, sum(o_totalprice) AS amount FROM orders GROUP BY ALL)
+SELECT case_id, s.old, new, verdict, status, CASE WHEN status = 'applied' THEN coalesce(n, 0) ELSE 0 END::DOUBLE AS n, round(CASE WHEN status = 'applied' THEN coalesce(amount, 0) ELSE 0 END, 2)::DOUBLE AS amount FROM {SAME} s LEFT JOIN g ON g.old = s.old""")
+def adjudicated_cases(t: Tables) -> DataFrame:
+    """What became of each ruling, and what it moved."""
+    return ruled(t)[1].select("case_id", "old", "new", "verdict", "status", "n", r("amount", 2).alias("amount"))
+
+
+@query(f"""WITH g AS (SELECT DISTINCT cust, yr, cust % 11 = 0 AS part FROM {PANEL} WHERE cust % 7 = 0 OR cust % 11 = 0)
+SELECT p.cust, p.yr, CASE WHEN g.cust IS NULL THEN p.months WHEN part THEN least(p.months, 2) ELSE 0 END::BIGINT AS months, p.months >= 3 AND g.cust IS NULL AS usable,
+  CASE WHEN part THEN 'partial_year' WHEN g.cust IS NOT NULL THEN 'reads_missing' END AS directive FROM {PANEL} p LEFT JOIN g ON p.cust = g.cust AND p.yr = g.yr""")
+def believable_months(t: Tables) -> DataFrame:
+    """A registry of directives over the months reported."""
+    rows = panel(t).withColumn("usable", F.col("months") >= 3)
+    part = F.col("cust") % 11 == 0
+    registry = panel(t).filter("cust % 7 = 0 OR cust % 11 = 0").select("cust", "yr", F.when(part, "partial_year").otherwise("reads_missing").alias("directive"), F.when(part, 2).cast("long").alias("believable_months"))
+    return ledgers.believable(rows, registry, ["cust", "yr"], "months", "usable").select("cust", "yr", F.col("months").cast("long").alias("months"), "usable", "directive")

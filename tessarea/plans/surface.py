@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessarea.functions import clip
+from tessarea.functions import clip, text
 from tessarea.operators import rel
 from tessarea.plans.registry import CANDIDATES, PANEL, Tables, candidates, panel, query, r
 from tessarea.streaming import events as streams
@@ -46,29 +45,38 @@ def nulls_last_sort(t: Tables) -> DataFrame:
     return rel.ranked(top.withColumn("_one", F.lit(1)), ["_one"], [F.desc_nulls_last("n"), F.asc_nulls_last("amount"), F.asc("cust"), F.asc("yr")], "place").withColumn("place", F.col("place") + 1).drop("_one")
 
 
-@query("SELECT event_type, count(*) AS n, round(sum(value * value), 4) AS squares FROM events GROUP BY event_type")
+@query("SELECT p_brand AS brand, count(*) AS n, round(avg(jaro_winkler_similarity(lower(p_name), lower(p_type))), 9) AS likeness, round(max(jaro_winkler_similarity(lower(p_name), lower(p_type))), 9) AS most FROM part GROUP BY p_brand")
 def pandas_function(t: Tables) -> DataFrame:
-    """A vectorised function on Arrow batches, aggregated by Spark (2.N, UDF)."""
+    """A vectorised function that Spark lacks, the likeness of two names, on Arrow batches (2.N, UDF)."""
+    s = t.part.select("p_brand", text.jaro_winkler(F.lower("p_name"), F.lower("p_type")).alias("s"))
+    return s.groupBy(F.col("p_brand").alias("brand")).agg(F.count("*").alias("n"), r(F.avg("s"), 9).alias("likeness"), r(F.max("s"), 9).alias("most"))
 
-    @F.pandas_udf("double")
-    def square(x: pd.Series) -> pd.Series:
-        return x * x
 
-    return t.events.groupBy("event_type").agg(F.count("*").alias("n"), r(F.sum(square("value")), 4).alias("squares"))
-
-
-@query("SELECT c_custkey, c_mktsegment[i:i + 2] AS gram, i AS place FROM (SELECT c_custkey, c_mktsegment, unnest(range(1, length(c_mktsegment) - 1)) AS i FROM customer WHERE c_custkey % 10 = 0)")
+@query("""WITH RECURSIVE e AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+w AS (SELECT user_id, i, 1 AS batch, value AS held FROM e WHERE i = 1 UNION ALL SELECT e.user_id, e.i, CASE WHEN w.held >= 100 THEN w.batch + 1 ELSE w.batch END, CASE WHEN w.held >= 100 THEN e.value ELSE w.held + e.value END FROM w JOIN e ON e.user_id = w.user_id AND e.i = w.i + 1)
+SELECT user_id, batch::BIGINT AS batch, count(*) AS n, round(max(held), 6) AS held FROM w GROUP BY user_id, batch""")
 def table_function(t: Tables) -> DataFrame:
-    """A table function, a row to many, as a parser would be used (2.N, UDTF)."""
-
-    @F.udtf(returnType="gram string, place bigint")
-    class Grams:
-        def eval(self, text: str) -> Iterator[tuple[str, int]]:
-            for i in range(len(text) - 2):
-                yield text[i : i + 3], i + 1
-
-    t.spark.udtf.register("tessarea_grams", Grams)
-    return t.spark.sql("SELECT c.c_custkey, g.gram, g.place FROM {c} c, LATERAL tessarea_grams(c.c_mktsegment) g", c=t.customer.filter("c_custkey % 10 = 0"))
+    """A table function with state over sorted partitions: a batch of a user's events closes when its values reach 100. No window has a sum that begins anew (2.N, UDTF)."""
+
+    @F.udtf(returnType="user_id bigint, batch bigint, n bigint, held double")
+    class Batches:
+        def __init__(self):
+            self.user, self.batch, self.n, self.held = None, 1, 0, 0.0
+
+        def eval(self, row) -> Iterator[tuple[int, int, int, float]]:
+            self.user, self.n, self.held = row["user_id"], self.n + 1, self.held + row["value"]
+            if self.held >= 100:
+                yield self.user, self.batch, self.n, self.held
+                self.batch, self.n, self.held = self.batch + 1, 0, 0.0
+
+        def terminate(self) -> Iterator[tuple[int, int, int, float]]:
+            if self.n:
+                yield self.user, self.batch, self.n, self.held
+
+    t.spark.udtf.register("tessarea_batches", Batches)
+    t.events.select("user_id", "ts", "event_id", "value").createOrReplaceTempView("tessarea_events")
+    found = t.spark.sql("SELECT * FROM tessarea_batches(TABLE(tessarea_events) PARTITION BY user_id ORDER BY (ts, event_id))")
+    return found.select("user_id", "batch", "n", r("held").alias("held"))
 
 
 @query("""WITH m AS (SELECT o_custkey AS cust, CAST(year(o_orderdate) AS INTEGER) AS yr, month(o_orderdate) AS mo, count(*) AS n FROM orders GROUP BY ALL), a AS (SELECT cust, yr, sum(n) AS total, count(*) AS seen, count(*) FILTER (WHERE n > 1) AS busy, max(n) AS top FROM m GROUP BY ALL)

@@ -200,3 +200,49 @@ def test_second_computation_of_intervals_and_coefficients(spark):
     for _ in range(20_000):
         k = np.maximum(0, k - step * (x.T @ (x @ k - y)))
     assert fits.nnls(df, ["a", "b", "c"], "y") == pytest.approx(k, abs=1e-6)
+
+
+MASS = [("a", 2020, 5.0), ("a", 2021, 1.0), ("b", 2020, 2.0), ("c", 2021, 4.0), ("d", 2020, 7.0)]
+PLACES = [("a", "x"), ("b", "x"), ("c", "y"), ("d", "x"), ("d", "y")]
+
+
+def ruled(spark, rulings):
+    return ledgers.adjudicate(
+        spark.createDataFrame(MASS, "e string, yr int, v double"), spark.createDataFrame(PLACES, "e string, p string"), spark.createDataFrame(rulings, "case_id int, old string, new string, verdict string"), "e", ["yr"], ["v"], "p"
+    )
+
+
+def test_rulings_move_mass_where_it_stays_in_its_places(spark):
+    rows, cases = ruled(spark, [(1, "b", "a", "merge"), (2, "c", "a", "merge"), (3, "d", "a", "keep")])
+    assert {(r.e, r.yr): (r.v, r.merged) for r in rows.collect()} == {("a", 2020): (7.0, 1), ("a", 2021): (1.0, 0), ("c", 2021): (4.0, 0), ("d", 2020): (7.0, 0)}
+    assert {r.case_id: (r.status, r.v) for r in cases.collect()} == {1: ("applied", 2.0), 2: ("set aside", 0.0), 3: ("kept", 0.0)}
+
+
+@pytest.mark.parametrize("rulings", [[(1, "b", "a", "perhaps")], [(1, "b", "a", "merge"), (2, "b", "d", "keep")], [(1, "b", "a", "merge"), (2, "a", "d", "merge")], [(1, "a", "a", "merge")]])
+def test_rulings_that_can_not_stand_stop_the_job(spark, rulings):
+    with pytest.raises(expect.ExpectationError):
+        ruled(spark, rulings)
+
+
+def test_directives_over_reported_months(spark):
+    df = spark.createDataFrame([("a", 12, True), ("b", 12, True), ("c", 2, False), ("d", 12, True)], "e string, months int, usable boolean")
+    registry = lambda rows: spark.createDataFrame(rows, "e string, directive string, believable_months int")
+    got = {r.e: (r.months, r.usable) for r in ledgers.believable(df, registry([("a", "reads_missing", None), ("b", "partial_year", 5), ("c", "partial_year", 5)]), ["e"], "months", "usable").collect()}
+    assert got == {"a": (0, False), "b": (5, False), "c": (2, False), "d": (12, True)}
+    for bad in ([("a", "maybe", None)], [("a", "partial_year", None)], [("a", "partial_year", 12)], [("a", "reads_missing", None)] * 2):
+        with pytest.raises(expect.ExpectationError):
+            ledgers.believable(df, registry(bad), ["e"], "months", "usable")
+
+
+def test_likeness_of_names():
+    from tessarea.functions.text import likeness
+
+    con = __import__("duckdb").connect()
+    for a, b in [("martha", "marhta"), ("dwayne", "duane"), ("dixon", "dicksonx"), ("abc", "xyz"), ("a", "a"), ("ab", "ba"), ("", "a"), ("jellyfish", "smellyfish")]:
+        assert likeness(a, b) == pytest.approx(con.sql(f"SELECT jaro_winkler_similarity('{a}', '{b}') AS s").df()["s"][0], abs=1e-12)
+
+
+def test_common_aliases_show_a_few_keys(spark):
+    df = spark.range(50).select("id", F.lit("same").alias("a"), F.when(F.col("id") == 3, "own").alias("b"))
+    got = {r.alias: (r.n, r["first"]) for r in entities.alias_summary(df, "id", ["a", "b"], 3).collect()}
+    assert got == {"same": (50, "0|1|10"), "own": (1, "3")}
