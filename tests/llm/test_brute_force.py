@@ -386,6 +386,18 @@ def test_random_spans_on_labelled_strings(spark):
     assert caught >= 0.95 * len(keys) and wrong <= 0.02 * len(names)
 
 
+def test_recall_by_length_and_kind(spark):
+    """From 12 characters on, keys without digits among them; numbers, dates and long words of another language are none."""
+    model = fit_on_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rng, lower, upper, digits = random.Random(12), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for signs in (lower + upper + digits, lower + upper, "0123456789abcdef"):
+        for n in (12, 16, 20, 31):
+            keys = ["".join(rng.choice(signs) for _ in range(n)) for _ in range(200)]
+            assert sum(any(k == "random" for k, *_ in spans_of(f"see {x} here", model)) for x in keys) >= 0.93 * len(keys)
+    plain = ["1234567890123456", "0041791234567", "2024-01-31T10-15-00", "donaudampfschifffahrtsgesellschaft", "antidisestablishmentarianism", "internationalization_of_names"]
+    assert not [x for x in plain if any(k == "random" for k, *_ in spans_of(f"see {x} here", model))]
+
+
 def test_random_strings_beside_base_spans(docs):
     """A base span takes only its own characters from a run; the rest is tried by itself."""
     model = fit_on_documents(docs)
