@@ -106,8 +106,10 @@ def nearest_places(left: DataFrame, right: DataFrame, k: int = 1, on: Sequence[s
     asked, groups = _leaves(scratch.keep(_in_space(asked, "lat", "lon"), "asked"), on, most, scratch)
     boxes = [F.col(f"{c}_{e}").alias(f"q_{c}_{e}") for c in AXES for e in ("low", "high")]
     cell = F.struct(*CELL).alias("cell")
-    reach = null_safe_join(groups.filter("leaf").select(*on, cell, *boxes), tree.filter("level = 0"), on) if on else groups.filter("leaf").select(cell, *boxes).crossJoin(F.broadcast(tree.filter("level = 0")))
-    reach = scratch.keep(_in_reach(reach, on, k), "reach")
+    # The root of each group; without groups a constant makes it an equi-join as well.
+    top = [*on, "level"]
+    roots = null_safe_join(groups.filter("leaf").select(*on, cell, *boxes, F.lit(0).alias("level")), tree.filter("level = 0"), top)
+    reach = scratch.keep(_in_reach(roots, on, k), "reach")
     children = tree.filter("level > 0").withColumns({f"_{c}": F.shiftright(c, STEP) for c in "ijk"} | {"_level": F.col("level") - STEP})
     while not reach.filter("NOT leaf").isEmpty():
         opened = reach.filter("NOT leaf").select(*on, "cell", *[F.col(c).alias(f"_{c}") for c in CELL], *[f"q_{c}_{e}" for c in AXES for e in ("low", "high")])

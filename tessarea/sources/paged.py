@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import json
-import urllib.request
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from tessarea.sources.features import answer
 
-def fetch(url: str, timeout: float = 60.0):
-    with urllib.request.urlopen(url, timeout=timeout) as answer:
-        return json.loads(answer.read().decode("utf-8"))
+
+def counted(page) -> int:
+    """The number in an answer to a count request: {"count": n}, or a list with one record of one value."""
+    record = page[0] if isinstance(page, list) else page
+    return int(record["count"] if "count" in record else next(iter(record.values())))
 
 
 def rows_of(page, kind: str) -> tuple[list[dict], bool]:
@@ -30,24 +32,29 @@ class Pages(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    """With ``total`` a partition for each ``together`` pages; without, one that goes on until a page is short and no more are announced."""
+    """With ``total``, or what the url ``count`` answers, a partition for each ``together`` pages; without, one that goes on until a page is short and no more are announced."""
 
     def __init__(self, schema: StructType, options: Mapping[str, str]):
         self.names = schema.names
         self.types = [f.dataType.typeName() for f in schema.fields]
         self.url, self.kind = options["url"], options.get("kind", "records")
         self.limit, self.total, self.together = int(options.get("limit", "1000")), options.get("total"), int(options.get("together", "10"))
+        self.count, self.tries, self.wait = options.get("count"), int(options.get("tries", "5")), float(options.get("wait", "0.5"))
+
+    def fetch(self, url: str):
+        return answer(url, self.tries, self.wait)
 
     def partitions(self) -> list[InputPartition]:
-        if self.total is None:
+        total = self.total if self.total is not None else counted(self.fetch(self.count)) if self.count else None
+        if total is None:
             return [Pages(0, None)]
-        pages = -(-int(self.total) // self.limit)
+        pages = -(-int(total) // self.limit)
         return [Pages(p, min(self.together, pages - p)) for p in range(0, pages, self.together)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         page = 0
         while partition.pages is None or page < partition.pages:
-            found, more = rows_of(fetch(self.url.replace("{offset}", str((partition.first + page) * self.limit)).replace("{limit}", str(self.limit))), self.kind)
+            found, more = rows_of(self.fetch(self.url.replace("{offset}", str((partition.first + page) * self.limit)).replace("{limit}", str(self.limit))), self.kind)
             for r in found:
                 yield tuple(self._value(r.get(n), t) for n, t in zip(self.names, self.types, strict=True))
             page += 1
@@ -64,7 +71,8 @@ class _Reader(DataSourceReader):
 
 
 class PagedSource(DataSource):
-    """Options: url with {offset} and {limit}; kind "records" (a list) or "features"; limit; total, if known; together (pages a task). The schema is given by the reader's user."""
+    """Options: url with {offset} and {limit}, which should name an order, so that pages neither overlap nor leave rows out; kind "records" (a list) or "features";
+    limit; total, if known, or count, a url that answers it; together (pages a task); tries and wait (seconds before the second try). The schema is given by the reader's user."""
 
     @classmethod
     def name(cls) -> str:
@@ -85,7 +93,7 @@ def read_paged(spark: SparkSession, url: str, schema: str, **options: str) -> Da
 def read_portal(spark: SparkSession, portal: Mapping[str, str], schema: str) -> DataFrame:
     """By ``portal_type``: socrata (records in pages), arcgis (features in pages) or csv; another type is an error."""
     kind = portal.get("portal_type")
-    paged = {k: portal[k] for k in ("limit", "total", "together") if k in portal}
+    paged = {k: portal[k] for k in ("limit", "total", "together", "count", "tries", "wait") if k in portal}
     if kind == "socrata":
         return read_paged(spark, portal["url"], schema, kind="records", **paged)
     if kind == "arcgis":

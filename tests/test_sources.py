@@ -59,6 +59,17 @@ def test_paged_records_and_features(spark, tmp_path, total):
         sources.read_portal(spark, {"portal_type": "ftp"}, "id long")
 
 
+def test_pages_are_planned_by_a_count(spark, tmp_path):
+    for at in range(0, 30, 10):
+        (tmp_path / f"r{at}.json").write_text(json.dumps([{"id": i} for i in range(at, min(at + 10, 25))]))
+    for body in ({"count": 25}, [{"count": "25"}], [{"count_1": "25"}]):
+        (tmp_path / "n.json").write_text(json.dumps(body))
+        df = sources.read_portal(spark, {"portal_type": "socrata", "url": f"file://{tmp_path}/r{{offset}}.json", "count": f"file://{tmp_path}/n.json", "limit": "10", "together": "1"}, "id long")
+        assert df.rdd.getNumPartitions() == 3 and sorted(r.id for r in df.collect()) == list(range(25))
+    with pytest.raises(Exception, match="r90|No such file|urlopen"):
+        sources.read_portal(spark, {"portal_type": "socrata", "url": f"file://{tmp_path}/r{{offset}}.json", "total": "100", "limit": "10", "tries": "2", "wait": "0.01"}, "id long").count()
+
+
 def test_csv_portal_folds_in_one_pass(spark, tmp_path):
     (tmp_path / "c.csv").write_text("home,work,n\n01,01,3\n01,02,4\n02,02,5\n")
     df = sources.read_portal(spark, {"portal_type": "csv", "url": str(tmp_path / "c.csv")}, "home string, work string, n long")
