@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessarea.session import Scratch
+
 FEW, DEEP = 8, 14  # edges of a cell that is not cut; levels below that of the whole shape
 RINGS = "array<array<struct<x: double, y: double>>>"
 COVER = "level int, i long, j long, inner boolean, edges array<double>"
@@ -206,3 +208,110 @@ def overlay(left: DataFrame, right: DataFrame, key: str = "id", key2: str = "id2
     met = small_a.select(*columns).unionByName(small_b.select(*columns))
     sums = _areas(met, ["_a", "_b"], True).groupBy("_a", "_b").agg(F.sum("area").alias("overlap")).filter("overlap > 0")
     return sums.withColumnsRenamed({"_a": key, "_b": key2})
+
+
+def assign(points: DataFrame, layers: Sequence[tuple[DataFrame, str]], key: str, zone: str, largest: bool = False, default: str = "remainder") -> DataFrame:
+    """Each point's zone (text), from the first layer (zone, rings) with any shape that holds it: the smallest by area, or the largest, ties to the smaller zone; then
+    the default. The label of the layer is ``layer``. Points are (``key``, x, y) with any other columns."""
+    out, tried, labels = points, [], []
+    for i, (shapes, label) in enumerate(layers):
+        cells = Scratch(points.sparkSession, "assign").keep(covers(shapes, zone), "cells")
+        sizes = areas(cells, zone).select(zone, F.round(F.col("area") * (-1 if largest else 1), 12).alias("_a"))
+        held = held_by(points.select(key, "x", "y"), cells).join(sizes, zone)
+        best = held.groupBy(key).agg(F.min(F.struct("_a", zone)).alias("_b")).select(key, F.col("_b")[zone].alias(f"_z{i}"))
+        out = out.join(best, key, "left")
+        tried.append(F.col(f"_z{i}"))
+        labels.append(F.when(F.col(f"_z{i}").isNotNull(), F.lit(label)))
+    return out.withColumns({zone: F.coalesce(*tried, F.lit(default)), "layer": F.coalesce(*labels, F.lit("none"))}).drop(*[f"_z{i}" for i in range(len(layers))])
+
+
+def pieces(lines: DataFrame, key: str, path: str = "path", finer: int = 3) -> DataFrame:
+    """key, level, i, j, x0, y0, x1, y1: lines (arrays of (x, y)) cut at the grid of cells of which a side is about an eighth of the segment, each piece with its cell."""
+    kind = lines.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                points = [(p["x"], p["y"]) for p in batch.column(1)[k].as_py() or () if p is not None and p["x"] is not None and p["y"] is not None]
+                found: list[tuple] = []
+                for (x0, y0), (x1, y1) in zip(points, points[1:], strict=False):
+                    length = max(abs(x1 - x0), abs(y1 - y0))
+                    if length == 0:
+                        continue
+                    level = int(np.floor(-np.log2(length))) + finer
+                    t = np.unique(np.concatenate([[0.0, 1.0], _grid(x0, x1, level), _grid(y0, y1, level)]))
+                    at = np.stack([x0 + t * (x1 - x0), y0 + t * (y1 - y0)], 1)
+                    cell = np.floor((at[1:] + at[:-1]) / 2 * 2.0**level).astype(np.int64)
+                    found += [(level, *map(int, c), *map(float, a), *map(float, b)) for c, a, b in zip(cell, at[:-1], at[1:], strict=True)]
+                    if len(found) > 10_000:
+                        yield _named(batch.column(0).slice(k, 1), found)
+                        found = []
+                if found:
+                    yield _named(batch.column(0).slice(k, 1), found)
+
+    def _named(name: pa.Array, found: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.float64()] * 4]
+        columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)]
+        return pa.record_batch([pa.concat_arrays([name] * len(found)), *columns], names=[key, "level", "i", "j", "x0", "y0", "x1", "y1"])
+
+    plain = F.transform(path, lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
+    return lines.select(key, plain.alias("path")).mapInArrow(run, f"{key} {kind}, level int, i long, j long, x0 double, y0 double, x1 double, y1 double")
+
+
+def _grid(a: float, b: float, level: int) -> np.ndarray:
+    """Where along a to b the lines of the grid are crossed."""
+    low, high = sorted((a * 2.0**level, b * 2.0**level))
+    lines = np.arange(np.ceil(low), np.floor(high) + 1) / 2.0**level
+    return (lines - a) / (b - a) if a != b else np.empty(0)
+
+
+def inner_length(x0: float, y0: float, x1: float, y1: float, level: int, i: int, j: int, edges: np.ndarray | None) -> float:
+    """Length of a piece in a cell and, with edges, within their shape. A piece along a cell's side belongs to one of the cells alone."""
+    side = 2.0**-level
+    low, high = 0.0, 1.0
+    for a, b, at in ((x0, x1, i * side), (y0, y1, j * side)):
+        if a != b:
+            s, e = sorted(((at - a) / (b - a), (at + side - a) / (b - a)))
+            low, high = max(low, s), min(high, e)
+    if low >= high:
+        return 0.0
+    middle = (low + high) / 2
+    if (int(np.floor((x0 + middle * (x1 - x0)) / side)), int(np.floor((y0 + middle * (y1 - y0)) / side))) != (i, j):
+        return 0.0
+    length = float(np.hypot(x1 - x0, y1 - y0))
+    if edges is None:
+        return (high - low) * length
+    dx, dy, ex, ey = x1 - x0, y1 - y0, edges[:, 2] - edges[:, 0], edges[:, 3] - edges[:, 1]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cross = dx * ey - dy * ex
+        t = ((edges[:, 0] - x0) * ey - (edges[:, 1] - y0) * ex) / cross
+    t = np.unique(np.concatenate([[low, high], t[(t > low) & (t < high)]]))
+    return float(sum((b - a) * length for a, b in zip(t[:-1], t[1:], strict=True) if _inside(edges, x0 + (a + b) / 2 * dx, y0 + (a + b) / 2 * dy)))
+
+
+def lengths_inside(lines: DataFrame, cells: DataFrame, line: str, shape: str, path: str = "path") -> DataFrame:
+    """line, shape and ``length``: how much of each line lies in each shape (given by its cover), where that is positive. Shapes may be concave and have holes."""
+    cut = Scratch(lines.sparkSession, "lines").keep(pieces(lines.withColumnRenamed(line, "_a"), "_a", path), "pieces")
+    b = cells.select(F.col(shape).alias("_b"), *[F.col(c).alias(f"{c}_2") for c in ("level", "i", "j", "inner", "edges")])
+    up = lambda c, level, to: F.call_function("shiftright", F.col(c), F.col(level) - to)
+
+    def lifted(df: DataFrame, suffix: str, levels: list[int], strict: bool) -> DataFrame:
+        level = f"level{suffix}"
+        ups = [F.when(F.col(level) > to if strict else F.col(level) >= to, F.struct(F.lit(to).alias("l"), up(f"i{suffix}", level, to).alias("m"), up(f"j{suffix}", level, to).alias("n"))) for to in levels or [0]]
+        return df.withColumn("_up", F.explode(F.filter(F.array(*ups), lambda x: x.isNotNull()))).select("*", "_up.*").drop("_up")
+
+    small = lifted(cut, "", _levels(cells), False).join(b.withColumnsRenamed({"level_2": "l", "i_2": "m", "j_2": "n"}), ["l", "m", "n"])
+    large = lifted(b, "_2", _levels(cut), True).join(cut.withColumnsRenamed({"level": "l", "i": "m", "j": "n"}), ["l", "m", "n"]).withColumnsRenamed({"level_2": "level", "i_2": "i", "j_2": "j"})
+    columns = ["_a", "_b", "level", "i", "j", "inner_2", "edges_2", "x0", "y0", "x1", "y1"]
+    met = small.select(*columns).unionByName(large.select(*columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = {n: batch.column(n).to_pylist() for n in columns[2:] if n != "edges_2"}
+            edges = [None if whole else e.values.to_numpy(zero_copy_only=False).reshape(-1, 4) for whole, e in zip(c["inner_2"], batch.column("edges_2"), strict=True)]
+            found = [inner_length(*v, e) for *v, e in zip(c["x0"], c["y0"], c["x1"], c["y1"], c["level"], c["i"], c["j"], edges, strict=True)]
+            yield pa.record_batch([batch.column("_a"), batch.column("_b"), pa.array(found, pa.float64())], names=["_a", "_b", "length"])
+
+    kinds = ", ".join(f"{k} {met.schema[k].dataType.simpleString()}" for k in ("_a", "_b"))
+    sums = met.mapInArrow(run, f"{kinds}, length double").groupBy("_a", "_b").agg(F.sum("length").alias("length")).filter("length > 0")
+    return sums.withColumnsRenamed({"_a": line, "_b": shape})

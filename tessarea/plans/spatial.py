@@ -199,3 +199,34 @@ def points_in_shapes(t: Tables) -> DataFrame:
     """Points in shapes with holes."""
     held = shapes.held_by(points(t), shapes.covers(holed(t), "id2"))
     return held.groupBy("id2").agg(F.count("*").alias("n"), F.sum(F.col("id") % 11).alias("mass"))
+
+
+@query(f"""WITH h AS (SELECT p.id, id2, (x1 - x0) * (y1 - y0) AS a FROM {PLACES} p JOIN {HOLED} b ON lon + 0.0007 > x0 AND lon + 0.0007 < x1 AND lat + 0.0007 > y0 AND lat + 0.0007 < y1
+AND NOT (lon + 0.0007 > p0 AND lon + 0.0007 < p1 AND lat + 0.0007 > q0 AND lat + 0.0007 < q1)), k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(a, 9), id2::VARCHAR) AS k FROM h)
+SELECT p.id, coalesce(id2::VARCHAR, 'remainder') AS zone FROM {PLACES} p LEFT JOIN k ON k.id = p.id AND k = 1""")
+def smallest_shape(t: Tables) -> DataFrame:
+    """The smallest shape with a hole that holds a point, else the remainder."""
+    zones_ = holed(t).select(F.col("id2").cast("string").alias("zone"), "rings")
+    return shapes.assign(points(t), [(zones_, "site")], "id", "zone").select("id", "zone")
+
+
+@query(f"""WITH o AS (SELECT id, id2, ({common("box", "box")} - {common("cut", "box")} - {common("box", "cut")} + {common("cut", "cut")}) / ((b.x1 - b.x0) * (b.y1 - b.y0) * 0.75) AS s FROM {NOTCHED} t CROSS JOIN {HOLED} b)
+SELECT id, round(sum((10.0 + id2 % 7) * s), 5) AS n, round(sum(id2 * (10.0 + id2 % 7) * s) / sum((10.0 + id2 % 7) * s), 5) AS v FROM o WHERE s > 1e-4 GROUP BY id""")
+def interpolated_shapes(t: Tables) -> DataFrame:
+    """Sums and means of shapes with holes on the concave ones that they overlap."""
+    right = shapes.covers(holed(t), "id2")
+    met = shapes.overlay(shapes.covers(notched(t), "id"), right).join(shapes.areas(right, "id2"), "id2")
+    pairs = met.withColumns({"share": F.col("overlap") / F.col("area"), "n": 10.0 + F.col("id2") % 7, "v": F.col("id2").cast("double")}).filter("share > 1e-4")
+    return geo.interpolated(pairs, "id", "share", ["n"], {"v": "n"}).select("id", r("n", 5).alias("n"), r("v", 5).alias("v"))
+
+
+@query(f"""WITH l AS (SELECT p_partkey AS line, -75.1 + (p_partkey * 13 % 100) / 50.0 AS a, 40.0003 + (p_partkey * 29 % 1000) / 500.0 AS y, 0.05 + (p_partkey % 9) * 0.1 AS n FROM part),
+c AS (SELECT id, greatest(0, least(a + n, x1) - greatest(a, x0)) * (y > y0 AND y < y1)::INT - greatest(0, least(a + n, p1) - greatest(a, p0)) * (y > q0 AND y < q1)::INT AS d FROM l JOIN {NOTCHED} ON y > y0 AND y < y1 AND a < x1 AND a + n > x0)
+SELECT id, round(2 * sum(d), 6) AS length FROM c GROUP BY id HAVING sum(d) > 1e-6""")
+def lines_in_shapes(t: Tables) -> DataFrame:
+    """Length of lines that go there and back within concave shapes (C20)."""
+    k = F.col("p_partkey")
+    x, y, n = -75.1 + (k * 13 % 100) / 50.0, 40.0003 + (k * 29 % 1000) / 500.0, 0.05 + (k % 9) * 0.1
+    lines = t.part.select(k.alias("line"), ring((x, y), (x + n, y), (x, y)).alias("path"))
+    inside = shapes.lengths_inside(lines, shapes.covers(notched(t), "id"), "line", "id")
+    return inside.groupBy("id").agg(r(F.sum("length")).alias("length"))

@@ -153,3 +153,31 @@ def test_a_large_shape_has_few_cells():
     cells = list(shapes.cover([ring]))
     assert len(cells) < 4000 and sum(c[3] for c in cells) > 100
     assert sum((2.0 ** -c[0]) ** 2 for c in cells if c[3]) == pytest.approx(math.pi * 1e6, rel=0.05)
+
+
+def test_lengths_of_lines_in_shapes(spark, two):
+    a, _, ca, _ = two
+    rng = random.Random(8)
+    lines = [(k, [{"x": rng.uniform(-5, 5), "y": rng.uniform(-5, 5)} for _ in range(rng.randrange(1, 5))]) for k in range(25)]
+    lines += [(50, None), (51, [{"x": 1.0, "y": 1.0}, {"x": 1.0, "y": 1.0}]), (52, [{"x": -4.0, "y": 0.0}, {"x": 4.0, "y": 0.0}, {"x": 4.0, "y": 4.0}])]
+    got = {(r.line, r.id): r.length for r in shapes.lengths_inside(spark.createDataFrame(lines, "line long, path array<struct<x: double, y: double>>"), ca, "line", "id").collect()}
+    for k, path in lines:
+        for i, rings in a:
+            want, e = 0.0, shapes.edges_of(rings)
+            for p, q in zip(path or [], (path or [])[1:], strict=False):
+                n = 4000
+                t = (np.arange(n) + 0.5) / n
+                inside = [shapes._inside(e, p["x"] + s * (q["x"] - p["x"]), p["y"] + s * (q["y"] - p["y"])) for s in t[::10]]
+                want += math.hypot(q["x"] - p["x"], q["y"] - p["y"]) * np.mean(inside)
+            assert got.get((k, i), 0.0) == pytest.approx(want, abs=0.35)
+    assert sum(got.values()) > 20
+
+
+def test_assignment_by_layers_of_shapes(spark):
+    box = lambda x, y, n: [{"x": x, "y": y}, {"x": x + n, "y": y}, {"x": x + n, "y": y + n}, {"x": x, "y": y + n}]
+    layer = lambda rows: spark.createDataFrame(rows, f"zone string, rings {shapes.RINGS}")
+    first, second = layer([("big", [box(0.0, 0.0, 10.0), box(4.0, 4.0, 2.0)]), ("small", [box(1.0, 1.0, 1.0)])]), layer([("wide", [box(-5.0, -5.0, 30.0)])])
+    points = spark.createDataFrame([(1, 1.5, 1.5), (2, 3.0, 3.0), (3, 5.0, 5.0), (4, 90.0, 9.0)], "id int, x double, y double")
+    got = lambda largest: {r.id: (r.zone, r.layer) for r in shapes.assign(points, [(first, "a"), (second, "b")], "id", "zone", largest).collect()}
+    assert got(False) == {1: ("small", "a"), 2: ("big", "a"), 3: ("wide", "b"), 4: ("remainder", "none")}
+    assert got(True)[1] == ("big", "a")
