@@ -120,3 +120,26 @@ def one_se(losses: DataFrame, option: str, unit: str, loss: str) -> DataFrame:
     limit = means.crossJoin(F.broadcast(best)).withColumn("_in", F.col("mean") <= F.col("b.mean") + F.coalesce("b.se", F.lit(0.0)))
     first = limit.filter("_in").agg(F.min(option).alias("_first"))
     return limit.crossJoin(F.broadcast(first)).select(option, "mean", "se", (F.col(option) == F.col("_first")).alias("chosen"))
+
+
+def one_se_stability(losses: DataFrame, option: str, unit: str, loss: str, rounds: int = 500) -> DataFrame:
+    """option, chosen_share, best_share, rounds: in how many rounds over resampled units an option is the one-standard-error choice, or the best.
+
+    Units are drawn by hashed multiplicities; all rounds of all options are one aggregate of the mean losses by option and unit, and no draw moves rows."""
+    from tessarea.operators.stats import multiplicity
+
+    means = Scratch(losses.sparkSession, "stability").keep(losses.groupBy(F.col(option).alias("option"), F.col(unit).alias("unit")).agg(F.avg(loss).alias("l")), "means")
+    m, x = F.col("m"), F.col("l")
+    drawn = means.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("m", multiplicity(F.col("unit"), F.col("round")))
+    sums = drawn.groupBy("round", "option").agg(F.sum(m).alias("n"), (F.sum(m * x) / F.sum(m)).alias("mean"), F.sum(m * x * x).alias("s2")).filter("n > 1")
+    spread = F.sqrt(F.greatest(F.lit(0.0), (F.col("s2") - F.col("n") * F.col("mean") * F.col("mean")) / (F.col("n") - 1)) / F.col("n"))
+    sums = sums.withColumn("se", spread)
+    best = sums.groupBy("round").agg(F.min(F.struct("mean", "se", "option")).alias("b"))
+    tried = sums.join(best, "round")
+    near = tried.filter(F.col("mean") <= F.col("b.mean") + F.col("b.se"))
+    chosen = near.groupBy("round").agg(F.min("option").alias("option"), F.min("b.option").alias("best"))
+    n = chosen.agg(F.count("*").alias("rounds"))  # one row
+    counts = chosen.select(F.explode(F.array(F.struct("option", F.lit(1).alias("c"), F.lit(0).alias("b")), F.struct(F.col("best").alias("option"), F.lit(0).alias("c"), F.lit(1).alias("b")))).alias("x")).groupBy("x.option").agg(F.sum("x.c").alias("c"), F.sum("x.b").alias("b"))
+    every = means.select("option").distinct().join(counts, "option", "left").crossJoin(F.broadcast(n))
+    share = lambda c: F.try_divide(F.coalesce(F.col(c), F.lit(0)), F.col("rounds"))
+    return every.select(F.col("option").alias(option), share("c").alias("chosen_share"), share("b").alias("best_share"), "rounds")

@@ -89,15 +89,24 @@ def permutation_importance(t: Tables) -> DataFrame:
     return ml.importance(losses)
 
 
+def tilt_losses(t: Tables) -> DataFrame:
+    g = t.part.groupBy(F.col("p_brand").alias("unit")).agg(F.avg("p_retailprice").alias("a"), F.avg("p_size").alias("b"))
+    losses = g.select("unit", "a", "b", F.explode(F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 1.0)])).alias("tau"))
+    return losses.withColumn("loss", F.abs(F.col("tau") - F.col("b") / 50) + 0.01 * (F.col("a") % 7))
+
+
 @query("""WITH g AS (SELECT p_brand AS unit, unnest([0.0, 0.25, 0.5, 1.0])::DOUBLE AS tau, avg(p_retailprice) AS a, avg(p_size) AS b FROM part GROUP BY p_brand), l AS (SELECT tau, unit, abs(tau - b / 50) + 0.01 * (a % 7) AS loss FROM g),
 m AS (SELECT tau, avg(loss) AS mean, stddev_samp(loss) / sqrt(count(*)) AS se FROM l GROUP BY tau), b AS (SELECT mean + se AS cut FROM m ORDER BY mean, se, tau LIMIT 1), f AS (SELECT min(tau) AS first FROM m CROSS JOIN b WHERE mean <= cut)
 SELECT tau, round(mean, 6) AS mean, round(se, 6) AS se, tau = first AS chosen FROM m CROSS JOIN f""")
 def one_standard_error(t: Tables) -> DataFrame:
     """The smallest tilt within a standard error of the best."""
-    g = t.part.groupBy(F.col("p_brand").alias("unit")).agg(F.avg("p_retailprice").alias("a"), F.avg("p_size").alias("b"))
-    losses = g.select("unit", "a", "b", F.explode(F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 1.0)])).alias("tau"))
-    losses = losses.withColumn("loss", F.abs(F.col("tau") - F.col("b") / 50) + 0.01 * (F.col("a") % 7))
-    return ml.one_se(losses, "tau", "unit", "loss").select("tau", r("mean").alias("mean"), r("se").alias("se"), "chosen")
+    return ml.one_se(tilt_losses(t), "tau", "unit", "loss").select("tau", r("mean").alias("mean"), r("se").alias("se"), "chosen")
+
+
+@query()
+def choice_stability(t: Tables) -> DataFrame:
+    """How often a tilt is chosen over resampled units."""
+    return ml.one_se_stability(tilt_losses(t), "tau", "unit", "loss")
 
 
 @query(f"SELECT 'k' AS a, 'q' AS b, round(corr(k, q), 6) AS r FROM {PARTS}")

@@ -246,3 +246,28 @@ def test_common_aliases_show_a_few_keys(spark):
     df = spark.range(50).select("id", F.lit("same").alias("a"), F.when(F.col("id") == 3, "own").alias("b"))
     got = {r.alias: (r.n, r["first"]) for r in entities.alias_summary(df, "id", ["a", "b"], 3).collect()}
     assert got == {"same": (50, "0|1|10"), "own": (1, "3")}
+
+
+def test_stability_of_a_choice(spark):
+    """A clear winner is chosen always, a tie within the error goes to the smaller option; rounds repeat."""
+    rng = np.random.default_rng(7)
+    rows = [(o, f"u{u}", float(rng.normal(m, 0.3))) for o, m in ((0.0, 5.0), (0.5, 1.0), (1.0, 0.99)) for u in range(30)]
+    df = spark.createDataFrame(rows, "tau double, unit string, loss double")
+    got = {r.tau: r for r in ml.one_se_stability(df, "tau", "unit", "loss", 300).collect()}
+    assert got[0.0].chosen_share == 0 and got[0.5].chosen_share > 0.5 and got[0.5].chosen_share + got[1.0].chosen_share == pytest.approx(1)
+    assert sum(r.best_share for r in got.values()) == pytest.approx(1) and got[0.0].rounds == 300
+    assert got == {r.tau: r for r in ml.one_se_stability(df, "tau", "unit", "loss", 300).collect()}
+    from tessarea.operators.stats import multiplicity
+
+    m = {(r.unit, r.round): r.m for r in df.select("unit").distinct().crossJoin(spark.range(1, 301).withColumnRenamed("id", "round").select(F.col("round").cast("int"))).withColumn("m", multiplicity(F.col("unit"), F.col("round"))).collect()}
+    won = 0
+    for k in range(1, 301):
+        w = np.array([m[f"u{u}", k] for u in range(30)])
+        found = []
+        for o in (0.0, 0.5, 1.0):
+            x = np.array([v for p, _, v in rows if p == o])
+            n, mean = w.sum(), (w * x).sum() / w.sum()
+            found.append((mean, ((w * (x - mean) ** 2).sum() / (n - 1) / n) ** 0.5, o))
+        mean, se, _ = min(found)
+        won += min(o for v, _, o in found if v <= mean + se) == 0.5
+    assert got[0.5].chosen_share == pytest.approx(won / 300)
