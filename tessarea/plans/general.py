@@ -128,15 +128,17 @@ def zonal_histogram(t: Tables) -> DataFrame:
     return rel.share_of_group(g, ["p_brand"], "n", "share").withColumn("share", r("share", 9))
 
 
-@query("""WITH v AS (SELECT vec_id, label, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b FROM embeddings), m AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM v WHERE label < 5),
-d AS (SELECT v.*, sqrt((((a - ma) / sa) ** 2 + ((b - mb) / sb) ** 2) / 2) AS d FROM v CROSS JOIN m), s AS (SELECT quantile_cont(d, 0.9) AS s FROM d WHERE label < 5)
+@query("""WITH v AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), m AS (SELECT i, avg(x) AS m, stddev_pop(x) AS s FROM v WHERE label < 5 GROUP BY i),
+d AS (SELECT vec_id, any_value(label) AS label, sqrt(avg(((x - m) / s) ** 2)) AS d FROM v JOIN m USING (i) GROUP BY vec_id), s AS (SELECT quantile_cont(d, 0.9) AS s FROM d WHERE label < 5)
 SELECT vec_id, round(exp(-0.5 * (d / s) ** 2), 6) AS score FROM d CROSS JOIN s""")
 def domain_overlap_score(t: Tables) -> DataFrame:
-    """Distance from the training domain, scaled by its 90th percentile."""
-    v = t.embeddings.select("vec_id", "label", F.col("embedding")[0].cast("double").alias("a"), F.col("embedding")[1].cast("double").alias("b"))
-    m = v.filter("label < 5").agg(F.avg("a").alias("ma"), F.stddev_pop("a").alias("sa"), F.avg("b").alias("mb"), F.stddev_pop("b").alias("sb"))
-    z = lambda x: F.pow((F.col(x) - F.col(f"m{x}")) / F.col(f"s{x}"), 2)
-    d = v.crossJoin(F.broadcast(m)).withColumn("d", F.sqrt((z("a") + z("b")) / 2))
+    """Distance from the training domain over all components, scaled by its 90th percentile."""
+    v = t.embeddings.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    # One row: the mean and spread of each component.
+    each = v.filter("label < 5").select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s"))
+    frame = each.agg(F.array_sort(F.collect_list(F.struct("i", "m", "s"))).alias("f"))
+    z = F.zip_with("v", "f", lambda x, f: F.pow((x - f["m"]) / f["s"], 2))
+    d = v.crossJoin(F.broadcast(frame)).select("vec_id", "label", F.sqrt(F.aggregate(z, F.lit(0.0), lambda a, b: a + b) / F.size("v")).alias("d"))
     s = distributed.quantiles(d.filter("label < 5"), [], "d", [0.9], ["s"])
     return d.crossJoin(F.broadcast(s)).select("vec_id", r(F.exp(-0.5 * F.pow(F.col("d") / F.col("s"), 2))).alias("score"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessarea.functions import clip, text
-from tessarea.operators import rel
+from tessarea.operators import distributed, rel
 from tessarea.plans.registry import CANDIDATES, PANEL, Tables, candidates, panel, query, r
 from tessarea.streaming import events as streams
 
@@ -37,12 +37,14 @@ def rule_variant_sweep(t: Tables) -> DataFrame:
     return t.spark.table(name)
 
 
-@query(f"SELECT cust, yr, n, amount, row_number() OVER (ORDER BY n DESC NULLS LAST, amount ASC NULLS LAST, cust, yr) AS place FROM (SELECT cust, yr, CASE WHEN n > 1 THEN n END AS n, amount FROM {PANEL}) ORDER BY n DESC NULLS LAST, amount NULLS LAST, cust, yr LIMIT 50")
+@query(f"SELECT cust, yr, n, amount, row_number() OVER (ORDER BY n DESC NULLS LAST, amount ASC NULLS LAST, cust, yr) AS place FROM (SELECT cust, yr, CASE WHEN n > 1 THEN n END AS n, amount FROM {PANEL})")
 def nulls_last_sort(t: Tables) -> DataFrame:
     """A total order over several keys, NULLs last both ways (2.N)."""
     rows = panel(t).select("cust", "yr", F.when(F.col("n") > 1, F.col("n")).alias("n"), "amount")
-    top = rows.orderBy(F.desc_nulls_last("n"), F.asc_nulls_last("amount"), "cust", "yr").limit(50)
-    return rel.ranked(top.withColumn("_one", F.lit(1)), ["_one"], [F.desc_nulls_last("n"), F.asc_nulls_last("amount"), F.asc("cust"), F.asc("yr")], "place").withColumn("place", F.col("place") + 1).drop("_one")
+    # Ranks of the whole table by ranges; descending and NULLs last are columns of their own.
+    keys = rows.withColumns({"_no_n": F.col("n").isNull().cast("int"), "_down": -F.col("n"), "_no_amount": F.col("amount").isNull().cast("int")})
+    placed = distributed.positions(keys, ["_no_n", "_down", "_no_amount", "amount", "cust", "yr"], "place")
+    return placed.select("cust", "yr", "n", "amount", (F.col("place") + 1).alias("place"))
 
 
 @query("SELECT p_brand AS brand, count(*) AS n, round(avg(jaro_winkler_similarity(lower(p_name), lower(p_type))), 9) AS likeness, round(max(jaro_winkler_similarity(lower(p_name), lower(p_type))), 9) AS most FROM part GROUP BY p_brand")
