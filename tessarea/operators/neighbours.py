@@ -46,10 +46,23 @@ def _summed(df: DataFrame, on: Sequence[str], box: bool) -> DataFrame:
     return df.groupBy(*on, *CELL).agg(n.alias("n"), *[F.min(low(c)).alias(f"{c}_low") for c in AXES], *[F.max(high(c)).alias(f"{c}_high") for c in AXES])
 
 
-def _leaves(points: DataFrame, on: Sequence[str], most: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The points with their smallest cell, and all cells with ``leaf``. Cells with more than ``most`` points are cut, dense ones again and again."""
-    n = max(points.count(), 1)
-    first = min(DEEPEST, STEP * max(0, math.ceil(math.log(max(n / most, 1), 4) / STEP)))
+def _spread(points: DataFrame) -> tuple[int, int]:
+    """How many points there are, and the level whose cells are about as wide as what they span."""
+    row = points.agg(F.count("*").alias("n"), F.greatest(*[F.max(c) - F.min(c) for c in AXES]).alias("width")).first()
+    return row["n"], min(DEEPEST, int(math.log2(2 / max(row["width"] or 2.0, 2.0**-DEEPEST))))
+
+
+def _top(deep: int) -> int:
+    """The level of the coarsest cells, of which the points fill a few."""
+    return max(0, STEP * ((deep - 1) // STEP))
+
+
+def _leaves(points: DataFrame, on: Sequence[str], most: int, scratch: Scratch, spread: tuple[int, int] = (0, 0), above_them: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The points with their smallest cell, and all cells with ``leaf``. Cells with more than ``most`` points are cut, dense ones again and again.
+
+    ``spread`` is that of the points; it says where to begin, not what is found. Without ``above_them`` coarser cells are left out."""
+    n, deep = spread if spread[0] else (max(points.count(), 1), 0)
+    first = min(DEEPEST, STEP * max(0, math.ceil((deep + math.log(max(n / most, 1), 4)) / STEP)))
     todo, level, placed, cells = points, first, [], []
     while True:
         todo = todo.drop(*CELL).withColumns(_cell(level))
@@ -64,7 +77,7 @@ def _leaves(points: DataFrame, on: Sequence[str], most: int, scratch: Scratch) -
         placed.append(both.filter("_cut IS NULL").drop("_cut"))
         todo, level = both.filter("_cut").drop("_cut"), level + STEP
     up = cells[0]
-    for level in range(first - STEP, -1, -STEP):
+    for level in range(first - STEP, _top(deep) - 1, -STEP) if above_them else ():
         above = {"level": F.lit(level), **{c: F.shiftright(c, STEP) for c in "ijk"}}
         up = scratch.keep(_summed(up.drop("leaf").withColumns(above), on, True).withColumn("leaf", F.lit(False)), "above")
         cells.append(up)
@@ -102,15 +115,17 @@ def nearest_places(left: DataFrame, right: DataFrame, k: int = 1, on: Sequence[s
     keep = Window.partitionBy(*on, "lat2", "lon2").orderBy("id2")
     points = right.select(*on, "id2", "lat2", "lon2").dropna(subset=["lat2", "lon2"]).withColumn("_r", F.row_number().over(keep)).filter(F.col("_r") <= k).drop("_r")
     asked = left.select(*on, "lat", "lon").dropna(subset=["lat", "lon"]).distinct()
-    points, tree = _leaves(scratch.keep(_in_space(points, "lat2", "lon2"), "points"), on, most, scratch)
-    asked, groups = _leaves(scratch.keep(_in_space(asked, "lat", "lon"), "asked"), on, most, scratch)
+    points, asked = scratch.keep(_in_space(points, "lat2", "lon2"), "points"), scratch.keep(_in_space(asked, "lat", "lon"), "asked")
+    spread = _spread(points)
+    top = _top(spread[1]) if spread[0] else 0
+    points, tree = _leaves(points, on, most, scratch, spread)
+    asked, groups = _leaves(asked, on, most, scratch, _spread(asked), above_them=False)
     boxes = [F.col(f"{c}_{e}").alias(f"q_{c}_{e}") for c in AXES for e in ("low", "high")]
     cell = F.struct(*CELL).alias("cell")
-    # The root of each group; without groups a constant makes it an equi-join as well.
-    top = [*on, "level"]
-    roots = null_safe_join(groups.filter("leaf").select(*on, cell, *boxes, F.lit(0).alias("level")), tree.filter("level = 0"), top)
+    # The few coarsest cells of each group; without groups their level makes it an equi-join as well.
+    roots = null_safe_join(groups.filter("leaf").select(*on, cell, *boxes, F.lit(top).alias("level")), tree.filter(F.col("level") == top), [*on, "level"])
     reach = scratch.keep(_in_reach(roots, on, k), "reach")
-    children = tree.filter("level > 0").withColumns({f"_{c}": F.shiftright(c, STEP) for c in "ijk"} | {"_level": F.col("level") - STEP})
+    children = tree.filter(F.col("level") > top).withColumns({f"_{c}": F.shiftright(c, STEP) for c in "ijk"} | {"_level": F.col("level") - STEP})
     while not reach.filter("NOT leaf").isEmpty():
         opened = reach.filter("NOT leaf").select(*on, "cell", *[F.col(c).alias(f"_{c}") for c in CELL], *[f"q_{c}_{e}" for c in AXES for e in ("low", "high")])
         below = null_safe_join(opened, children, [*on, *[f"_{c}" for c in CELL]]).drop(*[f"_{c}" for c in CELL])
