@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+PARTS, EPSILON = 1024, {"double": 2.0**-52, "float": 2.0**-23}  # parts of a sum; what one addition may round off, twofold
+
+
 class ExpectationError(AssertionError):
     pass
 
@@ -75,12 +78,19 @@ def sums_to(df: DataFrame, group: Sequence[str], value: str, total: float = 1.0,
         raise ExpectationError(f"{value} does not sum to {total}: {[tuple(r) for r in found]}")
 
 
+def _summed(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Sums by key in two steps, so that few additions follow one another, and what rounding may have added: nothing to whole numbers."""
+    kind = df.select(value).schema[0].dataType.simpleString()
+    parts = df.withColumn("_part", F.monotonically_increasing_id() % PARTS).groupBy(*keys, "_part").agg(F.sum(value).alias("s"), F.sum(F.abs(value)).alias("m"), F.count(value).alias("n"))
+    slack = (F.max("n") + PARTS) * F.sum("m") * EPSILON.get(kind, 0.0)
+    return parts.groupBy(*keys).agg(F.sum("s").alias(name), slack.alias("slack"))
+
+
 def reconciles(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, tolerance: float) -> None:
-    """The two sides have the same totals by ``keys``."""
-    a = left.groupBy(*keys).agg(F.sum(value).alias("a"))
-    b = right.groupBy(*keys).agg(F.sum(value).alias("b"))
-    gap = F.abs(F.coalesce("a", F.lit(0.0)) - F.coalesce("b", F.lit(0.0)))
-    found = a.join(b, list(keys), "full").filter(gap > tolerance).limit(5).collect()
+    """The two sides have the same totals by ``keys`` but for ``tolerance`` and what sums in another order may differ by. NULL keys are equal."""
+    both = _summed(left, keys, value, "a").unionByName(_summed(right, keys, value, "b"), allowMissingColumns=True)
+    sums = both.groupBy(*keys).agg(F.coalesce(F.sum("a"), F.lit(0)).alias("a"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.sum("slack").alias("slack"))
+    found = sums.filter(F.abs(F.col("a") - F.col("b")) > tolerance + F.coalesce("slack", F.lit(0.0))).drop("slack").limit(5).collect()
     if found:
         raise ExpectationError(f"totals of {value} differ: {[tuple(r) for r in found]}")
 

@@ -77,6 +77,15 @@ def test_expectations_fail_closed(spark):
     expect.ratchet(90, 100)
 
 
+def test_totals_that_differ_by_rounding_alone_reconcile(spark):
+    tenths = spark.range(60_000).select(F.when(F.col("id") % 3 > 0, F.lit(1)).alias("k"), (F.col("id") * 1000.1 + 0.07).alias("v"))
+    other = tenths.groupBy("k", F.pmod(F.xxhash64("v"), F.lit(7_000))).agg(F.sum("v").alias("v")).orderBy(F.desc("v"))
+    expect.reconciles(tenths, other, ["k"], "v", 1e-6)
+    for gone in (tenths.filter("v > 0.1"), other.unionByName(other.limit(1), allowMissingColumns=True).select("k", "v")):
+        with pytest.raises(expect.ExpectationError):
+            expect.reconciles(tenths, gone.withColumn("v", F.col("v") + F.when(F.col("v") < 1e9, 0.5).otherwise(0)), ["k"], "v", 1e-6)
+
+
 def test_rules(spark):
     column = rules.first_match([{"label": "x", "all": [{"field": "a", "regex": "^q"}], "none": [{"field": "b", "ge": 5}]}], "rest")
     assert one(spark, column, a=("string", "qq"), b=("int", None)) == "x"
