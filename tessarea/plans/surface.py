@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessarea.functions import clip, text
 from tessarea.operators import distributed, rel
@@ -40,7 +41,11 @@ def rule_variant_sweep(t: Tables) -> DataFrame:
 @query(f"SELECT cust, yr, n, amount, row_number() OVER (ORDER BY n DESC NULLS LAST, amount ASC NULLS LAST, cust, yr) AS place FROM (SELECT cust, yr, CASE WHEN n > 1 THEN n END AS n, amount FROM {PANEL})")
 def nulls_last_sort(t: Tables) -> DataFrame:
     """A total order over several keys, NULLs last both ways (2.N)."""
-    rows = panel(t).select("cust", "yr", F.when(F.col("n") > 1, F.col("n")).alias("n"), "amount")
+    # Amounts order the rows, so they are added one by one as the orders are numbered: equal orders give equal sums, however tasks meet them.
+    w = Window.partitionBy("cust", "yr").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = t.orders.select(F.col("o_custkey").alias("cust"), F.year("o_orderdate").alias("yr"), "o_orderkey", "o_totalprice").withColumns({"n": F.count("*").over(w), "amount": F.sum("o_totalprice").over(w)})
+    exact = summed.groupBy("cust", "yr").agg(F.max("n").alias("n"), F.max_by("amount", "n").alias("amount"))
+    rows = exact.select("cust", "yr", F.when(F.col("n") > 1, F.col("n")).alias("n"), "amount")
     # Ranks of the whole table by ranges; descending and NULLs last are columns of their own.
     keys = rows.withColumns({"_no_n": F.col("n").isNull().cast("int"), "_down": -F.col("n"), "_no_amount": F.col("amount").isNull().cast("int")})
     placed = distributed.positions(keys, ["_no_n", "_down", "_no_amount", "amount", "cust", "yr"], "place")

@@ -48,3 +48,11 @@ def test_entry_imports_and_names_agree():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert "lane_top1_selection" in entry.queries()
+
+
+def test_equal_orders_rank_by_key_however_files_lie(spark, tmp_path):
+    """Three amounts whose sum depends on the order of additions: the smaller customer comes first."""
+    rows = [(1, 0, 0.1), (2, 0, 0.2), (3, 0, 0.3), (6, 1, 0.3), (5, 1, 0.2), (4, 1, 0.1)]
+    pd.DataFrame([(k, c, v, pd.Timestamp("1999-05-01")) for k, c, v in rows], columns=["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]).to_parquet(tmp_path / "orders.parquet", coerce_timestamps="us")
+    got = {r.cust: (r.place, r.amount) for r in plans.QUERIES["nulls_last_sort"](spark, str(tmp_path)).collect()}
+    assert got == {0: (1, 0.1 + 0.2 + 0.3), 1: (2, 0.1 + 0.2 + 0.3)}
