@@ -59,12 +59,12 @@ def in_polygons(points: DataFrame, polygons: DataFrame, size: float, x: str = "x
 
 
 def assign(points: DataFrame, layers: list[tuple[DataFrame, str]], key: str, zone: str, size: float, largest: bool = False, default: str = "remainder") -> DataFrame:
-    """Each point's zone: of the first layer with any that holds it the smallest, or largest, by area, ties to the smaller zone; then the default.
+    """Each point's zone: of the first layer with any that holds it the smallest, or largest, by area (to nine places), ties to the smaller zone; then the default.
 
     ``zone`` is text. The label of the layer is ``layer``."""
     out, tried, labels = points, [], []
     for i, (polygons, label) in enumerate(layers):
-        held = in_polygons(points, polygons.withColumn("_a", area(F.col("ring")) * (-1 if largest else 1)), size)
+        held = in_polygons(points, polygons.withColumn("_a", F.round(area(F.col("ring")) * (-1 if largest else 1), 9)), size)
         best = held.groupBy(key).agg(F.min(F.struct("_a", zone)).alias("_b")).select(key, F.col("_b")[zone].alias(f"_z{i}"))
         out = out.join(best, key, "left")
         tried.append(F.col(f"_z{i}"))
