@@ -214,12 +214,13 @@ def assign(points: DataFrame, layers: Sequence[tuple[DataFrame, str]], key: str,
     """Each point's zone (text), from the first layer (zone, rings) with any shape that holds it: the smallest by area, or the largest, ties to the smaller zone; then
     the default. The label of the layer is ``layer``. Points are (``key``, x, y) with any other columns."""
     out, tried, labels = points, [], []
+    places = points.select("x", "y").distinct()  # equal places are tried once
     for i, (shapes, label) in enumerate(layers):
         cells = Scratch(points.sparkSession, "assign").keep(covers(shapes, zone), "cells")
         sizes = areas(cells, zone).select(zone, F.round(F.col("area") * (-1 if largest else 1), 12).alias("_a"))
-        held = held_by(points.select(key, "x", "y"), cells).join(sizes, zone)
-        best = held.groupBy(key).agg(F.min(F.struct("_a", zone)).alias("_b")).select(key, F.col("_b")[zone].alias(f"_z{i}"))
-        out = out.join(best, key, "left")
+        held = held_by(places, cells).join(sizes, zone)
+        best = held.groupBy("x", "y").agg(F.min(F.struct("_a", zone)).alias("_b")).select("x", "y", F.col("_b")[zone].alias(f"_z{i}"))
+        out = out.join(best, ["x", "y"], "left")
         tried.append(F.col(f"_z{i}"))
         labels.append(F.when(F.col(f"_z{i}").isNotNull(), F.lit(label)))
     return out.withColumns({zone: F.coalesce(*tried, F.lit(default)), "layer": F.coalesce(*labels, F.lit("none"))}).drop(*[f"_z{i}" for i in range(len(layers))])
@@ -291,7 +292,10 @@ def inner_length(x0: float, y0: float, x1: float, y1: float, level: int, i: int,
 
 def lengths_inside(lines: DataFrame, cells: DataFrame, line: str, shape: str, path: str = "path") -> DataFrame:
     """line, shape and ``length``: how much of each line lies in each shape (given by its cover), where that is positive. Shapes may be concave and have holes."""
-    cut = Scratch(lines.sparkSession, "lines").keep(pieces(lines.withColumnRenamed(line, "_a"), "_a", path), "pieces")
+    scratch = Scratch(lines.sparkSession, "lines")
+    # Equal lines are measured once, under a number that is written with them.
+    paths = scratch.keep(lines.select(F.col(path).alias("_path")).distinct().withColumn("_a", F.monotonically_increasing_id()), "paths")
+    cut = scratch.keep(pieces(paths, "_a", "_path"), "pieces")
     b = cells.select(F.col(shape).alias("_b"), *[F.col(c).alias(f"{c}_2") for c in ("level", "i", "j", "inner", "edges")])
     up = lambda c, level, to: F.call_function("shiftright", F.col(c), F.col(level) - to)
 
@@ -314,4 +318,5 @@ def lengths_inside(lines: DataFrame, cells: DataFrame, line: str, shape: str, pa
 
     kinds = ", ".join(f"{k} {met.schema[k].dataType.simpleString()}" for k in ("_a", "_b"))
     sums = met.mapInArrow(run, f"{kinds}, length double").groupBy("_a", "_b").agg(F.sum("length").alias("length")).filter("length > 0")
-    return sums.withColumnsRenamed({"_a": line, "_b": shape})
+    named = lines.select(line, F.col(path).alias("_path")).join(paths, "_path").select(line, "_a")
+    return named.join(sums, "_a").select(line, F.col("_b").alias(shape), "length")
