@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tessarea.functions import normalise_name, zfill
 from tessarea.operators import distributed, entities, geo, rel
+from tessarea.operators.neighbours import nearest_places
 from tessarea.operators.rules import first_match
 from tessarea.plans.registry import Tables, query, r
 
@@ -165,8 +166,7 @@ def haversine_within_radius(t: Tables) -> DataFrame:
 @query(f"SELECT id, id2, round(km, 6) AS km FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), id2) AS k FROM (SELECT id, id2, {KM} AS km FROM {PLACES} CROSS JOIN {SITES}) WHERE km <= 20) WHERE k <= 2")
 def knn_pairs(t: Tables) -> DataFrame:
     """The two nearest within a radius."""
-    pairs = geo.within_km(places(t), sites(t), 20.0).withColumn("km", r("km"))
-    return geo.nearest(pairs, "id", [F.asc("km"), F.asc("id2")], 2).select("id", "id2", "km")
+    return nearest_places(places(t), sites(t), 2, within=20.0).select("id", "id2", r("km").alias("km"))
 
 
 @query(f"SELECT id FROM {PLACES} WHERE lat BETWEEN 40.5 AND 41.2 AND lon BETWEEN -74.8 AND -74.1")
