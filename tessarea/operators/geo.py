@@ -24,9 +24,13 @@ def within_km(left: DataFrame, right: DataFrame, km: float, on: list[str] | None
     at = lambda x, i: F.least(F.floor(x / 360.0 * cells(i)).cast("long"), cells(i) - 1)
     steps = F.array(*[F.lit(x) for x in (-1, 0, 1)])
     around = F.flatten(F.transform(steps, lambda a: F.array_distinct(F.transform(steps, lambda b: F.struct((band("lat") + a).alias("i"), F.pmod(at(lon("lon"), band("lat") + a) + b, cells(band("lat") + a)).alias("j"))))))
-    a = left.withColumn("_c", F.explode(around))
-    b = right.withColumn("_c", F.struct(band("lat2").alias("i"), at(lon("lon2"), band("lat2")).alias("j")))
-    return a.join(b, ["_c", *(on or [])]).drop("_c").withColumn("km", haversine_km("lat", "lon", "lat2", "lon2")).filter(F.col("km") <= km)
+    # Equal places are compared once, however many rows have them; the rows come back by equi-joins on the places.
+    on = list(on or [])
+    a = left.select(*on, "lat", "lon").distinct().withColumn("_c", F.explode(around))
+    b = right.select(*on, "lat2", "lon2").distinct().withColumn("_c", F.struct(band("lat2").alias("i"), at(lon("lon2"), band("lat2")).alias("j")))
+    near = a.join(b, ["_c", *on]).drop("_c").withColumn("km", haversine_km("lat", "lon", "lat2", "lon2")).filter(F.col("km") <= km)
+    met = left.join(near, [*on, "lat", "lon"]).join(right, [*on, "lat2", "lon2"])
+    return met.select(*on, *[c for c in left.columns if c not in on], *[c for c in right.columns if c not in on], "km")
 
 
 def nearest(pairs: DataFrame, key: str, order: list[Column], k: int = 1) -> DataFrame:
@@ -63,10 +67,11 @@ def assign(points: DataFrame, layers: list[tuple[DataFrame, str]], key: str, zon
 
     ``zone`` is text. The label of the layer is ``layer``."""
     out, tried, labels = points, [], []
+    places = points.select("x", "y").distinct()  # equal places are tried once
     for i, (polygons, label) in enumerate(layers):
-        held = in_polygons(points, polygons.withColumn("_a", F.round(area(F.col("ring")) * (-1 if largest else 1), 9)), size)
-        best = held.groupBy(key).agg(F.min(F.struct("_a", zone)).alias("_b")).select(key, F.col("_b")[zone].alias(f"_z{i}"))
-        out = out.join(best, key, "left")
+        held = in_polygons(places, polygons.withColumn("_a", F.round(area(F.col("ring")) * (-1 if largest else 1), 9)), size)
+        best = held.groupBy("x", "y").agg(F.min(F.struct("_a", zone)).alias("_b")).select("x", "y", F.col("_b")[zone].alias(f"_z{i}"))
+        out = out.join(best, ["x", "y"], "left")
         tried.append(F.col(f"_z{i}"))
         labels.append(F.when(F.col(f"_z{i}").isNotNull(), F.lit(label)))
     return out.withColumns({zone: F.coalesce(*tried, F.lit(default)), "layer": F.coalesce(*labels, F.lit("none"))}).drop(*[f"_z{i}" for i in range(len(layers))])
