@@ -9,6 +9,7 @@ from tessarea.operators import geo, rel, shapes
 from tessarea.operators.neighbours import nearest_places
 from tessarea.plans.general import KM, PLACES, SITES, places, sites
 from tessarea.plans.registry import Tables, query, r
+from tessarea.session import Scratch
 
 # Boxes of several sizes around points on a grid; id is a number, and corners run counter-clockwise.
 BOXES = "(SELECT s_suppkey AS id2, 40 + (s_suppkey * 53 % 1000) / 500.0 AS y0, -75 + (s_suppkey * 71 % 1000) / 500.0 AS x0, 0.1 + (s_suppkey % 7) * 0.05 AS w, 0.1 + (s_suppkey % 5) * 0.05 AS h FROM supplier)"
@@ -40,6 +41,11 @@ def points(t: Tables) -> DataFrame:
     return places(t).select("id", (F.col("lon") + 0.0007).alias("x"), (F.col("lat") + 0.0007).alias("y"))
 
 
+def summed_places(t: Tables) -> DataFrame:
+    """How many points each place has, and their weights: sums by zone need no more, so equal places meet the zones once."""
+    return points(t).groupBy("x", "y").agg(F.count("*").alias("n"), F.sum(F.col("id") % 11).alias("v"))
+
+
 HELD = f"(SELECT id, id2, w * h AS a FROM {PLACES} JOIN {BOXES} ON lon + 0.0007 > x0 AND lon + 0.0007 < x0 + w AND lat + 0.0007 > y0 AND lat + 0.0007 < y0 + h)"
 
 
@@ -85,12 +91,13 @@ SELECT id, class, round(sum(least(a + n, x0 + w) - greatest(a, x0)), 6) AS lengt
 def clipped_lines(t: Tables) -> DataFrame:
     """Length of lines within zones by class (C20). Lines meet the zones of the cells that they cross."""
     k = F.col("p_partkey")
+    # A line and a zone meet in several cells: they are kept in the first column that both have, so no pair has to be found again.
     lines = t.part.select(k.alias("line"), F.col("p_type").alias("class"), (-75.1 + (k * 13 % 100) / 50.0).alias("x"), (40.0003 + (k * 29 % 1000) / 500.0).alias("y"), (0.05 + (k % 9) * 0.1).alias("n"))
     cell = lambda x: F.floor(x / 0.4).cast("long")
-    spread = lines.withColumns({"i": F.explode(F.sequence(cell(F.col("x")), cell(F.col("x") + F.col("n")))), "j": cell(F.col("y"))})
+    spread = lines.withColumns({"from": cell(F.col("x")), "i": F.explode(F.sequence(cell(F.col("x")), cell(F.col("x") + F.col("n")))), "j": cell(F.col("y"))})
     corner = lambda c, k_: F.element_at(F.col("ring"), k_)[c]
-    z = tiles(t).withColumn("i", F.explode(F.sequence(cell(corner("x", 1)), cell(corner("x", 3))))).withColumn("j", F.explode(F.sequence(cell(corner("y", 1)), cell(corner("y", 3)))))
-    met = spread.join(z, ["i", "j"]).dropDuplicates(["line", "id"])
+    z = tiles(t).withColumn("from2", cell(corner("x", 1))).withColumn("i", F.explode(F.sequence(cell(corner("x", 1)), cell(corner("x", 3))))).withColumn("j", F.explode(F.sequence(cell(corner("y", 1)), cell(corner("y", 3)))))
+    met = spread.join(z, ["i", "j"]).filter(F.col("i") == F.greatest("from", "from2"))
     length = geo.clipped_length(F.col("x"), F.col("y"), F.col("x") + F.col("n"), F.col("y"), F.col("ring"))
     return met.groupBy("id", "class").agg(F.sum(length).alias("length")).filter("length > 1e-6").select("id", "class", r("length").alias("length"))
 
@@ -98,15 +105,15 @@ def clipped_lines(t: Tables) -> DataFrame:
 @query(f"SELECT id, id2, round(km, 6) AS km FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), id2) AS k FROM (SELECT id, id2, {KM} AS km FROM {PLACES} JOIN {SITES} ON id % 5 = id2 % 5) WHERE km <= 60) WHERE k = 1")
 def nearest_within_group(t: Tables) -> DataFrame:
     """The nearest of one's own group within a radius."""
-    pairs = geo.within_km(places(t).withColumn("g", F.col("id") % 5), sites(t).withColumn("g", F.col("id2") % 5), 60.0, ["g"])
-    return geo.nearest(pairs.withColumn("km", r("km")), "id", [F.asc("km"), F.asc("id2")]).select("id", "id2", "km")
+    own = lambda df, c: df.withColumn("g", F.col(c) % 5)
+    return nearest_places(own(places(t), "id"), own(sites(t), "id2"), 1, ["g"], within=60.0).select("id", "id2", r("km").alias("km"))
 
 
 @query(f"SELECT id2 AS zone, count(*) AS pixels, sum(id % 11)::BIGINT AS mass FROM {HELD} GROUP BY id2")
 def pixel_sums(t: Tables) -> DataFrame:
     """Pixels and their weights by the zone in which their centre lies."""
-    held = geo.in_polygons(points(t).withColumn("v", F.col("id") % 11), zones_of_sites(t), 0.2)
-    return held.groupBy(F.col("zone").cast("long").alias("zone")).agg(F.count("*").alias("pixels"), F.sum("v").alias("mass"))
+    held = geo.in_polygons(summed_places(t), zones_of_sites(t), 0.2)
+    return held.groupBy(F.col("zone").cast("long").alias("zone")).agg(F.sum("n").alias("pixels"), F.sum("v").alias("mass"))
 
 
 @query("""WITH k AS (SELECT user_id % 12 AS place, unnest(CASE event_type WHEN 'click' THEN ['seen', 'active'] WHEN 'purchase' THEN ['active', 'paid'] ELSE ['seen'] END) AS label FROM events)
@@ -197,8 +204,8 @@ def areas_of_shapes(t: Tables) -> DataFrame:
 AND NOT (lon + 0.0007 > p0 AND lon + 0.0007 < p1 AND lat + 0.0007 > q0 AND lat + 0.0007 < q1) GROUP BY id2""")
 def points_in_shapes(t: Tables) -> DataFrame:
     """Points in shapes with holes."""
-    held = shapes.held_by(points(t), shapes.covers(holed(t), "id2"))
-    return held.groupBy("id2").agg(F.count("*").alias("n"), F.sum(F.col("id") % 11).alias("mass"))
+    held = shapes.held_by(summed_places(t), Scratch(t.spark, "covers").keep(shapes.covers(holed(t), "id2"), "covers"))
+    return held.groupBy("id2").agg(F.sum("n").alias("n"), F.sum("v").alias("mass"))
 
 
 @query(f"""WITH h AS (SELECT p.id, id2, (x1 - x0) * (y1 - y0) AS a FROM {PLACES} p JOIN {HOLED} b ON lon + 0.0007 > x0 AND lon + 0.0007 < x1 AND lat + 0.0007 > y0 AND lat + 0.0007 < y1

@@ -6,7 +6,9 @@ import random
 import numpy as np
 import pytest
 
-from tessarea.operators import neighbours, shapes
+from pyspark.sql import functions as F
+
+from tessarea.operators import geo, neighbours, shapes
 from tessarea.operators.neighbours import nearest_places, neighbour_graph
 
 
@@ -181,3 +183,32 @@ def test_assignment_by_layers_of_shapes(spark):
     got = lambda largest: {r.id: (r.zone, r.layer) for r in shapes.assign(points, [(first, "a"), (second, "b")], "id", "zone", largest).collect()}
     assert got(False) == {1: ("small", "a"), 2: ("big", "a"), 3: ("wide", "b"), 4: ("remainder", "none")}
     assert got(True)[1] == ("big", "a")
+
+
+def test_equal_places_and_lines_are_tried_once(spark, monkeypatch):
+    tried = {}
+
+    def counting(module, name):
+        plain = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda first, *rest, **more: tried.update({name: first.count()}) or plain(first, *rest, **more))
+
+    counting(geo, "in_polygons"), counting(shapes, "held_by"), counting(shapes, "pieces")
+    points = spark.range(600).select("id", (F.col("id") % 3 + 0.5).cast("double").alias("x"), F.lit(0.5).alias("y"))
+    zones = spark.createDataFrame([("a", [(0.0, 0.0), (2.0, 0.0), (2.0, 1.0), (0.0, 1.0)])], "zone string, ring array<struct<x: double, y: double>>")
+    rings = zones.select("zone", F.array("ring").alias("rings"))
+    for got in (geo.assign(points, [(zones, "l")], "id", "zone", 0.5), shapes.assign(points, [(rings, "l")], "id", "zone")):
+        assert {(r.zone, r["count"]) for r in got.groupBy("zone").count().collect()} == {("a", 400), ("remainder", 200)}
+    lines = spark.range(600).select("id", F.array(*[F.struct(x.cast("double").alias("x"), F.lit(0.3).alias("y")) for x in (F.lit(1.5), 2.5 + F.col("id") % 2)]).alias("path"))
+    inside = shapes.lengths_inside(lines, shapes.covers(rings, "zone"), "id", "zone")
+    assert [(r["count"], round(r["sum(length)"], 9)) for r in inside.groupBy("zone").agg(F.count("*").alias("count"), F.sum("length")).collect()] == [(600, 300.0)]
+    assert tried == {"in_polygons": 3, "held_by": 3, "pieces": 2}
+
+
+def test_nearest_within_a_radius(spark):
+    rng = random.Random(4)
+    left = spark.createDataFrame([(i, *somewhere(rng, True)) for i in range(60)], "id long, lat double, lon double")
+    right = spark.createDataFrame([(i, *somewhere(rng, True)) for i in range(40)], "id2 long, lat2 double, lon2 double")
+    every = geo.nearest(geo.within_km(left, right, 0.4).withColumn("km", F.round("km", 6)), "id", [F.asc("km"), F.asc("id2")], 2)
+    got = nearest_places(left, right, 2, within=0.4).select("id", "id2")
+    assert sorted(got.collect()) == sorted(every.select("id", "id2").collect())
+    assert 0 < got.count() < 120
