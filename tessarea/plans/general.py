@@ -10,6 +10,7 @@ from tessarea.functions import normalise_name, zfill
 from tessarea.operators import distributed, entities, geo, rel
 from tessarea.operators.neighbours import nearest_places
 from tessarea.operators.rules import first_match
+from tessarea.plans.entities import nation_match
 from tessarea.plans.registry import Tables, query, r
 
 
@@ -91,9 +92,7 @@ k AS (SELECT *, rank() OVER (PARTITION BY s_suppkey ORDER BY pri, gap) AS k FROM
 SELECT s_suppkey, c_custkey FROM b WHERE n = 1""")
 def scored_unique_best_match(t: Tables) -> DataFrame:
     """The best score tuple is accepted if one entity alone holds it."""
-    gap = F.bround(F.abs(F.col("s_acctbal") - F.col("c_acctbal")) / 1000).cast("int")
-    pairs = t.supplier.join(t.customer, F.col("s_nationkey") == F.col("c_nationkey"))
-    return entities.scored_match(pairs, "s_suppkey", "c_custkey", F.lit(True), [F.when(F.col("s_suppkey") % 10 == F.col("c_custkey") % 10, 0).otherwise(1), gap])
+    return nation_match(t.supplier, t.customer, lambda a, b: F.bround(F.abs(a - b) / 1000).cast("int"))
 
 
 @query("""WITH b AS (SELECT item_id, list_distinct(string_split(lower(text), ' ')) AS ws FROM benchmark) SELECT a.item_id AS a, b.item_id AS b, len(list_intersect(a.ws, b.ws)) AS common FROM b a JOIN b ON a.item_id < b.item_id WHERE len(list_intersect(a.ws, b.ws)) > 0""")

@@ -271,3 +271,41 @@ def test_stability_of_a_choice(spark):
         mean, se, _ = min(found)
         won += min(o for v, _, o in found if v <= mean + se) == 0.5
     assert got[0.5].chosen_share == pytest.approx(won / 300)
+
+
+def test_nearest_match_equals_all_pairs(spark):
+    rng = random.Random(3)
+    value = lambda: rng.choice([None, *[round(rng.uniform(-999, 9999), 2) for _ in range(30)], 100.0, 1100.0, 2100.0])
+    rows = [(i, rng.randrange(4), value()) for i in range(150)]
+    others = [(i % 40, rng.randrange(5) // 2 + 1, value()) for i in range(70)]
+    gap = lambda a, b: F.floor(F.abs(a - b) / 1000).cast("int")
+    far = float("inf")
+    plain = {}
+    for i, block, v in rows:
+        near = [(far if v is None or w is None else abs(v - w) // 1000, e) for e, b, w in others if b == block]
+        if near:
+            best = {e for g, e in near if g == min(near)[0]}
+            plain[i] = min(best) if len(best) == 1 else None
+    a, b = spark.createDataFrame(rows, "r long, b int, v double"), spark.createDataFrame(others, "e long, b int, w double")
+    assert {x.r: x.e for x in entities.nearest_match(a, b, ["b"], "r", "e", "v", "w", gap).collect()} == plain
+
+
+def test_blocks_resolve_as_their_pairs_do(spark):
+    rng = random.Random(5)
+    rows = spark.createDataFrame([(i, rng.randrange(12)) for i in range(60)], "r long, b int")
+    others = spark.createDataFrame([(rng.randrange(30), rng.randrange(10), rng.random() < 0.4, rng.random() < 0.3) for _ in range(25)], "e long, b int, a boolean, p boolean")
+    flags = ("r", "e", F.col("a"), F.col("p"))
+    blocks = entities.resolution_by_block(rows, others, ["b"], *flags)
+    assert sorted(blocks.collect()) == sorted(entities.resolution(rows.join(others, "b"), *flags).collect())
+    assert blocks.select("status").distinct().count() > 1
+
+
+def test_names_with_many_bearers_meet_rows_once(spark, monkeypatch):
+    aliases = spark.range(500).select(F.lit(1).alias("scope"), F.lit("x").alias("name"), F.col("id").alias("entity"), F.lit(0).alias("priority"))
+    made = {}
+    plain = type(aliases).join
+    monkeypatch.setattr(type(aliases), "join", lambda self, other, *rest, **more: made.update({len(made): plain(self, other, *rest, **more)}) or made[len(made) - 1])
+    rows = spark.range(20).select(F.col("id").alias("row"))
+    candidates = rows.select("row", F.lit(1).alias("scope"), F.lit("x").alias("name"), F.lit(0).alias("tier"))
+    assert entities.tiered_match(rows, "row", candidates, aliases, ["scope"]).filter("entity IS NULL").count() == 20
+    assert max(df.count() for df in made.values()) == 20
