@@ -82,13 +82,18 @@ def override(df: DataFrame, registry: DataFrame, keys: Sequence[str], columns: S
 def succession(last_seen: DataFrame, footprint: DataFrame, entity: str, unit: str, now: int, silence: int = 2) -> DataFrame:
     """dead, live: entities silent for more than ``silence`` years all of whose units one live entity covers; the smallest such one.
 
-    ``last_seen`` has (entity, last), ``footprint`` distinct (entity, unit)."""
-    units = footprint.join(last_seen, entity).withColumn("_dead", F.col("last") < now - silence)
-    dead = units.filter("_dead").select(F.col(entity).alias("dead"), unit)
-    sizes = dead.groupBy("dead").agg(F.count("*").alias("size"))
-    live = units.filter("NOT _dead").select(F.col(entity).alias("live"), unit)
-    covered = dead.join(live, unit).groupBy("dead", "live").agg(F.count("*").alias("shared")).join(sizes, "dead").filter("shared = size")
-    return covered.groupBy("dead").agg(F.min("live").alias("live"))
+    ``last_seen`` has (entity, last), ``footprint`` distinct (entity, unit). Equal footprints are one, and a dead one meets just those live ones that
+    have its rarest unit: pairs are tested where they meet and never shuffled. A NULL unit is covered by nothing."""
+    units = footprint.join(last_seen.select(entity, (F.col("last") < now - silence).alias("_dead")).filter("_dead IS NOT NULL"), entity)
+    sets = rel.once(units.groupBy(entity, "_dead").agg(F.array_sort(F.collect_set(unit)).alias("_units"), F.count_if(F.col(unit).isNull()).alias("_unknown")), "sets")
+    dead = sets.filter("_dead AND _unknown = 0").select(F.col(entity).alias("dead"), "_units")
+    live = rel.once(sets.filter("NOT _dead").groupBy("_units").agg(F.min(entity).alias("live")), "live")
+    listed = live.select("live", F.col("_units").alias("_theirs"), F.explode("_units").alias("_unit"))
+    common = listed.groupBy("_unit").agg(F.count("*").alias("_n"))
+    wanted = dead.select("_units").distinct().withColumn("_unit", F.explode("_units")).join(common, "_unit", "left")
+    rarest = wanted.groupBy("_units").agg(F.min_by("_unit", F.struct(F.coalesce("_n", F.lit(0)), "_unit")).alias("_unit"))
+    covered = rarest.join(listed, "_unit").filter(F.size(F.array_except("_units", "_theirs")) == 0).groupBy("_units").agg(F.min("live").alias("live"))
+    return dead.join(covered, "_units").select("dead", "live")
 
 
 def sane_or_ladder(df: DataFrame, entity: Sequence[str], current: str, annualised: str, ladder: str, panel_most: str, times: float = 3.0) -> DataFrame:

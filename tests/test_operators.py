@@ -309,3 +309,23 @@ def test_names_with_many_bearers_meet_rows_once(spark, monkeypatch):
     candidates = rows.select("row", F.lit(1).alias("scope"), F.lit("x").alias("name"), F.lit(0).alias("tier"))
     assert entities.tiered_match(rows, "row", candidates, aliases, ["scope"]).filter("entity IS NULL").count() == 20
     assert max(df.count() for df in made.values()) == 20
+
+
+def test_succession_meets_equal_footprints_once(spark, monkeypatch):
+    rng = random.Random(8)
+    kinds = [sorted(rng.sample(range(8), rng.randrange(1, 5))) for _ in range(20)]
+    held = {i: kinds[rng.randrange(20)] for i in range(400)}
+    last = {i: 1990 if rng.random() < 0.5 else 2001 for i in held}
+    plain = {}
+    for i in held:
+        found = [j for j in held if last[j] == 2001 and set(held[i]) <= set(held[j])]
+        if last[i] == 1990 and found and i != 7:
+            plain[i] = min(found)
+    rows = [(i, u) for i in held for u in held[i]] + [(7, None)]
+    last[7] = 1990
+    made, join = [], type(spark.range(1)).join
+    monkeypatch.setattr(type(spark.range(1)), "join", lambda self, *rest, **more: made.append(join(self, *rest, **more)) or made[-1])
+    out = ledgers.succession(spark.createDataFrame(list(last.items()), "e long, last int"), spark.createDataFrame(rows, "e long, u int"), "e", "u", 2001)
+    plain = {i: min(j for j in held if last[j] == 2001 and set(held[i]) <= set(held[j])) for i in plain if any(last[j] == 2001 and set(held[i]) <= set(held[j]) for j in held)}
+    assert {r.dead: r.live for r in out.collect()} == plain
+    assert max(df.count() for df in made) <= len(rows)
