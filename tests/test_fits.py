@@ -122,3 +122,20 @@ def test_the_plan_does_not_grow_with_the_rows(spark):
     assert sizes[0][0] == sizes[1][0] and abs(sizes[0][1] - sizes[1][1]) < 50
     constant = fits.monotone_splines(spark.range(9).select(F.lit(1.0).alias("x"), F.col("id").cast("double").alias("y")), {"x": True}, "y")
     assert constant.weights.tolist() == pytest.approx([4.0])
+
+
+def test_held_out_makes_its_frame_once(spark):
+    from pyspark.sql import functions as F
+
+    from tessarea.operators import ml
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(x):
+        made.add(1)
+        return float(x % 7)
+
+    df = spark.range(300).select("id", seen("id").alias("a"), (F.col("id") * 2.0).alias("y"))
+    assert ml.held_out(df, ml.ridge(["a"], "y"), "id", 2).count() == 300
+    assert made.value == 300
