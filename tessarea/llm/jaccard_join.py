@@ -11,7 +11,8 @@
    those that sizes and places rule out. Lists by a heavy shingle arise for sets that consist of shared shingles almost
    wholly, that is for large families of near copies. There each set is paired with three hubs of its list; once what
    the links join is known, only sets outside their list's main component are paired with the members of other
-   components. So no link between components is missed, and no pairs within a component are listed.
+   components, nearest first in rounds, and each pair in the first list that it has in common. So no link between
+   components is missed, and no pairs within a component as known by the round are listed.
 4. Pairs pass a bound first: each set has a parity bitmap (bit i is the number of its hashes that are i modulo the width,
    modulo 2); two bitmaps differ in at most as many bits as their sets have shingles in but one of them.
 5. What is left is joined exactly. The candidates of a set form a trie in the global order, most frequent first, each
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -45,6 +47,8 @@ from tessarea.llm.graph import components
 from tessarea.session import Scratch
 
 HEAVY, BITS, CHUNK, GROUP = 64, 48, 400_000, 500_000  # sets; bits; shingles a chunk; shingles a group of a shuffle
+BLOCK, FIRSTS = 512, 64  # sets of a heavy list that a task compares with as many; heavy shingles by which a pair's lists are told apart
+NEAREST = (0, 4, 64, 1 << 60)  # of a set's candidates in a block, nearest first, those of each round
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -220,8 +224,8 @@ def _codes(chunks: DataFrame, owned: DataFrame, parts: int) -> DataFrame:
 
 
 def _prefixes(chunks: DataFrame, told: DataFrame, num: int, den: int, heavy: int) -> DataFrame:
-    """sid, n, bits, light with place, and hot (packed): the shingles of a set's prefix that other sets have too. Sets without any are left out."""
-    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), *[(c, pa.binary()) for c in ("bits", "light", "place", "hot")]])
+    """sid, n, bits, light with place, and hot (packed): the shingles of a set's prefix that other sets have too; firsts are the smallest of hot, ascending. Sets without any are left out."""
+    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), *[(c, pa.binary()) for c in ("bits", "light", "place", "hot", "firsts")]])
 
     def run(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
         out: list[list] = [[] for _ in schema]
@@ -231,11 +235,11 @@ def _prefixes(chunks: DataFrame, told: DataFrame, num: int, den: int, heavy: int
             if first[-1] < 2:
                 continue
             light, hot = np.flatnonzero((first > 1) & (first < heavy)), np.flatnonzero(first >= heavy)
-            for column, value in zip(out, (sid, n, bitmap(h), h[light].tobytes(), light.astype(np.int32).tobytes(), h[hot].tobytes()), strict=True):
+            for column, value in zip(out, (sid, n, bitmap(h), h[light].tobytes(), light.astype(np.int32).tobytes(), h[hot].tobytes(), np.sort(h[hot])[:FIRSTS].tobytes()), strict=True):
                 column.append(value)
         yield batch(schema, *out)
 
-    return _at_chunks(chunks, told, run, "sid long, n long, bits binary, light binary, place binary, hot binary")
+    return _at_chunks(chunks, told, run, "sid long, n long, bits binary, light binary, place binary, hot binary, firsts binary")
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
@@ -386,42 +390,55 @@ def _bounded(pairs: DataFrame, uniq: DataFrame, num: int, den: int) -> DataFrame
     return wide.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long, n_b long")
 
 
-def _across(placed: DataFrame, uniq: DataFrame, num: int, den: int, block: int = 512) -> DataFrame:
-    """Of the heavy lists (token, sid, root) that have several roots: the pairs of different roots that sizes and bitmaps can't rule out.
+def _across(placed: DataFrame, uniq: DataFrame, roots: DataFrame, num: int, den: int, since: int, until: int, block: int = BLOCK) -> DataFrame:
+    """Of the heavy lists (token, sid, root) that have several roots: the pairs of different roots that sizes and bitmaps can't rule out, as (a, b, n_b), and a row of zeros where some are left.
 
-    Sets outside their list's main component meet all sets of the list in blocks; a task compares two blocks' bitmaps and lists what is left alone."""
+    Sets outside their list's main component meet all sets of the list in blocks; a task compares two blocks' bitmaps and lists what is left alone.
+    A pair belongs to the first list that has both its sets (as far as their ``firsts`` tell), and there to one set, which lists of its
+    candidates in a block, nearest first, those from ``since`` to ``until``. ``placed`` fixes whose a pair is and stays the same from call to
+    call; ``roots`` (node, root) is what links join by now, and pairs within a root of that are not listed."""
     sizes = placed.groupBy("token", "root").agg(F.count("*").alias("c"))
     lists = sizes.groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.max("c").alias("most"), F.sum("c").alias("all"), F.count("*").alias("roots"))
     lists = lists.filter("roots > 1").select("token", "main", F.ceil((F.col("all") - F.col("most")) / block).alias("ki"), F.ceil(F.col("all") / block).alias("kj"))
-    rows = placed.join(lists, "token").join(uniq.select("sid", "n", "bits"), "sid")
+    now = roots.select(F.col("node").alias("sid"), F.col("root").alias("now"))
+    rows = placed.join(lists, "token").join(uniq.select("sid", "n", "bits", "firsts"), "sid").join(now, "sid", "left").withColumns({"outer": F.col("root") != F.col("main"), "now": F.coalesce("now", "sid")})
     deal = lambda k: F.pmod(F.xxhash64("sid"), F.col(k))
     every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
-    outside = rows.filter("root <> main").select("token", deal("ki").alias("i"), every("kj").alias("j"), "sid", "root", "n", "bits")
+    columns = ("sid", "root", "now", "n", "outer", "firsts", "bits")
+    outside = rows.filter("outer").select("token", deal("ki").alias("i"), every("kj").alias("j"), *columns)
     # Both sides come from one frame, so the columns of one get names (and ids) of their own.
-    own = [F.col(c).alias(f"{c}_2") for c in ("sid", "root", "n", "bits")]
-    whole = rows.select(F.col("token").alias("t"), every("ki").alias("p"), deal("kj").alias("q"), *own)
+    whole = rows.select(F.col("token").alias("t"), every("ki").alias("p"), deal("kj").alias("q"), *[F.col(c).alias(f"{c}_2") for c in columns])
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        right = right.rename(columns=lambda c: c.removesuffix("_2"))
-        for x in _by_width(left):
-            for y in _by_width(right):
-                p, q = (_folded(z[0], min(x[0].shape[1], y[0].shape[1])) for z in (x, y))
-                for bits, sid, root, n in zip(p, *x[1:], strict=True):
-                    apart = np.bitwise_count(q ^ bits).sum(1, dtype=np.int64)
-                    stays = (y[2] != root) & (apart <= n + y[3] - 2 * needed(n, y[3], num, den)) & (den * n >= num * y[3]) & (den * y[3] >= num * n)
-                    found += [(min(int(sid), o), max(int(sid), o), max(int(n), k)) for o, k in zip(y[1][stays].tolist(), y[3][stays].tolist(), strict=True)]
-        return pd.DataFrame(found, columns=["a", "b", "n_b"]).drop_duplicates().astype("int64")
+        found, more = [], False
+        if len(left) and len(right):
+            token = left["token"].iloc[0]
+            right = _by_width(right.rename(columns=lambda c: c.removesuffix("_2")), token)
+            for x in _by_width(left, token):
+                folded = [(_folded(y[0], min(x[0].shape[1], y[0].shape[1])), y) for y in right]
+                for k, (sid, root, now, n, before) in enumerate(zip(*x[1:5], x[6], strict=True)):
+                    near = []
+                    for bits, (_, sids, roots, nows, sizes, outer, befores) in folded:
+                        apart = np.bitwise_count(bits ^ _folded(x[0][k : k + 1], bits.shape[1])).sum(1, dtype=np.int64)
+                        # A pair of two outside sets is listed by the smaller one.
+                        stays = (roots != root) & (~outer | (sids > sid)) & (apart <= n + sizes - 2 * needed(n, sizes, num, den)) & (den * n >= num * sizes) & (den * sizes >= num * n)
+                        at = [i for i in np.flatnonzero(stays) if not np.isin(befores[i], before).any()]
+                        near += zip(*(c[at].tolist() for c in (apart, sids, nows, sizes)), strict=True)
+                    near.sort()
+                    more |= any(o != now for *_, o, _ in near[until:])
+                    found += [(min(int(sid), y), max(int(sid), y), max(int(n), m)) for _, y, o, m in near[since:until] if o != now]
+        return pd.DataFrame([*found, *[(0, 0, 0)] * more], columns=["a", "b", "n_b"]).astype("int64")
 
     met = outside.groupBy("token", "i", "j").cogroup(whole.groupBy("t", "p", "q")).applyInPandas(meet, "a long, b long, n_b long")
     return met.groupBy("a", "b").agg(F.max("n_b").alias("n_b"))
 
 
-def _by_width(rows: pd.DataFrame) -> list[tuple[np.ndarray, ...]]:
-    """Bitmaps (rows of 64-bit words), sids, roots and sizes, by the bitmaps' width."""
+def _by_width(rows: pd.DataFrame, token: int) -> list[tuple]:
+    """Bitmaps (rows of 64-bit words), sids, roots before and now, sizes, whether outside, and the firsts below ``token``, by the bitmaps' width."""
     out = []
     for _, part in rows.groupby(rows["bits"].map(len)):
-        out.append((np.frombuffer(b"".join(part["bits"]), np.uint64).reshape(len(part), -1), part["sid"].to_numpy(), part["root"].to_numpy(), part["n"].to_numpy()))
+        firsts = [x[x < token] for x in (np.frombuffer(x, np.int64) for x in part["firsts"])]
+        out.append((np.frombuffer(b"".join(part["bits"]), np.uint64).reshape(len(part), -1), *(part[c].to_numpy() for c in ("sid", "root", "now", "n", "outer")), firsts))
     return out
 
 
@@ -489,13 +506,17 @@ def classed(docs: DataFrame, size: int, num: int, den: int, heavy: int, out: Scr
         first = scratch.keep(_bounded(light.unionByName(star).distinct(), prefixes, num, den), "first")
         links = _verified(first, chunks, told, homes.select("sid", "chunk"), num, den, scratch)
         roots = scratch.keep(components(links, scratch), "roots")
-        # Heavy lists whose members are in several components still.
+        # Heavy lists whose members are in several components still. The nearest candidates come first: what they join needs no others.
         placed = hot.select("token", "sid").join(roots, F.col("sid") == F.col("node"), "left").select("token", "sid", F.coalesce("root", "sid").alias("root"))
         placed = scratch.keep(placed, "placed")
-        second = scratch.keep(_across(placed, prefixes, num, den), "second")
-        if not second.isEmpty():
-            links = links.unionByName(_verified(second, chunks, told, homes.select("sid", "chunk"), num, den, scratch))
-            roots = scratch.keep(components(links, scratch), "roots")
+        for since, until in pairwise(NEAREST):
+            met = scratch.keep(_across(placed, prefixes, roots, num, den, since, until), "second")
+            second = met.filter("n_b > 0")
+            if not second.isEmpty():
+                links = scratch.keep(links.unionByName(_verified(second, chunks, told, homes.select("sid", "chunk"), num, den, scratch)), "links")
+                roots = scratch.keep(components(links, scratch), "roots")
+            if met.filter("n_b = 0").isEmpty():
+                break
         table = homes.join(roots, F.col("sid") == F.col("node"), "left").select("sid", "class_size", F.coalesce("root", "sid").alias("root"))
         return out.keep(members.join(table, "sid", "left").select("doc_id", "key", "n", "sid", "root", "class_size"), "classed")
 

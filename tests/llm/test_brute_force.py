@@ -64,6 +64,39 @@ def test_jaccard_components(docs, rows, size, num, den, heavy):
             assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), want[r.doc_id])
 
 
+def test_sets_of_heavy_lists_are_listed_once(spark, monkeypatch):
+    """Near copies of one text of which few pairs link: what is listed grows with the sets, not with their pairs by list."""
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+
+    rng, whole, made = random.Random(3), PandasCogroupedOps.applyInPandas, []
+
+    def counted(self, run, schema):
+        if "n_b" not in schema:
+            return whole(self, run, schema)
+        rows = spark.sparkContext.accumulator(0)
+        made.append(rows)
+
+        def each(left, right):
+            out = run(left, right)
+            rows.add(len(out))
+            return out
+
+        return whole(self, each, schema)
+
+    texts = []
+    for _ in range(400):
+        words = [f"w{i}" for i in range(300)]
+        for i in rng.sample(range(300), 4):
+            words[i] = f"x{rng.randrange(40)}"
+        texts.append(" ".join(words))
+    want = linked({i: shingle_set(t, 4) for i, t in enumerate(texts)}, 85, 100)
+    assert 10 < len(set(want.values())) < 100
+    monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(df, 4, 85, 100, heavy=4).collect()} == want
+    assert 0 < sum(rows.value for rows in made) < 4 * len(texts)
+
+
 def test_documents_without_id_link_others(spark):
     """A chain whose middle has no doc_id, alone or as one of several, and components of nothing else."""
     rng = random.Random(21)
