@@ -406,6 +406,19 @@ def test_random_strings_are_told_from_identifiers(docs):
     assert [tuple(r) for r in hidden] == [("see [secret] here", len("see [secret] here"))]
 
 
+def test_ordinary_words_come_from_all_documents(spark):
+    """A run that is an ordinary word of 500 of 5,000 documents, wherever they stand among them; a word may end in any line separator."""
+    run = "qzXvKjWqGzPxYvBkQ"
+    others = spark.range(5_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 > 0, "some plain words of a text").otherwise(f"{run} with abcdefghijklm\u2028").alias("text"))
+    # By the hash that once chose 2,000 of them, documents with the run come last.
+    order = others.withColumn("has", F.col("text").startswith(run)).select("has", "text").orderBy("has").toPandas()["text"].tolist()
+    ids = spark.range(5_000).orderBy(F.xxhash64("id")).toPandas()["id"].tolist()
+    df = spark.createDataFrame(list(zip(map(int, ids), order, strict=True)), "doc_id long, text string")
+    assert not spans_of(f"see {run} here", fit_on_documents(df))
+    plain = df.filter(~F.col("text").startswith(run))
+    assert [k for k, *_ in spans_of(f"see {run} here", fit_on_documents(plain))] == ["random"]
+
+
 def test_random_spans_on_labelled_strings(spark):
     """Precision and recall of the method's own spans: seeded random strings against identifiers, paths and words run together."""
     model = fit_on_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
