@@ -41,7 +41,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are masked, and no row goes. A null text stays null, an empty one empty; n_chars follows the text."""
+    """Secrets in the texts are masked, and no row goes; what is ordinary is learned from all texts. A null text stays null, an empty one empty; n_chars follows the text."""
     return redact(docs, fit_on_documents(docs))
 
 

@@ -419,6 +419,16 @@ def test_ordinary_words_come_from_all_documents(spark):
     assert [k for k, *_ in spans_of(f"see {run} here", fit_on_documents(plain))] == ["random"]
 
 
+def test_pipeline_masks_no_word_of_other_documents(spark):
+    """The pipeline's stage learns from all texts: a run of 500 of 5,000 documents is not masked, though 2,000 of them would lack it."""
+    from corpus_pipeline import secret_scan
+
+    run = "see qzXvKjWqGzPxYvBkQ here"
+    ids = [r.id for r in spark.range(5_000).orderBy(F.xxhash64("id")).collect()]
+    df = spark.createDataFrame([(i, run if k >= 4_500 else "some plain words of a text", 0) for k, i in enumerate(ids)], "doc_id long, text string, n_chars int")
+    assert secret_scan(spark, df, "").filter(F.col("text") == run).count() == 500
+
+
 def test_random_spans_on_labelled_strings(spark):
     """Precision and recall of the method's own spans: seeded random strings against identifiers, paths and words run together."""
     model = fit_on_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
