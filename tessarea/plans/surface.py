@@ -46,9 +46,9 @@ def nulls_last_sort(t: Tables) -> DataFrame:
     summed = t.orders.select(F.col("o_custkey").alias("cust"), F.year("o_orderdate").alias("yr"), "o_orderkey", "o_totalprice").withColumns({"n": F.count("*").over(w), "amount": F.sum("o_totalprice").over(w)})
     exact = summed.groupBy("cust", "yr").agg(F.max("n").alias("n"), F.max_by("amount", "n").alias("amount"))
     rows = exact.select("cust", "yr", F.when(F.col("n") > 1, F.col("n")).alias("n"), "amount")
-    # Ranks of the whole table by ranges; descending and NULLs last are columns of their own.
-    keys = rows.withColumns({"_no_n": F.col("n").isNull().cast("int"), "_down": -F.col("n"), "_no_amount": F.col("amount").isNull().cast("int")})
-    placed = distributed.positions(keys, ["_no_n", "_down", "_no_amount", "amount", "cust", "yr"], "place")
+    # Ranks of the whole table by ranges; descending and NULLs last are columns of their own, those of the keys too: SQL puts them last.
+    keys = rows.withColumns({"_down": -F.col("n")} | {f"_no_{c}": F.col(c).isNull().cast("int") for c in ("n", "amount", "cust", "yr")})
+    placed = distributed.positions(keys, ["_no_n", "_down", "_no_amount", "amount", "_no_cust", "cust", "_no_yr", "yr"], "place")
     return placed.select("cust", "yr", "n", "amount", (F.col("place") + 1).alias("place"))
 
 

@@ -58,6 +58,18 @@ def test_equal_orders_rank_by_key_however_files_lie(spark, tmp_path):
     assert got == {0: (1, 0.1 + 0.2 + 0.3), 1: (2, 0.1 + 0.2 + 0.3)}
 
 
+def test_rows_without_keys_come_last_among_equals(spark, tmp_path):
+    """A NULL customer or year stands behind the others that have its amount, as in SQL."""
+    day = pd.Timestamp("1999-05-01")
+    rows = [(1, None, 5.0, day), (2, 4, 5.0, None), (3, 4, 5.0, day), (4, 2, 5.0, day), (5, None, 5.0, None), (6, 9, None, day), (7, None, None, day)]
+    orders = pd.DataFrame(rows, columns=["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]).astype({"o_custkey": "Int64"})
+    orders.to_parquet(tmp_path / "orders.parquet", coerce_timestamps="us")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet'")
+    ours, theirs = plain(plans.QUERIES["nulls_last_sort"](spark, str(tmp_path)).toPandas()), plain(con.sql(plans.SQL["nulls_last_sort"]).df())
+    pd.testing.assert_frame_equal(ours, theirs, check_dtype=False)
+
+
 def test_equal_sizes_tie_among_many_boxes(spark):
     """Sizes of boxes that differ by rounding alone go to the smaller zone; the smallest tables have too few to tell."""
     folder = FOLDER.replace("sf0.001", "sf0.1")
