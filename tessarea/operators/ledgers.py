@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tessarea.operators import expect, rel
 
@@ -79,23 +83,83 @@ def override(df: DataFrame, registry: DataFrame, keys: Sequence[str], columns: S
     return out.select(*[F.coalesce(f"_to_{c}", c).alias(c) if c in columns else F.col(c) for c in df.columns], F.coalesce("_hit", F.lit(False)).alias("overridden"))
 
 
-def succession(last_seen: DataFrame, footprint: DataFrame, entity: str, unit: str, now: int, silence: int = 2) -> DataFrame:
+def succession(last_seen: DataFrame, footprint: DataFrame, entity: str, unit: str, now: int, silence: int = 2, block: int = 1 << 16) -> DataFrame:
     """dead, live: entities silent for more than ``silence`` years all of whose units one live entity covers; the smallest such one.
 
-    ``last_seen`` has (entity, last), ``footprint`` distinct (entity, unit). Equal footprints are one, and a dead one meets just those live ones that
-    have its rarest unit: pairs are tested where they meet and never shuffled. A NULL unit is covered by nothing."""
+    ``last_seen`` has (entity, last), ``footprint`` distinct (entity, unit). Equal footprints are one. Blocks of some ``block`` dead footprints meet
+    blocks of as many live ones, and a task holds one of each: no pair is a row. A NULL unit is covered by nothing."""
     units = footprint.join(last_seen.select(entity, (F.col("last") < now - silence).alias("_dead")).filter("_dead IS NOT NULL"), entity)
     sets = rel.once(units.groupBy(entity, "_dead").agg(F.array_sort(F.collect_set(unit)).alias("_units"), F.count_if(F.col(unit).isNull()).alias("_unknown")), "sets")
     dead = sets.filter("_dead AND _unknown = 0").select(F.col(entity).alias("dead"), "_units")
     live = rel.once(sets.filter("NOT _dead").groupBy("_units").agg(F.min(entity).alias("live")), "live")
-    listed = live.select("live", F.col("_units").alias("_theirs"), F.explode("_units").alias("_unit"))
-    common = listed.groupBy("_unit").agg(F.count("*").alias("_n"))
-    wanted = dead.select("_units").distinct().withColumn("_unit", F.explode("_units")).join(common, "_unit", "left")
-    rarest = wanted.groupBy("_units").agg(F.min_by("_unit", F.struct(F.coalesce("_n", F.lit(0)), "_unit")).alias("_unit"))
-    covered = rarest.join(listed, "_unit").filter(F.size(F.array_except("_units", "_theirs")) == 0).groupBy("_units").agg(F.min("live").alias("live"))
+    wanted = rel.once(dead.groupBy("_units").agg(F.min("dead").alias("_first")), "wanted")
+    rows, columns = (max(1, -(-df.count() // block)) for df in (wanted, live))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = wanted.select(dealt("_first", rows).alias("_i"), every(columns).alias("_j"), "_first", "_units").groupBy("_i", "_j")
+    right = live.select(every(rows).alias("_i"), dealt("live", columns).alias("_j"), "live", "_units").groupBy("_i", "_j")
+    made = StructType([StructField("_first", dead.schema["dead"].dataType), StructField("live", live.schema["live"].dataType)])
+    first = _first_covers(left, right, made).groupBy("_first").agg(F.min("live").alias("live"))
+    covered = wanted.join(first, "_first").select("_units", "live")
     return dead.join(covered, "_units").select("dead", "live")
 
 
+def _first_covers(wanted: GroupedData, live: GroupedData, made: StructType) -> DataFrame:
+    """_first, live: each wanted footprint's smallest live one among those given that has all its units.
+
+    A unit is the places of the live ones that have it, in their order: a bitmap if it is common, else a sorted list, so that units take little
+    more than their rows. If all units are common their bitmaps are cut, else the rarest one's list is looked up in the others."""
+
+    def run(wanted: pa.Table, live: pa.Table) -> pa.Table:
+        live = live.select(["live", "_units"]).sort_by("live")
+        lists = live["_units"].combine_chunks()
+        held = lists.flatten().dictionary_encode()
+        codes = held.indices.to_numpy()
+        at = np.repeat(np.arange(len(lists), dtype=np.int64), lists.value_lengths().to_numpy())
+        counts = np.bincount(codes, minlength=len(held.dictionary))
+        sorted_at, starts = at[np.argsort(codes, kind="stable")], np.concatenate([[0], np.cumsum(counts)])
+        places = lambda code: sorted_at[starts[code] : starts[code + 1]]
+        words = -(-len(lists) // 64)
+        common = np.flatnonzero(counts >= max(1, words // 2))
+        line, bitmaps = np.full(len(counts), -1), np.zeros((len(common), words * 8), np.uint8)
+        line[common] = np.arange(len(common))
+        for i, code in enumerate(common):
+            has = np.zeros(words * 64, np.uint8)
+            has[places(code)] = 1
+            bitmaps[i] = np.packbits(has, bitorder="little")
+        whole = bitmaps.view("<u8")
+
+        asked = wanted["_units"].combine_chunks()
+        found = pc.fill_null(pc.index_in(asked.flatten(), value_set=held.dictionary), -1).to_numpy()
+        ends = np.cumsum(asked.value_lengths().to_numpy())
+        hits, smallest = [], []
+        for row, (start, end) in enumerate(zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True)):
+            mine = found[start:end]
+            if mine.min(initial=0) < 0:
+                continue
+            lines = line[mine]
+            rare = mine[lines < 0]
+            if not len(rare):
+                cut = np.bitwise_and.reduce(whole[lines], axis=0)
+                word = int((cut != 0).argmax())
+                bits = int(cut[word])
+                if bits:
+                    hits.append(row)
+                    smallest.append(word * 64 + (bits & -bits).bit_length() - 1)
+                continue
+            left = places(rare[counts[rare].argmin()])
+            for code in rare:
+                left = left[np.isin(left, places(code), assume_unique=True)]
+            for i in lines[lines >= 0]:
+                left = left[(bitmaps[i][left >> 3] >> (left & 7)) & 1 == 1]
+            if len(left):
+                hits.append(row)
+                smallest.append(int(left[0]))
+        return pa.table({"_first": wanted["_first"].take(pa.array(hits, pa.int64())), "live": live["live"].take(pa.array(smallest, pa.int64()))})
+
+    return wanted.cogroup(live).applyInArrow(run, made)
+
+
 def sane_or_ladder(df: DataFrame, entity: Sequence[str], current: str, annualised: str, ladder: str, panel_most: str, times: float = 3.0) -> DataFrame:
     """``value`` is the annualised count, but for entities whose total uplift exceeds ``times`` their largest year: those take the ladder's.
 

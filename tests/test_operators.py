@@ -329,3 +329,29 @@ def test_succession_meets_equal_footprints_once(spark, monkeypatch):
     plain = {i: min(j for j in held if last[j] == 2001 and set(held[i]) <= set(held[j])) for i in plain if any(last[j] == 2001 and set(held[i]) <= set(held[j]) for j in held)}
     assert {r.dead: r.live for r in out.collect()} == plain
     assert max(df.count() for df in made) <= len(rows)
+
+
+@pytest.mark.parametrize("names", [str, int])
+def test_succession_makes_no_row_of_a_pair(spark, monkeypatch, names):
+    """All footprints differ and share a unit: the smallest cover comes from blocks of them, common and rare units alike."""
+    rng = random.Random(9)
+    held = {i: {0, *rng.sample(range(1, 9), 3 if i % 2 else 5), *([100 + i % 30] if i % 3 == 0 else []), *([200 + i] if i > 12 else [])} for i in range(400)}
+    for i in range(1, 400, 2):  # odd ones are silent
+        held[i] -= {200 + i} if i % 5 else set()
+    live = [j for j in held if j % 2 == 0]
+    plain = {i: min(found) for i in held if i % 2 and (found := [j for j in live if held[i] <= held[j]])}
+    assert 20 < len(plain) < 180
+    rows = [(i, names(u)) for i in held for u in held[i]]
+    made, join = [], type(spark.range(1)).join
+    monkeypatch.setattr(type(spark.range(1)), "join", lambda self, *rest, **more: made.append(join(self, *rest, **more)) or made[-1])
+    footprint = spark.createDataFrame(rows, ["e", "u"])
+    last = spark.createDataFrame([(i, 1990 if i % 2 else 2001) for i in held], "e long, last int")
+    for more in ({}, {"block": 64}):
+        assert {r.dead: r.live for r in ledgers.succession(last, footprint, "e", "u", 2001, **more).collect()} == plain
+        assert max(df.count() for df in made) <= len(rows)
+
+
+def test_succession_without_live_or_silent_ones(spark):
+    footprint = spark.createDataFrame([(1, 5), (2, 5), (2, None), (3, None)], "e long, u int")
+    for years in ((1990, 1990, 1990), (2001, 2001, 2001), (1990, 1990, 2001)):
+        assert ledgers.succession(spark.createDataFrame([(i + 1, y) for i, y in enumerate(years)], "e long, last int"), footprint, "e", "u", 2001).collect() == []
