@@ -1,6 +1,7 @@
 """The kits on frames made by hand: nulls, ties, fail-closed pairs, known values."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,6 +173,49 @@ def test_boosted_query_fits_the_whole_model(spark, monkeypatch):
     assert (model.getMaxDepth(), model.getMaxIter(), k) == (whole.getMaxDepth(), whole.getMaxIter(), 3) == (5, 20, 3)
 
 
+def test_boosted_query_runs_all_rounds(spark, monkeypatch):
+    """The model of the blueprint: 500 rounds of depth 5 at a rate of 0.03 and leaves of 20 rows, in each of three folds."""
+    from tessarea import plans
+
+    made, real = [], ml.GBTRegressor
+    monkeypatch.setattr(ml, "GBTRegressor", lambda **given: made.append(given) or real(**given | {"maxIter": 2}))
+    row = plans.QUERIES["boosted_held_out"](spark, "/root/testdata/sf0.001").first()
+    assert row.n == 200
+    assert [(m["maxIter"], m["maxDepth"], 2 * m["stepSize"]) for m in made] == 3 * [(500, 5, 0.03)]
+
+
+def test_boosting_by_histograms_is_boosting_by_rows(spark):
+    """Few values, so every one has a bin: the predictions are those of plain boosting over rows, whose first tree counts whole."""
+    rng, rate, leaf = random.Random(5), 0.3, 20
+    rows = [(i, float(a := rng.randrange(6)), float(b := rng.random() < 0.1), a * a * (1 + 2 * b) + rng.random()) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    got = {r.id: (r.fold, r.prediction) for r in ml.held_out_boosted(df, ["a", "b"], "y", "id", 2, 2, 4, rate, leaf).collect()}
+
+    def grow(mine, residual, depth):
+        mean = sum(residual[r[0]] for r in mine) / len(mine)
+        best = (1e-9, None, None)
+        for f in (1, 2) if depth else ():
+            for bound in sorted({r[f] for r in mine})[1:]:
+                low, high = [r for r in mine if r[f] < bound], [r for r in mine if r[f] >= bound]
+                if min(len(low), len(high)) >= leaf:
+                    gain = sum(len(side) * (sum(residual[r[0]] for r in side) / len(side) - mean) ** 2 for side in (low, high))
+                    best = max(best, (gain, f, bound), key=lambda x: x[0])
+        if best[1] is None:
+            return lambda r: mean
+        _, f, bound = best
+        low, high = grow([r for r in mine if r[f] < bound], residual, depth - 1), grow([r for r in mine if r[f] >= bound], residual, depth - 1)
+        return lambda r: low(r) if r[f] < bound else high(r)
+
+    for fold in (0, 1):
+        train, said = [r for r in rows if got[r[0]][0] != fold], {r[0]: 0.0 for r in rows}
+        for i in range(4):
+            tree = grow(train, {r[0]: r[3] - said[r[0]] for r in train}, 2)
+            said = {r[0]: said[r[0]] + (rate if i else 1) * tree(r) for r in rows}
+        for r in rows:
+            if got[r[0]][0] == fold:
+                assert got[r[0]][1] == pytest.approx(said[r[0]], abs=1e-6)
+
+
 def test_totals_do_not_double_the_work(spark):
     """Chained totals over joins read each table as often as one does."""
     df = spark.range(200).selectExpr("id", "id % 7 AS g", "id * 1.0D AS v").join(spark.range(7).selectExpr("id AS g", "id * 2 AS z"), "g")
